@@ -1,0 +1,71 @@
+"""Registry of runnable queries: name -> (spark, sf_dir) -> DataFrame.
+
+Every entry reads the driver tables under ``sf_dir`` (or data Spark derives
+from them) in full; nothing is sampled, capped or filtered by id to make a
+check cheaper.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from quarry.plans import marts, oracle
+from quarry.sources import standins as s
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def q_top_comment_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.top_comment_authors(
+        s.issue_comments(spark, sf_dir), s.pull_request_comments(spark, sf_dir)
+    )
+
+
+def q_comment_volume_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.comment_volume_by_day(
+        s.issue_comments(spark, sf_dir), s.pull_request_comments(spark, sf_dir)
+    )
+
+
+def q_avg_comment_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.avg_comment_length(
+        s.issue_comment_bodies(spark, sf_dir), s.pull_request_comment_bodies(spark, sf_dir)
+    )
+
+
+def q_team_performance_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.team_performance_summary(s.tickets(spark, sf_dir))
+
+
+def q_nps_by_subscription_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.nps_by_subscription_month(s.nps_responses(spark, sf_dir))
+
+
+def q_user_core_activity_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.user_core_activity_summary(
+        s.users(spark, sf_dir),
+        s.tickets(spark, sf_dir),
+        s.teams(spark, sf_dir),
+        s.app_events(spark, sf_dir),
+    )
+
+
+QUERIES: dict[str, Query] = {
+    "top_comment_authors": q_top_comment_authors,
+    "comment_volume_by_day": q_comment_volume_by_day,
+    "avg_comment_length": q_avg_comment_length,
+    "team_performance_summary": q_team_performance_summary,
+    "nps_by_subscription_month": q_nps_by_subscription_month,
+    "user_core_activity_summary": q_user_core_activity_summary,
+}
+
+ORACLE_SQL: dict[str, str] = {
+    "top_comment_authors": oracle.TOP_COMMENT_AUTHORS,
+    "comment_volume_by_day": oracle.COMMENT_VOLUME_BY_DAY,
+    "avg_comment_length": oracle.AVG_COMMENT_LENGTH,
+    "team_performance_summary": oracle.TEAM_PERFORMANCE_SUMMARY,
+    "nps_by_subscription_month": oracle.NPS_BY_SUBSCRIPTION_MONTH,
+    "user_core_activity_summary": oracle.USER_CORE_ACTIVITY_SUMMARY,
+}
