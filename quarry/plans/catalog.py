@@ -11,7 +11,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from quarry.operators import normalize as nz
+from quarry.operators import pages as pg
 from quarry.plans import marts, oracle
+from quarry.sources import fixture_pages as fx
 from quarry.sources import standins as s
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +57,72 @@ def q_user_core_activity_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _size_or_null(c):
+    return F.when(c.isNull(), F.lit(None).cast("int")).otherwise(F.size(c))
+
+
+def q_normalize_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = nz.comments(fx.conversation_pages(spark, sf_dir), "issues")
+    return c.select("owner", "name", "number", "list_idx", "id", "body", "author__login", "created_at")
+
+
+def q_normalize_item_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    it = nz.items(fx.event_comment_pages(spark, sf_dir), "issues", list_cap=50)
+    return it.select(
+        "number",
+        "reactions_total_count",
+        "comments_total_count",
+        "comments_listed",
+        "reactions_listed",
+        "comments_truncated",
+    )
+
+
+def q_reacted_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = nz.reacted_comments(nz.comments(fx.event_comment_pages(spark, sf_dir), "issues"))
+    return c.select("number", "list_idx", "id", "author__login", "created_at")
+
+
+def _attached(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = fx.event_comment_pages(spark, sf_dir)
+    reacted = nz.comments(pages, "issues")
+    return nz.attach_reactions(reacted, nz.bundle_nodes(fx.comment_bundles(spark, sf_dir)))
+
+
+def q_attach_comment_reactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = _attached(spark, sf_dir)
+    return a.select("number", "id", "reactions_total_count", _size_or_null(F.col("reactions")).alias("n_reactions"))
+
+
+def q_item_and_comment_reactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cols = ["number", "list_idx", "user__login", "content", "created_at"]
+    on_comments = nz.comment_reactions(_attached(spark, sf_dir)).select(
+        F.lit("comment").alias("level"), "comment_id", *cols
+    )
+    on_items = nz.item_reactions(fx.event_comment_pages(spark, sf_dir), "issues").select(
+        F.lit("item").alias("level"), F.lit(None).cast("string").alias("comment_id"), *cols
+    )
+    return on_comments.unionByName(on_items)
+
+
+def q_stargazers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    st = nz.stargazers(fx.stargazer_pages(spark, sf_dir))
+    return st.select("owner", "name", "starred_at", "user__login", "user__url")
+
+
+def q_page_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = pg.capped_pages(fx.event_item_pages(spark, sf_dir), "issues", max_items=250)
+    return nz.items(pages, "issues").select("name", "page_no", "number", "created_at")
+
+
+def q_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pg.load_audit(fx.event_item_pages(spark, sf_dir), "issues")
+
+
+def q_page_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pg.page_problems(fx.event_item_pages(spark, sf_dir), "issues")
+
+
 QUERIES: dict[str, Query] = {
     "top_comment_authors": q_top_comment_authors,
     "comment_volume_by_day": q_comment_volume_by_day,
@@ -59,6 +130,15 @@ QUERIES: dict[str, Query] = {
     "team_performance_summary": q_team_performance_summary,
     "nps_by_subscription_month": q_nps_by_subscription_month,
     "user_core_activity_summary": q_user_core_activity_summary,
+    "normalize_comments": q_normalize_comments,
+    "normalize_item_totals": q_normalize_item_totals,
+    "reacted_comments": q_reacted_comments,
+    "attach_comment_reactions": q_attach_comment_reactions,
+    "item_and_comment_reactions": q_item_and_comment_reactions,
+    "stargazers": q_stargazers,
+    "page_cap": q_page_cap,
+    "load_audit": q_load_audit,
+    "page_errors": q_page_errors,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -68,4 +148,13 @@ ORACLE_SQL: dict[str, str] = {
     "team_performance_summary": oracle.TEAM_PERFORMANCE_SUMMARY,
     "nps_by_subscription_month": oracle.NPS_BY_SUBSCRIPTION_MONTH,
     "user_core_activity_summary": oracle.USER_CORE_ACTIVITY_SUMMARY,
+    "normalize_comments": oracle.NORMALIZE_COMMENTS,
+    "normalize_item_totals": oracle.NORMALIZE_ITEM_TOTALS,
+    "reacted_comments": oracle.REACTED_COMMENTS,
+    "attach_comment_reactions": oracle.ATTACH_COMMENT_REACTIONS,
+    "item_and_comment_reactions": oracle.ITEM_AND_COMMENT_REACTIONS,
+    "stargazers": oracle.STARGAZERS,
+    "page_cap": oracle.PAGE_CAP,
+    "load_audit": oracle.LOAD_AUDIT,
+    "page_errors": oracle.PAGE_ERRORS,
 }

@@ -1,0 +1,378 @@
+"""Landed-page DataFrames that Spark derives from the driver tables.
+
+The reference reads nested API responses; the driver ships flat tables. These
+builders nest the flat tables into exactly the landed-page schema
+(``quarry.schemas.PAGE`` and friends) so the normalisation path runs on data
+that grows with the driver tables. They mirror what the API does, including
+its bounds: at most ``API_LIST_CAP`` (100) comments or reactions per list, with
+``totalCount`` holding the full count, and at most 100 items per page. Those
+bounds also keep every ``collect_list`` group small: lists are cut with a
+``row_number() <= 100`` filter, which Spark plans as a partial per-key limit
+before the shuffle, so a hot parent never gathers more than 100 rows.
+
+Pages group items by ``id div 100`` (ids are unique), so no global numbering
+window is needed.
+
+Fixed fixture rules (shared with the oracle SQL):
+  * conversations: item ``number`` = conv_id, comment id ``c<conv_id>_<turn>``,
+    author login = role, comment time = 2024-01-01 + (conv_id*60 + turn) minutes;
+  * events as comments: item ``number`` = user_id, comment id ``e<event_id>``,
+    login ``user<user_id>`` (NULL author when user_id % 30 = 0);
+  * lineitem rows are the reactions of comment ``e<l_orderkey>``: login
+    ``supp<l_suppkey>``, content = l_returnflag, time = l_shipdate;
+  * orders rows are the reactions of item ``number`` = o_custkey: login
+    ``cust<o_custkey>``, content = o_orderpriority, time = o_orderdate;
+  * customers are stargazers: login c_name, url ``u/<c_name>``,
+    starred 2020-01-01 + c_custkey minutes;
+  * events as items of repository ``driver/<event_type>``; page
+    ``event_id div 100``; page errors when page_no % 17 = 5; an extra top-level
+    key when page_no % 23 = 7; request cost 1 + items div 50,
+    remaining 5000 - page_no.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType
+
+from quarry import schemas
+from quarry.functions.naming import iso_text
+from quarry.operators.normalize import API_LIST_CAP
+from quarry.sources.standins import read
+
+OWNER = "driver"
+ITEMS_PER_PAGE = 100
+BUNDLE_REQUEST_SIZE = 50
+REACTION_FLAGS = ("A", "N", "R")
+
+
+def _null(t: DataType) -> Column:
+    return F.lit(None).cast(t)
+
+
+def _first_n(df: DataFrame, key: str, order: list[Column], n: int = API_LIST_CAP) -> DataFrame:
+    """The first ``n`` rows per key; planned as a partial limit before the shuffle."""
+    rn = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    return df.withColumn("_rn", rn).where(F.col("_rn") <= n).drop("_rn")
+
+
+def _sorted_list(sort_key: Column, value: Column) -> Column:
+    pairs = F.array_sort(F.collect_list(F.struct(sort_key.alias("k"), value.alias("v"))))
+    return F.transform(pairs, lambda x: x["v"])
+
+
+def _actor(login: Column, url: Column | None = None) -> Column:
+    return F.struct(login.alias("login"), _null("string").alias("avatarUrl"),
+                    (url if url is not None else _null("string")).alias("url"))
+
+
+def _comment(id_: Column, body: Column, login: Column, created: Column, groups: Column) -> Column:
+    return F.struct(
+        id_.alias("id"),
+        _null("string").alias("url"),
+        body.alias("body"),
+        F.when(login.isNull(), _null(schemas.ACTOR)).otherwise(_actor(login)).alias("author"),
+        F.lit("NONE").alias("authorAssociation"),
+        created.alias("createdAt"),
+        groups.alias("reactionGroups"),
+    ).cast(schemas.COMMENT)
+
+
+def _reaction(login: Column, content: Column, created: Column) -> Column:
+    return F.struct(_actor(login).alias("user"), content.alias("content"), created.alias("createdAt")).cast(
+        schemas.REACTION
+    )
+
+
+def _item(number: Column, title: Column, body: Column, created: Column, reactions: Column, comments: Column) -> Column:
+    return F.struct(
+        number.alias("number"),
+        _null("string").alias("url"),
+        title.alias("title"),
+        body.alias("body"),
+        _null(schemas.ACTOR).alias("author"),
+        F.lit("NONE").alias("authorAssociation"),
+        F.lit(False).alias("closed"),
+        _null("string").alias("closedAt"),
+        created.alias("createdAt"),
+        F.lit("OPEN").alias("state"),
+        created.alias("updatedAt"),
+        reactions.alias("reactions"),
+        comments.alias("comments"),
+    ).cast(schemas.ITEM)
+
+
+def _page(
+    df: DataFrame,
+    name: Column,
+    resource: str,
+    list_col: str,
+    *,
+    cost: Column | None = None,
+    errors: Column | None = None,
+    extra_key: Column | None = None,
+) -> DataFrame:
+    """Wrap one list per (name, page_no) row into the landing envelope."""
+    conn = schemas.CONNECTIONS[resource]
+    conn_type = schemas.REPOSITORY[conn].dataType
+    if conn == "stargazers":
+        connection = F.struct(_null(schemas.PAGE_INFO).alias("pageInfo"), F.col(list_col).alias("edges"))
+    else:
+        connection = F.struct(
+            _null("long").alias("totalCount"), _null(schemas.PAGE_INFO).alias("pageInfo"),
+            F.col(list_col).alias("nodes"),
+        )
+    repo_fields = [
+        (connection.cast(conn_type) if c == conn else _null(schemas.REPOSITORY[c].dataType)).alias(c)
+        for c in ("issues", "pullRequests", "stargazers")
+    ]
+    rate = F.struct(
+        F.lit(5000).cast("long").alias("limit"),
+        (cost if cost is not None else F.lit(1)).cast("long").alias("cost"),
+        (F.lit(5000) - F.col("page_no")).cast("long").alias("remaining"),
+        _null("string").alias("resetAt"),
+    )
+    keys = F.array(F.lit("repository"), F.lit("rateLimit"))
+    if extra_key is not None:
+        keys = F.when(extra_key, F.array_insert(keys, 2, F.lit("organization"))).otherwise(keys)
+    return df.select(
+        F.lit(OWNER).alias("owner"),
+        name.alias("name"),
+        F.lit(resource).alias("resource"),
+        F.col("page_no").cast("long").alias("page_no"),
+        F.lit("2024-02-01T00:00:00Z").alias("landed_at"),
+        F.struct(F.struct(*repo_fields).alias("repository"), rate.alias("rateLimit")).alias("data"),
+        (errors if errors is not None else _null("array<string>")).alias("errors"),
+        keys.alias("data_keys"),
+    )
+
+
+# ---------------------------------------------------------------------------
+# conversations -> issue pages with comments
+
+def _no_groups() -> Column:
+    return F.array().cast(ArrayType(schemas.REACTION_GROUP))
+
+
+def _no_reactions() -> Column:
+    return F.struct(F.lit(0).cast("long").alias("totalCount"), F.array().cast(ArrayType(schemas.REACTION)).alias("nodes"))
+
+
+def _minutes_after(base: str, minutes: Column) -> Column:
+    return F.timestamp_add("MINUTE", minutes, F.lit(base).cast("timestamp_ntz"))
+
+
+def conversation_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    comment = _comment(
+        F.concat(F.lit("c"), F.col("conv_id"), F.lit("_"), F.col("turn")),
+        F.col("text"),
+        F.col("role"),
+        iso_text(_minutes_after("2024-01-01 00:00:00", F.col("conv_id") * 60 + F.col("turn"))),
+        _no_groups(),
+    )
+    totals = conv.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_comments"))
+    listed = (
+        _first_n(conv, "conv_id", [F.col("turn")])
+        .groupBy("conv_id")
+        .agg(_sorted_list(F.col("turn"), comment).alias("nodes"))
+        .join(totals, "conv_id")
+    )
+    item = _item(
+        F.col("conv_id"),
+        _null("string"),
+        _null("string"),
+        iso_text(_minutes_after("2024-01-01 00:00:00", F.col("conv_id") * 60)),
+        _no_reactions(),
+        F.struct(F.col("n_comments").alias("totalCount"), F.col("nodes").alias("nodes")),
+    )
+    paged = (
+        listed.withColumn("page_no", F.floor(F.col("conv_id") / ITEMS_PER_PAGE))
+        .groupBy("page_no")
+        .agg(_sorted_list(F.col("conv_id"), item).alias("items"))
+    )
+    return _page(paged, F.lit("conversations"), "issues", "items")
+
+
+# ---------------------------------------------------------------------------
+# events as comments of per-user items; lineitem / orders as reactions
+
+
+def _comment_login(user_id: Column) -> Column:
+    return F.when(user_id % 30 == 0, F.lit(None)).otherwise(F.concat(F.lit("user"), user_id))
+
+
+def _lineitem_reactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_returnflag", "l_shipdate")
+    return li.select(
+        F.col("l_orderkey").alias("event_id"),
+        F.col("l_shipdate"),
+        F.col("l_suppkey"),
+        F.col("l_returnflag"),
+    )
+
+
+def _reaction_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per event id, one group per flag with the first reaction time (NULL if none)."""
+    li = _lineitem_reactions(spark, sf_dir)
+    firsts = [
+        F.min(F.when(F.col("l_returnflag") == flag, F.col("l_shipdate"))).alias(f"first_{flag}")
+        for flag in REACTION_FLAGS
+    ]
+    g = li.groupBy("event_id").agg(*firsts)
+    groups = F.array(
+        *[
+            F.struct(F.lit(flag).alias("content"), iso_text(F.col(f"first_{flag}")).alias("createdAt"))
+            for flag in REACTION_FLAGS
+        ]
+    ).cast(ArrayType(schemas.REACTION_GROUP))
+    return g.select("event_id", groups.alias("groups"))
+
+
+def _empty_groups() -> Column:
+    return F.array(
+        *[F.struct(F.lit(flag).alias("content"), _null("string").alias("createdAt")) for flag in REACTION_FLAGS]
+    ).cast(ArrayType(schemas.REACTION_GROUP))
+
+
+def event_comment_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items are users; their first 100 events are the comments; orders react to items."""
+    ev = read(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type", "props")
+    groups = _reaction_groups(spark, sf_dir)
+    ev_g = ev.join(groups, "event_id", "left")
+    comment = _comment(
+        F.concat(F.lit("e"), F.col("event_id")),
+        F.col("props"),
+        _comment_login(F.col("user_id")),
+        iso_text(F.col("ts")),
+        F.coalesce(F.col("groups"), _empty_groups()),
+    )
+    c_totals = ev.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_comments"))
+    c_lists = (
+        _first_n(ev_g, "user_id", [F.col("event_id")])
+        .groupBy("user_id")
+        .agg(_sorted_list(F.col("event_id"), comment).alias("comment_nodes"))
+    )
+    orders = read(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("user_id"), "o_orderkey", "o_orderdate", "o_orderpriority"
+    )
+    reaction = _reaction(
+        F.concat(F.lit("cust"), F.col("user_id")), F.col("o_orderpriority"), iso_text(F.col("o_orderdate"))
+    )
+    r_totals = orders.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_reactions"))
+    r_lists = (
+        _first_n(orders, "user_id", [F.col("o_orderdate"), F.col("o_orderkey")])
+        .groupBy("user_id")
+        .agg(_sorted_list(F.struct("o_orderdate", "o_orderkey"), reaction).alias("reaction_nodes"))
+    )
+    per_user = (
+        c_lists.join(c_totals, "user_id")
+        .join(r_lists, "user_id", "left")
+        .join(r_totals, "user_id", "left")
+    )
+    item = _item(
+        F.col("user_id"),
+        F.concat(F.lit("user "), F.col("user_id")),
+        _null("string"),
+        _null("string"),
+        F.struct(
+            F.coalesce(F.col("n_reactions"), F.lit(0)).cast("long").alias("totalCount"),
+            F.coalesce(F.col("reaction_nodes"), F.array().cast(ArrayType(schemas.REACTION))).alias("nodes"),
+        ),
+        F.struct(F.col("n_comments").alias("totalCount"), F.col("comment_nodes").alias("nodes")),
+    )
+    paged = (
+        per_user.withColumn("page_no", F.floor(F.col("user_id") / ITEMS_PER_PAGE))
+        .groupBy("page_no")
+        .agg(_sorted_list(F.col("user_id"), item).alias("items"))
+    )
+    return _page(paged, F.lit("events"), "issues", "items")
+
+
+def comment_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comment-reaction responses for every event that has reactions.
+
+    One response per ``event_id div 50`` (the reference asks for 50 comments
+    per request); each holds ``node_<event_id>`` entries and a ``rateLimit``
+    entry, which parses as a node without an id.
+    """
+    li = _lineitem_reactions(spark, sf_dir)
+    ev = read(spark, sf_dir, "events").select("event_id")
+    li = li.join(ev, "event_id", "left_semi")
+    reaction = _reaction(
+        F.concat(F.lit("supp"), F.col("l_suppkey")), F.col("l_returnflag"), iso_text(F.col("l_shipdate"))
+    )
+    order = [F.col("l_shipdate"), F.col("l_suppkey"), F.col("l_returnflag")]
+    totals = li.groupBy("event_id").agg(F.count(F.lit(1)).alias("n"))
+    lists = (
+        _first_n(li, "event_id", order)
+        .groupBy("event_id")
+        .agg(_sorted_list(F.struct(*order), reaction).alias("nodes"))
+        .join(totals, "event_id")
+    )
+    node = F.struct(
+        F.concat(F.lit("e"), F.col("event_id")).alias("id"),
+        F.struct(F.col("n").alias("totalCount"), F.col("nodes").alias("nodes")).alias("reactions"),
+    ).cast(schemas.BUNDLE_NODE)
+    requests = lists.withColumn("request_no", F.floor(F.col("event_id") / BUNDLE_REQUEST_SIZE)).groupBy(
+        "request_no"
+    ).agg(F.map_from_entries(F.collect_list(F.struct(F.concat(F.lit("node_"), F.col("event_id")), node))).alias("m"))
+    rate_entry = F.create_map(F.lit("rateLimit"), F.struct(_null("string").alias("id"), _null(schemas.REACTION_CONNECTION).alias("reactions")).cast(schemas.BUNDLE_NODE))
+    return requests.select(
+        F.lit(OWNER).alias("owner"),
+        F.lit("events").alias("name"),
+        F.col("request_no").cast("long").alias("request_no"),
+        F.map_concat("m", rate_entry).alias("data"),
+        _null("array<string>").alias("errors"),
+    )
+
+
+# ---------------------------------------------------------------------------
+# customers -> stargazer pages
+
+
+def stargazer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = read(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    starred = _minutes_after("2020-01-01 00:00:00", F.col("c_custkey"))
+    edge = F.struct(
+        iso_text(starred).alias("starredAt"),
+        _actor(F.col("c_name"), F.concat(F.lit("u/"), F.col("c_name"))).alias("node"),
+    ).cast(schemas.STAR_EDGE)
+    paged = (
+        c.withColumn("page_no", F.floor(F.col("c_custkey") / ITEMS_PER_PAGE))
+        .groupBy("page_no")
+        .agg(_sorted_list(-F.col("c_custkey"), edge).alias("edges"))
+    )
+    return _page(paged, F.lit("customers"), "stargazers", "edges")
+
+
+# ---------------------------------------------------------------------------
+# events -> item pages of several repositories (page cap, audit, checks)
+
+
+def event_item_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = read(spark, sf_dir, "events").select("event_id", "ts", "event_type", "props")
+    item = _item(
+        F.col("event_id"),
+        F.col("event_type"),
+        F.col("props"),
+        iso_text(F.col("ts")),
+        _no_reactions(),
+        F.struct(F.lit(0).cast("long").alias("totalCount"), F.array().cast(ArrayType(schemas.COMMENT)).alias("nodes")),
+    )
+    paged = (
+        ev.withColumn("page_no", F.floor(F.col("event_id") / ITEMS_PER_PAGE))
+        .groupBy("event_type", "page_no")
+        .agg(_sorted_list(-F.col("event_id"), item).alias("items"))
+    )
+    n = F.size("items")
+    return _page(
+        paged,
+        F.col("event_type"),
+        "issues",
+        "items",
+        cost=1 + F.floor(n / 50),
+        errors=F.when(F.col("page_no") % 17 == 5, F.array(F.lit("RATE_LIMITED"))),
+        extra_key=F.col("page_no") % 23 == 7,
+    )
