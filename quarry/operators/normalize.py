@@ -170,3 +170,11 @@ def stargazers(pages: DataFrame) -> DataFrame:
         utc_timestamp(F.col("e.starredAt")).alias("starred_at"),
         *flat_columns("e.node", schemas.ACTOR, "user"),
     )
+
+
+def unpack_payload(events: DataFrame, fields: dict[str, str], column: str = "payload") -> DataFrame:
+    """ARR-4: lift the named top-level payload keys to ``payload__<key>``
+    columns; everything else stays packed as JSON text in ``payload``."""
+    schema = ", ".join(f"`{k}` {t}" for k, t in fields.items())
+    parsed = F.from_json(F.col(column), schema)
+    return events.select("*", *[parsed[k].alias(f"{column}__{k}") for k in fields])

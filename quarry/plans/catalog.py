@@ -9,15 +9,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 
 from pyspark.sql import functions as F
 
+from quarry import schemas
+from quarry.operators import incremental as inc
 from quarry.operators import normalize as nz
 from quarry.operators import pages as pg
 from quarry.plans import marts, oracle
+from quarry.session import scratch_path
+from quarry.sinks.warehouse import Warehouse
 from quarry.sources import fixture_pages as fx
 from quarry.sources import standins as s
+from quarry.sources.replicate import ReplicationSpec, replicate
+from quarry.streaming import events as stream_events
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -123,6 +129,95 @@ def q_page_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pg.page_problems(fx.event_item_pages(spark, sf_dir), "issues")
 
 
+# Three overlapping loads of the event feed, the last one run twice. Purchase
+# events of Jan 8-10 reach the feed late (only with the second load) and are
+# older than the cursor by then, so they are dropped as late.
+LOAD_WINDOWS = (
+    ("2024-01-01", "2024-01-11", ("purchase", "2024-01-08")),
+    ("2024-01-08", "2024-01-21", None),
+    ("2024-01-19", None, None),
+    ("2024-01-19", None, None),
+)
+
+
+def _window(feed: DataFrame, start: str | None, end: str | None, delayed) -> DataFrame:
+    ts = F.col("created_at")
+    cond = F.lit(True)
+    if start:
+        cond = cond & (ts >= F.lit(start).cast("timestamp_ntz"))
+    if end:
+        cond = cond & (ts < F.lit(end).cast("timestamp_ntz"))
+    if delayed:
+        etype, since = delayed
+        cond = cond & ~((F.col("type") == etype) & (ts >= F.lit(since).cast("timestamp_ntz")))
+    return feed.where(cond)
+
+
+def q_incremental_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = inc.events_from_feed(fx.event_feed(spark, sf_dir))
+    table = inc.IncrementalTable(spark, scratch_path(spark, "incremental_events"))
+    for start, end, delayed in LOAD_WINDOWS:
+        table.load(_window(feed, start, end, delayed))
+    return table.target().select("id", "type", "created_at", "payload")
+
+
+def q_incremental_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three overlapping landings, each followed by an available-now run."""
+    base = scratch_path(spark, "event_stream")
+    landing, target, ckpt = f"{base}/landing", f"{base}/target", f"{base}/checkpoint"
+    feed = fx.event_feed(spark, sf_dir)
+    typed = inc.events_from_feed(feed)
+    for i, (start, end, _) in enumerate(LOAD_WINDOWS[:3]):
+        ids = _window(typed, start, end, None).select("id")
+        feed.join(ids, "id", "left_semi").write.json(f"{landing}/load={i}")
+        stream_events.run_available(spark, f"{landing}/*", target, ckpt, delay="3 days", max_files_per_trigger=4)
+    return spark.read.parquet(target).select("id", "type", "created_at", "payload")
+
+
+def q_events_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-3 + ARR-4: the feed stored partitioned by type, read back per type."""
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    feed = nz.unpack_payload(inc.events_from_feed(fx.event_feed(spark, sf_dir)), {"k": "bigint"})
+    wh.replace_table(feed.drop("created_date"), "repo_events", "events", partition_by=["type"])
+    stored = wh.table("repo_events", "events")
+    parts = inc.split_by_type(stored, ["view", "signup", "click", "error", "purchase"])
+    out = None
+    for df in parts.values():
+        df = df.select("id", "type", "created_at", "payload__k", "payload")
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
+def q_event_gap_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """INC-5 on daily pulls that each return the newest 300 events of the day."""
+    ev = inc.events_from_feed(fx.event_feed(spark, sf_dir)).withColumn("pull_day", F.col("created_date"))
+    w = Window.partitionBy("pull_day").orderBy(F.col("created_at").desc(), F.col("id").desc())
+    pulls = ev.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= 300)
+    return inc.pull_gaps(pulls.withColumn("repo", F.lit("driver/events")), ["repo"], "pull_day")
+
+
+REPLICATED_STREAMS = {
+    "public.tickets": s.tickets,
+    "public.events": s.app_events,
+    "public.teams": s.teams,
+    "public.users": s.users,
+    "public.nps_responses": s.nps_responses,
+}
+
+
+def q_replicate_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = ReplicationSpec({name: None for name in REPLICATED_STREAMS})
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    return replicate(spec, lambda stream, _opts: REPLICATED_STREAMS[stream](spark, sf_dir), wh)
+
+
+def q_table_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    summary = q_team_performance_summary(spark, sf_dir)
+    wh.replace_table(summary, "analytics", "team_performance_summary", contract=schemas.TEAM_PERFORMANCE_SUMMARY)
+    return wh.statistics("analytics", "team_performance_summary").drop("estimated_size")
+
+
 QUERIES: dict[str, Query] = {
     "top_comment_authors": q_top_comment_authors,
     "comment_volume_by_day": q_comment_volume_by_day,
@@ -139,6 +234,12 @@ QUERIES: dict[str, Query] = {
     "page_cap": q_page_cap,
     "load_audit": q_load_audit,
     "page_errors": q_page_errors,
+    "incremental_events": q_incremental_events,
+    "incremental_events_stream": q_incremental_events_stream,
+    "events_by_type": q_events_by_type,
+    "event_gap_audit": q_event_gap_audit,
+    "replicate_tables": q_replicate_tables,
+    "table_statistics": q_table_statistics,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -157,4 +258,10 @@ ORACLE_SQL: dict[str, str] = {
     "page_cap": oracle.PAGE_CAP,
     "load_audit": oracle.LOAD_AUDIT,
     "page_errors": oracle.PAGE_ERRORS,
+    "incremental_events": oracle.INCREMENTAL_EVENTS,
+    "incremental_events_stream": oracle.INCREMENTAL_EVENTS_STREAM,
+    "events_by_type": oracle.EVENTS_BY_TYPE,
+    "event_gap_audit": oracle.EVENT_GAP_AUDIT,
+    "replicate_tables": oracle.REPLICATE_TABLES,
+    "table_statistics": oracle.TABLE_STATISTICS,
 }

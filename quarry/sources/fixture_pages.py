@@ -376,3 +376,18 @@ def event_item_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         errors=F.when(F.col("page_no") % 17 == 5, F.array(F.lit("RATE_LIMITED"))),
         extra_key=F.col("page_no") % 23 == 7,
     )
+
+
+# ---------------------------------------------------------------------------
+# events -> REST event feed
+
+
+def event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event feed as landed: id and time as text, the rest packed JSON."""
+    ev = read(spark, sf_dir, "events").select("event_id", "event_type", "ts", "props")
+    return ev.select(
+        F.col("event_id").cast("string").alias("id"),
+        F.col("event_type").alias("type"),
+        iso_text(F.col("ts")).alias("created_at"),
+        F.col("props").alias("payload"),
+    )

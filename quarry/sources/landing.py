@@ -41,16 +41,13 @@ def read_bundles(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
-    """Landed REST event pages. A page is a JSON array, so each element is a row.
+    """Landed REST event pages, one page (a JSON array) or one event per line.
 
-    ``_metadata.file_path`` tells which page (file) an event came from; an
-    empty page (``[]``) yields no rows.
+    A line holding an array gives one row per element and ``[]`` gives none;
+    ``_metadata.file_path`` tells which landed file an event came from.
     """
-    return (
-        spark.read.schema(schemas.EVENT)
-        .option("multiLine", "true")
-        .json(path)
-        .select("*", F.col("_metadata.file_path").alias("page_path"))
+    return spark.read.schema(schemas.EVENT).json(path).select(
+        "*", F.col("_metadata.file_path").alias("page_path")
     )
 
 
