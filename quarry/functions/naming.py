@@ -37,12 +37,13 @@ def flat_columns(struct_col: str, struct_type: StructType, prefix: str | None =
 def utc_timestamp(text: Column) -> Column:
     """ISO-8601 text (``...Z`` or with an offset) as a UTC TIMESTAMP_NTZ.
 
-    The instant is parsed with its zone, shown as wall-clock time in the
-    session zone, then moved to UTC, so the result does not depend on the
-    session setting.
+    The API writes UTC with a ``Z`` suffix; that wall-clock time is the answer
+    and is parsed directly. Any other offset takes the general path: the
+    instant is parsed with its zone, shown as wall-clock time in the session
+    zone, then moved to UTC. Neither depends on the session setting.
     """
-    local = F.to_timestamp(text).cast("timestamp_ntz")
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), local)
+    general = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.to_timestamp(text).cast("timestamp_ntz"))
+    return F.when(text.endswith("Z"), F.to_timestamp_ntz(text)).otherwise(general)
 
 
 def iso_text(ts_ntz: Column) -> Column:

@@ -10,16 +10,15 @@ The plan here keeps the exact result and bounds every task:
 
 1. Per-key counts of both children are partial aggregates (map-side combine),
    so a hot key costs nothing extra to count.
-2. The children meet the parent (one row per key) in *inner* joins, which AQE's
-   skew handling may split on the big side.
+2. The children meet the per-key sizes in *inner* joins, which AQE's skew
+   handling may split on the big side.
 3. The product of a key's children is laid out on a grid: ``a`` rows hash into
    ``ceil(n_a / cell)`` row bands, ``b`` rows into ``ceil(n_b / cell)`` column
    bands; each ``a`` row is copied once per column band and each ``b`` row once
    per row band, and the pair join runs on ``(key, band_a, band_b)``. Every
    pair meets in exactly one cell and a cell holds about ``cell`` rows of each
    side. A key with at most ``cell`` rows on each side is not copied at all.
-4. Parents with an empty side take the NULL-padded branches, which need no
-   pairing at all.
+4. Parents with an empty side ride the same join as a NULL-padded row.
 """
 
 from __future__ import annotations
@@ -56,19 +55,27 @@ def outer_product_by_key(
     NULL keys (kept once, both sides NULL). Columns of ``a`` and ``b`` other
     than their key columns must not collide with each other or with
     ``parent``'s. The output has parent columns, then ``a``'s, then ``b``'s.
+
+    Plan: the left side holds every ``a`` row with its parent columns, plus one
+    row with NULL ``a`` columns for each parent without ``a`` rows; the right
+    side holds the ``b`` rows. Both are laid out on the key's grid and meet in
+    one left join on ``(key, band_a, band_b)``. A left row that finds no ``b``
+    in its cell is kept only when its key has no ``b`` rows at all; otherwise
+    its pairs are made in other cells. So every pair is made exactly once and
+    keys without ``b`` rows keep their NULL-padded row.
     """
     parent_cols = parent.columns
     a_cols = [c for c in a.columns if c != a_key]
     b_cols = [c for c in b.columns if c != b_key]
+    out_cols = parent_cols + a_cols + b_cols
 
     a_rows = a.withColumnRenamed(a_key, key).where(F.col(key).isNotNull())
     b_rows = b.withColumnRenamed(b_key, key).where(F.col(key).isNotNull())
 
-    # 1. per-key sizes, partial + final aggregate
+    # per-key sizes: partial + final aggregates, one row per key
     a_n = a_rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n_a"))
     b_n = b_rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n_b"))
 
-    # parent rows with both sizes; the stats have one row per key
     sized = (
         parent.join(a_n, key, "left")
         .join(b_n, key, "left")
@@ -76,51 +83,26 @@ def outer_product_by_key(
         .withColumn("_n_b", F.coalesce(F.col("_n_b"), F.lit(0)))
     )
 
-    out_cols = parent_cols + a_cols + b_cols
-
-    # 4a. neither side
-    bare = sized.where((F.col("_n_a") == 0) & (F.col("_n_b") == 0)).select(
-        *parent_cols, *_null_columns(a_rows, a_cols), *_null_columns(b_rows, b_cols)
+    # left side: a rows with parent columns (inner join, AQE may split a hot
+    # key), plus the parents that have no a rows
+    with_a = a_rows.join(sized.where(F.col("_n_a") > 0), key).select(*parent_cols, *a_cols, "_n_a", "_n_b")
+    without_a = sized.where(F.col("_n_a") == 0).select(
+        *parent_cols, *_null_columns(a_rows, a_cols), "_n_a", "_n_b"
     )
-
-    # 2. a rows with their parent attributes (inner: AQE may split a hot key)
-    a_with_parent = a_rows.join(sized.where(F.col("_n_a") > 0), key)
-
-    # 4b. a rows of parents without b rows
-    a_only = a_with_parent.where(F.col("_n_b") == 0).select(
-        *parent_cols, *a_cols, *_null_columns(b_rows, b_cols)
-    )
-
-    # 4c. b rows of parents without a rows
-    b_only = b_rows.join(
-        sized.where((F.col("_n_a") == 0) & (F.col("_n_b") > 0)), key
-    ).select(*parent_cols, *_null_columns(a_rows, a_cols), *b_cols)
-
-    # 3. the grid for keys with rows on both sides
-    both = a_n.join(b_n, key)  # one row per key
-    a_grid = (
-        a_with_parent.where(F.col("_n_b") > 0)
+    left = (
+        with_a.unionByName(without_a)
         .withColumn("_band_a", F.pmod(F.xxhash64(*a_cols), _band(F.col("_n_a"), cell_rows)))
-        .withColumn(
-            "_band_b",
-            F.explode(F.sequence(F.lit(0).cast("long"), _band(F.col("_n_b"), cell_rows) - 1)),
-        )
-        .select(key, "_band_a", "_band_b", *[c for c in parent_cols if c != key], *a_cols)
+        .withColumn("_band_b", F.explode(F.sequence(F.lit(0).cast("long"), _band(F.col("_n_b"), cell_rows) - 1)))
     )
-    b_grid = (
-        b_rows.join(both, key)
+
+    # right side: b rows of keys that have b rows, copied over the a bands
+    key_sizes = b_n.join(a_n, key, "left").withColumn("_n_a", F.coalesce(F.col("_n_a"), F.lit(0)))
+    right = (
+        b_rows.join(key_sizes, key)
         .withColumn("_band_b", F.pmod(F.xxhash64(*b_cols), _band(F.col("_n_b"), cell_rows)))
-        .withColumn(
-            "_band_a",
-            F.explode(F.sequence(F.lit(0).cast("long"), _band(F.col("_n_a"), cell_rows) - 1)),
-        )
-        .select(key, "_band_a", "_band_b", *b_cols)
+        .withColumn("_band_a", F.explode(F.sequence(F.lit(0).cast("long"), _band(F.col("_n_a"), cell_rows) - 1)))
+        .select(key, "_band_a", "_band_b", *b_cols, F.lit(True).alias("_hit"))
     )
-    paired = a_grid.join(b_grid, [key, "_band_a", "_band_b"]).select(*out_cols)
 
-    return (
-        paired.unionByName(a_only)
-        .unionByName(b_only)
-        .unionByName(bare)
-        .select(*out_cols)
-    )
+    joined = left.join(right, [key, "_band_a", "_band_b"], "left")
+    return joined.where(F.col("_hit").isNotNull() | (F.col("_n_b") == 0)).select(*out_cols)

@@ -76,13 +76,11 @@ def _comment(id_: Column, body: Column, login: Column, created: Column, groups:
         F.lit("NONE").alias("authorAssociation"),
         created.alias("createdAt"),
         groups.alias("reactionGroups"),
-    ).cast(schemas.COMMENT)
+    )
 
 
 def _reaction(login: Column, content: Column, created: Column) -> Column:
-    return F.struct(_actor(login).alias("user"), content.alias("content"), created.alias("createdAt")).cast(
-        schemas.REACTION
-    )
+    return F.struct(_actor(login).alias("user"), content.alias("content"), created.alias("createdAt"))
 
 
 def _item(number: Column, title: Column, body: Column, created: Column, reactions: Column, comments: Column) -> Column:
@@ -100,7 +98,7 @@ def _item(number: Column, title: Column, body: Column, created: Column, reaction
         created.alias("updatedAt"),
         reactions.alias("reactions"),
         comments.alias("comments"),
-    ).cast(schemas.ITEM)
+    )
 
 
 def _page(
@@ -124,7 +122,7 @@ def _page(
             F.col(list_col).alias("nodes"),
         )
     repo_fields = [
-        (connection.cast(conn_type) if c == conn else _null(schemas.REPOSITORY[c].dataType)).alias(c)
+        (connection if c == conn else _null(schemas.REPOSITORY[c].dataType)).alias(c)
         for c in ("issues", "pullRequests", "stargazers")
     ]
     rate = F.struct(
@@ -226,7 +224,7 @@ def _reaction_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(F.lit(flag).alias("content"), iso_text(F.col(f"first_{flag}")).alias("createdAt"))
             for flag in REACTION_FLAGS
         ]
-    ).cast(ArrayType(schemas.REACTION_GROUP))
+    )
     return g.select("event_id", groups.alias("groups"))
 
 
@@ -314,7 +312,7 @@ def comment_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     node = F.struct(
         F.concat(F.lit("e"), F.col("event_id")).alias("id"),
         F.struct(F.col("n").alias("totalCount"), F.col("nodes").alias("nodes")).alias("reactions"),
-    ).cast(schemas.BUNDLE_NODE)
+    )
     requests = lists.withColumn("request_no", F.floor(F.col("event_id") / BUNDLE_REQUEST_SIZE)).groupBy(
         "request_no"
     ).agg(F.map_from_entries(F.collect_list(F.struct(F.concat(F.lit("node_"), F.col("event_id")), node))).alias("m"))
@@ -338,7 +336,7 @@ def stargazer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     edge = F.struct(
         iso_text(starred).alias("starredAt"),
         _actor(F.col("c_name"), F.concat(F.lit("u/"), F.col("c_name"))).alias("node"),
-    ).cast(schemas.STAR_EDGE)
+    )
     paged = (
         c.withColumn("page_no", F.floor(F.col("c_custkey") / ITEMS_PER_PAGE))
         .groupBy("page_no")
