@@ -218,6 +218,41 @@ def q_table_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wh.statistics("analytics", "team_performance_summary").drop("estimated_size")
 
 
+def _loaded_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Land both resources (events as issue comments, conversations as pull
+    request comments), load them end to end into ``gh_data``."""
+    from quarry.plans import loads
+
+    from quarry.sources import landing
+
+    base = scratch_path(spark, "landing")
+    landing.land_json(
+        fx.event_comment_pages(spark, sf_dir).unionByName(
+            fx.conversation_pages(spark, sf_dir, resource="pull_requests")
+        ),
+        f"{base}/pages",
+    )
+    landing.land_json(fx.comment_bundles(spark, sf_dir), f"{base}/bundles")
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    loads.load_reactions(
+        wh,
+        landing.read_pages(spark, f"{base}/pages"),
+        landing.read_bundles(spark, f"{base}/bundles"),
+        dataset="gh_data",
+    )
+    return wh
+
+
+def q_pipeline_comment_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh = _loaded_warehouse(spark, sf_dir)
+    return marts.top_comment_authors(wh.table("gh_data", "issues__comments"), wh.table("gh_data", "pull_requests__comments"))
+
+
+def q_pipeline_avg_comment_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wh = _loaded_warehouse(spark, sf_dir)
+    return marts.avg_comment_length(wh.table("gh_data", "issues__comments"), wh.table("gh_data", "pull_requests__comments"))
+
+
 QUERIES: dict[str, Query] = {
     "top_comment_authors": q_top_comment_authors,
     "comment_volume_by_day": q_comment_volume_by_day,
@@ -240,6 +275,8 @@ QUERIES: dict[str, Query] = {
     "event_gap_audit": q_event_gap_audit,
     "replicate_tables": q_replicate_tables,
     "table_statistics": q_table_statistics,
+    "pipeline_comment_authors": q_pipeline_comment_authors,
+    "pipeline_avg_comment_length": q_pipeline_avg_comment_length,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -264,4 +301,6 @@ ORACLE_SQL: dict[str, str] = {
     "event_gap_audit": oracle.EVENT_GAP_AUDIT,
     "replicate_tables": oracle.REPLICATE_TABLES,
     "table_statistics": oracle.TABLE_STATISTICS,
+    "pipeline_comment_authors": oracle.PIPELINE_COMMENT_AUTHORS,
+    "pipeline_avg_comment_length": oracle.PIPELINE_AVG_COMMENT_LENGTH,
 }

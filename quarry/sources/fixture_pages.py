@@ -161,7 +161,7 @@ def _minutes_after(base: str, minutes: Column) -> Column:
     return F.timestamp_add("MINUTE", minutes, F.lit(base).cast("timestamp_ntz"))
 
 
-def conversation_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def conversation_pages(spark: SparkSession, sf_dir: str, resource: str = "issues") -> DataFrame:
     conv = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     comment = _comment(
         F.concat(F.lit("c"), F.col("conv_id"), F.lit("_"), F.col("turn")),
@@ -190,7 +190,7 @@ def conversation_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("page_no")
         .agg(_sorted_list(F.col("conv_id"), item).alias("items"))
     )
-    return _page(paged, F.lit("conversations"), "issues", "items")
+    return _page(paged, F.lit("conversations"), resource, "items")
 
 
 # ---------------------------------------------------------------------------

@@ -70,3 +70,9 @@ def page_list(pages: DataFrame, resource: str) -> str:
     conn = schemas.CONNECTIONS[resource]
     fields = {f.name for f in pages.schema["data"].dataType["repository"].dataType[conn].dataType.fields}
     return f"data.repository.{conn}." + ("nodes" if "nodes" in fields else "edges")
+
+
+def land_json(pages: DataFrame, path: str) -> str:
+    """Write page rows as landed JSON lines (what a fetcher leaves behind)."""
+    pages.drop("data_keys").write.mode("errorifexists").json(path)
+    return path
