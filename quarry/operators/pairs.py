@@ -76,8 +76,15 @@ def outer_product_by_key(
     a_n = a_rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n_a"))
     b_n = b_rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n_b"))
 
+    # NULL-key parents match nothing: they pass straight through. Splitting
+    # them off keeps both uses of ``sized`` below one identical plan, so AQE
+    # runs its shuffles once and reuses them.
+    null_parents = parent.where(F.col(key).isNull()).select(
+        *parent_cols, *_null_columns(a_rows, a_cols), *_null_columns(b_rows, b_cols)
+    )
     sized = (
-        parent.join(a_n, key, "left")
+        parent.where(F.col(key).isNotNull())
+        .join(a_n, key, "left")
         .join(b_n, key, "left")
         .withColumn("_n_a", F.coalesce(F.col("_n_a"), F.lit(0)))
         .withColumn("_n_b", F.coalesce(F.col("_n_b"), F.lit(0)))
@@ -85,7 +92,7 @@ def outer_product_by_key(
 
     # left side: a rows with parent columns (inner join, AQE may split a hot
     # key), plus the parents that have no a rows
-    with_a = a_rows.join(sized.where(F.col("_n_a") > 0), key).select(*parent_cols, *a_cols, "_n_a", "_n_b")
+    with_a = a_rows.join(sized, key).select(*parent_cols, *a_cols, "_n_a", "_n_b")
     without_a = sized.where(F.col("_n_a") == 0).select(
         *parent_cols, *_null_columns(a_rows, a_cols), "_n_a", "_n_b"
     )
@@ -105,4 +112,5 @@ def outer_product_by_key(
     )
 
     joined = left.join(right, [key, "_band_a", "_band_b"], "left")
-    return joined.where(F.col("_hit").isNotNull() | (F.col("_n_b") == 0)).select(*out_cols)
+    paired = joined.where(F.col("_hit").isNotNull() | (F.col("_n_b") == 0)).select(*out_cols)
+    return paired.unionByName(null_parents)
