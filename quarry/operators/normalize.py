@@ -22,6 +22,11 @@ PARENT_KEY = ["owner", "name", "number"]
 API_LIST_CAP = 100
 
 
+def list_size(arr: Column) -> Column:
+    """Length of a list, 0 for a missing list (whatever ``sizeOfNull`` says)."""
+    return F.when(arr.isNull(), F.lit(0)).otherwise(F.size(arr))
+
+
 def cap_list(arr: Column, n: int | None) -> Column:
     """FLT-5: the first ``n`` elements of a list (all if ``n`` is falsy)."""
     return F.slice(arr, 1, n) if n else arr
@@ -55,10 +60,9 @@ def items(pages: DataFrame, resource: str, list_cap: int | None = None) -> DataF
         utc_timestamp(F.col("item.updatedAt")).alias("updated_at"),
         F.coalesce(F.col("item.reactions.totalCount"), F.lit(0)).alias("reactions_total_count"),
         F.coalesce(F.col("item.comments.totalCount"), F.lit(0)).alias("comments_total_count"),
-        F.coalesce(F.size(comments), F.lit(0)).alias("comments_listed"),
-        F.coalesce(F.size(reactions), F.lit(0)).alias("reactions_listed"),
-        (F.coalesce(F.col("item.comments.totalCount"), F.lit(0)) > F.coalesce(F.size(comments), F.lit(0)))
-        .alias("comments_truncated"),
+        list_size(comments).alias("comments_listed"),
+        list_size(reactions).alias("reactions_listed"),
+        (F.coalesce(F.col("item.comments.totalCount"), F.lit(0)) > list_size(comments)).alias("comments_truncated"),
     )
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.running import exclusive_running_sum
+from quarry.operators.normalize import list_size
 from quarry.sources.landing import page_list
 
 PAGE_KEY = ["owner", "name", "resource"]
@@ -33,15 +34,15 @@ def page_sizes(pages: DataFrame, resource: str) -> DataFrame:
 
     PRJ-9: a missing ``rateLimit`` counts as cost 0, remaining 0.
     """
-    items = F.coalesce(F.size(F.col(page_list(pages, resource))), F.lit(0))
+    items = list_size(F.col(page_list(pages, resource)))
     keys = F.col("data_keys") if "data_keys" in pages.columns else F.array(F.lit("repository"))
     return pages.where(F.col("resource") == resource).select(
         *PAGE_KEY,
         "page_no",
-        F.greatest(items, F.lit(0)).alias("n_items"),
+        items.alias("n_items"),
         F.coalesce(F.col("data.rateLimit.cost"), F.lit(0)).alias("cost"),
         F.coalesce(F.col("data.rateLimit.remaining"), F.lit(0)).alias("remaining"),
-        (F.coalesce(F.size("errors"), F.lit(0)) > 0).alias("has_errors"),
+        (list_size(F.col("errors")) > 0).alias("has_errors"),
         F.size(F.filter(keys, lambda k: k != "rateLimit")).alias("top_connections"),
     )
 
