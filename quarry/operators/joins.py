@@ -1,0 +1,24 @@
+"""Joins against a side whose size is checked before it is broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a checked side may have and still be broadcast (a few MB of narrow rows).
+MAX_BROADCAST_ROWS = 200_000
+
+
+def join_checked(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
+                 max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Join ``big`` with ``small``; broadcast ``small`` only if it proves small.
+
+    ``small`` is checkpointed (reliable, in the session's checkpoint folder) so
+    the row count and the join read the same materialised rows once; above
+    ``max_rows`` the join is left to Catalyst and AQE (sort-merge, or a runtime
+    broadcast if the statistics allow it).
+    """
+    small = small.checkpoint()
+    if small.count() <= max_rows:
+        return big.join(F.broadcast(small), on, how)
+    return big.join(small, on, how)

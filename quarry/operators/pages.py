@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.running import exclusive_running_sum
+from quarry.operators.joins import join_checked
 from quarry.operators.normalize import list_size
 from quarry.sources.landing import page_list
 
@@ -73,10 +74,25 @@ def cap_pages(pages: DataFrame, resource: str, max_items: int | None) -> DataFra
     return kept.select(*PAGE_KEY, "page_no", "n_items", "items_before")
 
 
+def page_bounds(pages: DataFrame, resource: str, max_items: int | None) -> DataFrame:
+    """Per repository and resource, the last page the loader takes.
+
+    Both rules keep a prefix of the pages in ``page_no`` order (the running
+    count only grows, and everything before the first empty page is taken),
+    so one bound per repository describes the kept set.
+    """
+    return cap_pages(pages, resource, max_items).groupBy(*PAGE_KEY).agg(F.max("page_no").alias("_last_page"))
+
+
 def capped_pages(pages: DataFrame, resource: str, max_items: int | None) -> DataFrame:
-    """The landed page rows that survive ``cap_pages`` (ready to normalise)."""
-    keep = cap_pages(pages, resource, max_items).select(*PAGE_KEY, "page_no")
-    return pages.join(keep, [*PAGE_KEY, "page_no"], "left_semi")
+    """The landed page rows that survive ``cap_pages`` (ready to normalise).
+
+    The page rows (the bulk of the landed data) are filtered against one
+    bound per repository, broadcast after a size check, so they never shuffle.
+    """
+    bounds = page_bounds(pages, resource, max_items)
+    own = pages.where(F.col("resource") == resource)
+    return join_checked(own, bounds, PAGE_KEY).where(F.col("page_no") <= F.col("_last_page")).drop("_last_page")
 
 
 def load_audit(pages: DataFrame, resource: str, max_items: int | None = None) -> DataFrame:

@@ -19,6 +19,7 @@ from quarry.operators import normalize as nz
 from quarry.operators import pages as pg
 from quarry.plans import marts, oracle
 from quarry.session import scratch_path
+from quarry.sinks.staging import stage_parquet
 from quarry.sinks.warehouse import Warehouse
 from quarry.sources import fixture_pages as fx
 from quarry.sources import standins as s
@@ -117,7 +118,8 @@ def q_stargazers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_page_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = pg.capped_pages(fx.event_item_pages(spark, sf_dir), "issues", max_items=250)
+    landed = stage_parquet(fx.event_item_pages(spark, sf_dir), "event_item_pages")
+    pages = pg.capped_pages(landed, "issues", max_items=250)
     return nz.items(pages, "issues").select("name", "page_no", "number", "created_at")
 
 

@@ -21,6 +21,7 @@ from quarry.operators import incremental as inc
 from quarry.operators import normalize as nz
 from quarry.operators import pages as pg
 from quarry.plans import marts
+from quarry.sinks.staging import stage_parquet
 from quarry.sinks.warehouse import Warehouse
 
 REACTION_RESOURCES = ("issues", "pull_requests")
@@ -31,16 +32,22 @@ def normalised_tables(
     bundles: DataFrame | None,
     resource: str,
     max_items: int | None = None,
+    dedupe_pages: bool = False,
 ) -> dict[str, DataFrame]:
     """The tables one resource loads into, keyed by table name.
 
-    The capped pages and the comments with their reactions each feed two or
-    more tables, so both are checkpointed once (reliable checkpoint in the
-    session's ``spark.checkpoint.dir``) instead of being re-parsed and
-    re-joined per table.
+    The parsed pages and the comments with their reactions each feed two or
+    more tables, so both are staged once as Parquet in the shared checkpoint
+    folder instead of being re-parsed and re-joined per table; later reads
+    prune to the nested columns each table needs.
     """
-    kept = pg.capped_pages(pg.latest_pages(pages.where(F.col("resource") == resource)), resource, max_items)
-    kept = kept.checkpoint()
+    own = pages.where(F.col("resource") == resource)
+    if dedupe_pages:
+        # only when a landing area may hold several copies of a page: this
+        # shuffles the page rows once by page key
+        own = pg.latest_pages(own)
+    own = stage_parquet(own, f"pages_{resource}")
+    kept = pg.capped_pages(own, resource, max_items)
     comments = nz.comments(kept, resource)
     if bundles is not None:
         # only comments with any reaction are looked up (FLT-1); the rest keep NULL
@@ -48,7 +55,7 @@ def normalised_tables(
         nodes = nz.bundle_nodes(bundles).join(reacted_ids, "id", "left_semi")
     else:
         nodes = comments.sparkSession.createDataFrame([], "id string, reactions " + schemas.REACTION_CONNECTION.simpleString())
-    attached = nz.attach_reactions(comments, nodes).checkpoint()
+    attached = stage_parquet(nz.attach_reactions(comments, nodes), f"comments_{resource}")
     return {
         resource: nz.items(kept, resource),
         f"{resource}__comments": attached.drop("reactions"),
@@ -65,6 +72,7 @@ def load_reactions(
     resources: tuple[str, ...] = REACTION_RESOURCES,
     max_items: int | None = None,
     check: bool = True,
+    dedupe_pages: bool = False,
 ) -> list[str]:
     """Replace the tables of the chosen resources in ``dataset``.
 
@@ -76,7 +84,7 @@ def load_reactions(
     for resource in resources:
         if check:
             pg.assert_pages_ok(pages.where(F.col("resource") == resource), resource)
-        for table, df in normalised_tables(pages, bundles, resource, max_items).items():
+        for table, df in normalised_tables(pages, bundles, resource, max_items, dedupe_pages).items():
             warehouse.replace_table(df, dataset, table)
             written.append(f"{dataset}.{table}")
     return written
