@@ -23,7 +23,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from quarry.functions.naming import utc_timestamp
 
@@ -64,25 +63,29 @@ class IncrementalTable:
         return self.path.rstrip("/") + "__state"
 
     def _exists(self, path: str) -> bool:
-        try:
-            self.spark.read.parquet(path).schema
-            return True
-        except AnalysisException:
-            return False
+        """A written table folder exists (asked of the filesystem, no Spark job)."""
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return fs.exists(p)
 
     def cursor(self):
         """INC-1: the stored cursor, or the initial value (as a timestamp)."""
         if not self._exists(self.state_path):
             return _INITIAL
-        return self.spark.read.parquet(self.state_path).agg(F.max("cursor")).first()[0] or _INITIAL
+        state = self.spark.read.schema("cursor timestamp_ntz").parquet(self.state_path)
+        return state.agg(F.max("cursor")).first()[0] or _INITIAL
 
-    def target(self) -> DataFrame | None:
-        return self.spark.read.parquet(self.path) if self._exists(self.path) else None
+    def target(self, schema=None) -> DataFrame | None:
+        if not self._exists(self.path):
+            return None
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(self.path)
 
     def new_rows(self, batch: DataFrame, cursor) -> DataFrame:
         """INC-2: rows of ``batch`` to append under ``cursor``."""
         fresh = batch.where(F.col(self.cursor_col) >= _ts(cursor)).dropDuplicates([self.key])
-        target = self.target()
+        target = self.target(batch.schema)
         if target is None:
             return fresh
         recent = target.where(F.col(self.cursor_col) >= _ts(cursor))
@@ -94,9 +97,13 @@ class IncrementalTable:
         """Append the new rows of one batch and advance the cursor."""
         before = self.cursor()
         new = self.new_rows(batch, before)
-        new.write.mode("append").partitionBy(*self.partition_by).parquet(self.path)
+        # rebalance: rows of one (type, day) go to few tasks -> few files, and
+        # AQE splits an oversized partition instead of one task writing it all
+        new.hint("rebalance", *self.partition_by).write.mode("append").partitionBy(*self.partition_by).parquet(
+            self.path
+        )
         after = (
-            self.spark.read.parquet(self.path)
+            self.target(batch.schema)
             .where(F.col(self.cursor_col) >= _ts(before))
             .agg(F.max(self.cursor_col))
             .first()[0]
@@ -139,3 +146,16 @@ def split_by_type(events: DataFrame, types: list[str] | None = None) -> dict[str
         types = [r[0] for r in events.select("type").distinct().collect()]
     return {t: events.where(F.col("type") == t) for t in types}
 
+
+
+def register_type_views(events: DataFrame, types: list[str], prefix: str = "repo_events") -> list[str]:
+    """SNK-3: a temporary view per event type over the type-partitioned table
+    (``<prefix>_<type>``, snake-cased); each view scans only its folder."""
+    from quarry.functions.naming import snake
+
+    names = []
+    for t, df in split_by_type(events, types).items():
+        name = f"{prefix}_{snake(t)}"
+        df.createOrReplaceTempView(name)
+        names.append(name)
+    return names

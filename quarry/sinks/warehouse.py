@@ -78,6 +78,9 @@ class Warehouse:
         if contract is not None:
             df = enforce_contract(df, contract)
         path = f"{self.database_path(database)}/{table}/v_{uuid.uuid4().hex}"
+        if partition_by:
+            # few files per partition value; AQE splits skewed values
+            df = df.hint("rebalance", *partition_by)
         writer = df.write.mode("errorifexists").format("parquet")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
@@ -87,6 +90,8 @@ class Warehouse:
 
     def append(self, df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
         """SNK-2: add rows to a Parquet table folder."""
+        if partition_by:
+            df = df.hint("rebalance", *partition_by)
         writer = df.write.mode("append").format("parquet")
         if partition_by:
             writer = writer.partitionBy(*partition_by)

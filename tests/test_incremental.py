@@ -91,3 +91,13 @@ def test_stream_loads_each_event_once_across_runs(spark, tmp_dir):
     df = spark.read.parquet(target)
     assert df.count() == 150
     assert df.select("id").distinct().count() == 150
+
+
+def test_type_views_prune_to_their_partition(spark, tmp_dir):
+    t = inc.IncrementalTable(spark, os.path.join(tmp_dir, "t"))
+    t.load(_feed(spark, [_ev(1, 1, etype="PushEvent"), _ev(2, 1, etype="WatchEvent"), _ev(3, 2, etype="PushEvent")]))
+    names = inc.register_type_views(t.target(), ["PushEvent", "WatchEvent"])
+    assert names == ["repo_events_push_event", "repo_events_watch_event"]
+    assert spark.table("repo_events_push_event").count() == 2
+    plan = spark.table("repo_events_watch_event")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(type" in plan

@@ -233,3 +233,21 @@ def test_event_pages_read_arrays_per_line(spark, tmp_dir):
     assert json.loads(rows[0].payload)["commits"][0]["sha"] == "x"  # deeper levels stay packed
     unpacked = nz.unpack_payload(ev, {"size": "bigint"}).orderBy("id").collect()
     assert unpacked[0].payload__size == 1
+
+
+def test_checked_join_broadcasts_only_small_sides(spark):
+    from quarry.operators.joins import join_checked
+
+    big = spark.range(0, 1000).select((F.col("id") % 10).alias("k"), F.col("id"))
+    small = spark.range(0, 10).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    as_broadcast = join_checked(big, small, ["k"], max_rows=100)
+    plan = as_broadcast._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain = join_checked(big, small, ["k"], max_rows=5)
+        plan2 = plain._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastExchange" not in plan2
+        assert plain.count() == as_broadcast.count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from tools.oracle_check import TABLES, _digest
+from tools.oracle_check import TABLES, _digest, type_mismatches
 
 SF = "/root/testdata/sf0.001"
 
@@ -31,6 +31,8 @@ def test_query_matches_oracle(spark, con, name):
     o_cols = [d[0] for d in res.description]
     o_rows = res.fetchall()
     assert sorted(df.columns) == sorted(o_cols)
+    spark_types = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+    assert type_mismatches(spark_types, [(d[0], d[1]) for d in res.description]) == []
     assert len(rows) == len(o_rows)
     assert _digest(df.columns, rows) == _digest(o_cols, o_rows)
 
