@@ -36,9 +36,9 @@ def normalised_tables(
 ) -> dict[str, DataFrame]:
     """The tables one resource loads into, keyed by table name.
 
-    The parsed pages and the comments with their reactions each feed two or
-    more tables, so both are staged once as Parquet in the shared checkpoint
-    folder instead of being re-parsed and re-joined per table; later reads
+    ``pages`` should be a staged (Parquet) copy: it is read by the cap and by
+    every table. The comments with their reactions feed two tables, so they
+    are staged once as well instead of being re-joined per table; later reads
     prune to the nested columns each table needs.
     """
     own = pages.where(F.col("resource") == resource)
@@ -46,7 +46,6 @@ def normalised_tables(
         # only when a landing area may hold several copies of a page: this
         # shuffles the page rows once by page key
         own = pg.latest_pages(own)
-    own = stage_parquet(own, f"pages_{resource}")
     kept = pg.capped_pages(own, resource, max_items)
     comments = nz.comments(kept, resource)
     if bundles is not None:
@@ -80,6 +79,8 @@ def load_reactions(
     scanned. ``check`` fails the load on error responses or a wrong response
     shape before anything is written (FLT-6, FLT-7).
     """
+    # parse the landed JSON once: every later step reads this columnar copy
+    pages = stage_parquet(pages.where(F.col("resource").isin(*resources)), "pages")
     written = []
     for resource in resources:
         if check:

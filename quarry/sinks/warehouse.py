@@ -58,10 +58,14 @@ class Warehouse:
             f"CREATE DATABASE IF NOT EXISTS {_q(database)} LOCATION '{self.database_path(database)}'"
         )
 
-    def _point(self, database: str, table: str, path: str, partition_by: list[str] | None) -> None:
+    def _point(self, database: str, table: str, path: str, partition_by: list[str] | None, schema=None) -> None:
         full = f"{_q(database)}.{_q(table)}"
         self.spark.sql(f"DROP TABLE IF EXISTS {full}")
-        self.spark.catalog.createTable(f"{database}.{table}", path=path, source="parquet")
+        if schema is not None and not partition_by:
+            # known schema: no job to read it back from the file footers
+            self.spark.catalog.createTable(f"{database}.{table}", path=path, source="parquet", schema=schema)
+        else:
+            self.spark.catalog.createTable(f"{database}.{table}", path=path, source="parquet")
         if partition_by:
             self.spark.sql(f"MSCK REPAIR TABLE {full}")
 
@@ -85,7 +89,7 @@ class Warehouse:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.save(path)
-        self._point(database, table, path, partition_by)
+        self._point(database, table, path, partition_by, df.schema)
         return path
 
     def append(self, df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
