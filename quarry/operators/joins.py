@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.session import ensure_checkpoint_dir
+
 # Rows a checked side may have and still be broadcast (a few MB of narrow rows).
 MAX_BROADCAST_ROWS = 200_000
 
@@ -18,6 +20,7 @@ def join_checked(big: DataFrame, small: DataFrame, on: list[str], how: str = "in
     ``max_rows`` the join is left to Catalyst and AQE (sort-merge, or a runtime
     broadcast if the statistics allow it).
     """
+    ensure_checkpoint_dir(small.sparkSession)
     small = small.checkpoint()
     if small.count() <= max_rows:
         return big.join(F.broadcast(small), on, how)

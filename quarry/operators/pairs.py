@@ -35,6 +35,10 @@ def _band(n: Column, cell: int) -> Column:
     return F.greatest(F.lit(1), F.ceil(n / F.lit(cell))).cast("long")
 
 
+def _row_hash(cols: list[str]) -> Column:
+    return F.xxhash64(*cols) if cols else F.lit(0).cast("long")
+
+
 def _null_columns(df: DataFrame, names: list[str]) -> list[Column]:
     types = {f.name: f.dataType for f in df.schema.fields}
     return [F.lit(None).cast(types[n]).alias(n) for n in names]
@@ -98,7 +102,7 @@ def outer_product_by_key(
     )
     left = (
         with_a.unionByName(without_a)
-        .withColumn("_band_a", F.pmod(F.xxhash64(*a_cols), _band(F.col("_n_a"), cell_rows)))
+        .withColumn("_band_a", F.pmod(_row_hash(a_cols), _band(F.col("_n_a"), cell_rows)))
         .withColumn("_band_b", F.explode(F.sequence(F.lit(0).cast("long"), _band(F.col("_n_b"), cell_rows) - 1)))
     )
 
@@ -106,7 +110,7 @@ def outer_product_by_key(
     key_sizes = b_n.join(a_n, key, "left").withColumn("_n_a", F.coalesce(F.col("_n_a"), F.lit(0)))
     right = (
         b_rows.join(key_sizes, key)
-        .withColumn("_band_b", F.pmod(F.xxhash64(*b_cols), _band(F.col("_n_b"), cell_rows)))
+        .withColumn("_band_b", F.pmod(_row_hash(b_cols), _band(F.col("_n_b"), cell_rows)))
         .withColumn("_band_a", F.explode(F.sequence(F.lit(0).cast("long"), _band(F.col("_n_a"), cell_rows) - 1)))
         .select(key, "_band_a", "_band_b", *b_cols, F.lit(True).alias("_hit"))
     )

@@ -50,11 +50,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared filesystem folder and
-    is used as is. Only when it is unset (local tests) is a private scratch
-    folder created and registered.
+    is used as is; unset, it is an error there. Only in local mode (tests) is a
+    private scratch folder created and registered when it is unset.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="quarry-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if spark.sparkContext.getCheckpointDir() is None:

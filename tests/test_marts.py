@@ -161,3 +161,11 @@ def test_hot_user_is_spread_over_grid_cells(spark):
     out = outer_product_by_key(parent, a, b, "k", "k", "k", cell_rows=8)
     assert out.count() == 50 * 40 + 1
     assert out.where("k = 1").select("av", "bv").distinct().count() == 2000
+
+
+def test_outer_product_with_key_only_children(spark):
+    parent = spark.createDataFrame([(1, "p"), (2, "q")], "k long, p string")
+    a = spark.createDataFrame([(1,), (1,)], "k long")
+    b = spark.createDataFrame([(1,), (1,), (1,), (2,)], "k long")
+    out = outer_product_by_key(parent, a, b, "k", "k", "k", cell_rows=1)
+    assert sorted(tuple(r) for r in out.collect()) == [(1, "p")] * 6 + [(2, "q")]
