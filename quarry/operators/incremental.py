@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.naming import utc_timestamp
+from quarry.functions.naming import flat_columns, utc_timestamp
 
 INITIAL_CURSOR = "1970-01-01T00:00:00Z"
 _INITIAL = dt.datetime(1970, 1, 1)
@@ -38,14 +38,24 @@ def _ts(value: dt.datetime):
 def events_from_feed(feed: DataFrame) -> DataFrame:
     """Landed REST events (text envelope) to typed rows.
 
-    ``created_date`` is kept for partition pruning of the cursor filter.
+    Envelope objects present in the feed (``actor``, ``repo``, ``org``) are
+    flattened to ``actor__login``-style columns; ``payload`` stays packed JSON
+    (see ``normalize.unpack_payload``). ``created_date`` is kept for partition
+    pruning of the cursor filter.
     """
     ts = utc_timestamp(F.col("created_at"))
+    envelope = []
+    for obj in ("actor", "repo", "org"):
+        if obj in feed.columns:
+            envelope.extend(flat_columns(obj, feed.schema[obj].dataType))
+    if "public" in feed.columns:
+        envelope.append(F.col("public"))
     return feed.select(
         F.col("id").cast("string").alias("id"),
         F.col("type"),
         ts.alias("created_at"),
         F.col("payload"),
+        *envelope,
         ts.cast("date").alias("created_date"),
     )
 

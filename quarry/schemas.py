@@ -109,9 +109,23 @@ BUNDLE_PAGE = _s(
 )
 
 # Repository event: a fixed envelope; the open-ended rest stays packed JSON.
+EVENT_ACTOR = _s(
+    ("id", LongType()),
+    ("login", StringType()),
+    ("display_login", StringType()),
+    ("url", StringType()),
+    ("avatar_url", StringType()),
+)
+EVENT_REPO = _s(("id", LongType()), ("name", StringType()), ("url", StringType()))
+EVENT_ORG = _s(("id", LongType()), ("login", StringType()), ("url", StringType()), ("avatar_url", StringType()))
+
 EVENT = _s(
     ("id", StringType()),
     ("type", StringType()),
+    ("actor", EVENT_ACTOR),
+    ("repo", EVENT_REPO),
+    ("org", EVENT_ORG),
+    ("public", BooleanType()),
     ("created_at", StringType()),
     ("payload", StringType()),
 )

@@ -224,6 +224,8 @@ def test_event_pages_read_arrays_per_line(spark, tmp_dir):
     os.makedirs(path)
     with open(os.path.join(path, "p0.json"), "w") as f:
         f.write(json.dumps([{"id": "1", "type": "PushEvent", "created_at": "2024-01-01T00:00:00Z",
+                             "actor": {"id": 7, "login": "octo", "display_login": "octo", "url": "u", "avatar_url": "a"},
+                             "repo": {"id": 9, "name": "o/r", "url": "u"}, "public": True,
                              "payload": {"size": 1, "commits": [{"sha": "x"}]}},
                             {"id": "2", "type": "WatchEvent", "created_at": "2024-01-01T00:00:01Z", "payload": {}}]) + "\n")
         f.write("[]\n")
@@ -233,6 +235,11 @@ def test_event_pages_read_arrays_per_line(spark, tmp_dir):
     assert json.loads(rows[0].payload)["commits"][0]["sha"] == "x"  # deeper levels stay packed
     unpacked = nz.unpack_payload(ev, {"size": "bigint"}).orderBy("id").collect()
     assert unpacked[0].payload__size == 1
+    from quarry.operators.incremental import events_from_feed
+
+    typed = events_from_feed(ev).orderBy("id").collect()
+    assert (typed[0].actor__login, typed[0].repo__name, typed[0].public) == ("octo", "o/r", True)
+    assert typed[1].actor__login is None and typed[1].created_at == dt.datetime(2024, 1, 1, 0, 0, 1)
 
 
 def test_checked_join_broadcasts_only_small_sides(spark):
