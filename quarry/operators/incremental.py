@@ -21,10 +21,12 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import DateType
 from pyspark.sql import functions as F
 
 from quarry.functions.naming import flat_columns, utc_timestamp
+from quarry.functions.running import exclusive_running
 
 INITIAL_CURSOR = "1970-01-01T00:00:00Z"
 _INITIAL = dt.datetime(1970, 1, 1)
@@ -129,23 +131,27 @@ def pull_gaps(pulls: DataFrame, repo_cols: list[str], pull_col: str, cap: int =
     A pull returns at most ``cap`` events, newest first. If it is full and its
     oldest event is newer than everything loaded by earlier pulls, events in
     between may never have been fetched. One row per pull; the running maximum
-    runs over pull rows only.
+    over earlier pulls is the blocked one, so a long pull history is not one
+    task. ``pull_col`` is an integer or a date.
     """
     per_pull = pulls.groupBy(*repo_cols, pull_col).agg(
         F.count(F.lit(1)).alias("n_events"),
         F.min("created_at").alias("oldest"),
         F.max("created_at").alias("newest"),
     )
-    w = Window.partitionBy(*repo_cols).orderBy(pull_col).rowsBetween(Window.unboundedPreceding, -1)
-    prev = F.max("newest").over(w)
-    return per_pull.select(
+    is_date = isinstance(per_pull.schema[pull_col].dataType, DateType)
+    ordered = per_pull.withColumn("_ord", F.unix_date(pull_col) if is_date else F.col(pull_col))
+    prev = exclusive_running(ordered, repo_cols, "_ord", "newest", "prev_cursor", how="max")
+    return prev.select(
         *repo_cols,
         pull_col,
         "n_events",
         "oldest",
         "newest",
-        prev.alias("prev_cursor"),
-        F.coalesce((F.col("n_events") >= cap) & (F.col("oldest") > prev), F.lit(False)).alias("possible_gap"),
+        "prev_cursor",
+        F.coalesce((F.col("n_events") >= cap) & (F.col("oldest") > F.col("prev_cursor")), F.lit(False)).alias(
+            "possible_gap"
+        ),
     )
 
 

@@ -258,3 +258,17 @@ def test_checked_join_broadcasts_only_small_sides(spark):
         assert plain.count() == as_broadcast.count() == 1000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_blocked_running_max_matches_plain_window(spark):
+    from pyspark.sql import Window
+
+    from quarry.functions.running import exclusive_running
+
+    df = spark.range(0, 3000).select(
+        (F.col("id") % 2).alias("g"), F.col("id").alias("o"), ((F.col("id") * 7919) % 1000).alias("v")
+    )
+    got = exclusive_running(df, ["g"], "o", "v", "prev", how="max", block=50)
+    w = Window.partitionBy("g").orderBy("o").rowsBetween(Window.unboundedPreceding, -1)
+    exp = df.withColumn("prev", F.max("v").over(w))
+    assert got.exceptAll(exp).count() == 0 and got.count() == 3000
