@@ -58,7 +58,15 @@ def _first_n(df: DataFrame, key: str, order: list[Column], n: int = API_LIST_CAP
 
 
 def _sorted_list(sort_key: Column, value: Column) -> Column:
-    pairs = F.array_sort(F.collect_list(F.struct(sort_key.alias("k"), value.alias("v"))))
+    """``value``s of a group as a list ordered by ``sort_key``.
+
+    The comparator reads only the key: ordering whole (deeply nested) values
+    would generate comparison code for every nested field.
+    """
+    pairs = F.array_sort(
+        F.collect_list(F.struct(sort_key.alias("k"), value.alias("v"))),
+        lambda a, b: F.when(a["k"] < b["k"], -1).when(a["k"] > b["k"], 1).otherwise(0),
+    )
     return F.transform(pairs, lambda x: x["v"])
 
 
