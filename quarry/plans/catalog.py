@@ -10,18 +10,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
-
 from pyspark.sql import functions as F
 
 from quarry import schemas
 from quarry.operators import incremental as inc
 from quarry.operators import normalize as nz
 from quarry.operators import pages as pg
-from quarry.plans import marts, oracle
+from quarry.plans import loads, marts, oracle
 from quarry.session import scratch_path
 from quarry.sinks.staging import stage_parquet
 from quarry.sinks.warehouse import Warehouse
 from quarry.sources import fixture_pages as fx
+from quarry.sources import landing
 from quarry.sources import standins as s
 from quarry.sources.replicate import ReplicationSpec, replicate
 from quarry.streaming import events as stream_events
@@ -65,6 +65,7 @@ def q_user_core_activity_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _size_or_null(c):
+    """List length that stays NULL for a missing list (no reactions fetched)."""
     return F.when(c.isNull(), F.lit(None).cast("int")).otherwise(F.size(c))
 
 
@@ -223,10 +224,6 @@ def q_table_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _loaded_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """Land both resources (events as issue comments, conversations as pull
     request comments), load them end to end into ``gh_data``."""
-    from quarry.plans import loads
-
-    from quarry.sources import landing
-
     base = scratch_path(spark, "landing")
     landing.land_json(
         fx.event_comment_pages(spark, sf_dir).unionByName(
