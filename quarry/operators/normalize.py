@@ -72,13 +72,7 @@ def comments(pages: DataFrame, resource: str, list_cap: int | None = None, keep_
     ``reaction_groups`` stays on the row for the reaction filter (FLT-1) unless
     ``keep_groups`` is off (PRJ-8).
     """
-    it = page_items(pages, resource)
-    exploded = it.select(
-        "owner",
-        "name",
-        F.col("item.number").alias("number"),
-        F.posexplode(cap_list(F.col("item.comments.nodes"), list_cap)).alias("list_idx", "c"),
-    )
+    exploded = _explode_child(page_items(pages, resource), "item.comments.nodes", list_cap, "c")
     cols = [
         *PARENT_KEY,
         "list_idx",
@@ -96,13 +90,8 @@ def comments(pages: DataFrame, resource: str, list_cap: int | None = None, keep_
 
 def item_reactions(pages: DataFrame, resource: str, list_cap: int | None = None) -> DataFrame:
     """Child table ``<resource>__reactions`` (ARR-2)."""
-    it = page_items(pages, resource)
-    return it.select(
-        "owner",
-        "name",
-        F.col("item.number").alias("number"),
-        F.posexplode(cap_list(F.col("item.reactions.nodes"), list_cap)).alias("list_idx", "r"),
-    ).select(*PARENT_KEY, "list_idx", *_reaction_columns("r"))
+    exploded = _explode_child(page_items(pages, resource), "item.reactions.nodes", list_cap, "r")
+    return exploded.select(*PARENT_KEY, "list_idx", *_reaction_columns("r"))
 
 
 def _reaction_columns(r: str) -> list[Column]:
@@ -113,6 +102,19 @@ def _reaction_columns(r: str) -> list[Column]:
     ]
 
 
+def _explode_child(items_df: DataFrame, list_path: str, list_cap: int | None, alias: str) -> DataFrame:
+    """One row per element of an item's list, with the item's key.
+
+    The parent key and the list are lifted to top-level columns first, so the
+    generator does not keep the item (and with it the whole list) on every
+    output row: exploding k elements then costs O(k), not O(k^2), bytes.
+    """
+    lifted = items_df.select(
+        "owner", "name", F.col("item.number").alias("number"), cap_list(F.col(list_path), list_cap).alias("_list")
+    )
+    return lifted.select(*PARENT_KEY, F.posexplode("_list").alias("list_idx", alias))
+
+
 def has_any_reaction(groups: Column) -> Column:
     """FLT-1 predicate: some reaction group has a set ``createdAt``."""
     return F.coalesce(

@@ -46,3 +46,14 @@ def test_list_caps_are_partial_limits(spark):
 
     plan = _plan(fx.conversation_pages(spark, SF))
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_exploded_children_do_not_carry_their_parent_list(spark):
+    """Each comment row must not keep the whole item (and its list): that
+    makes exploding k comments cost O(k^2) bytes."""
+    from quarry.operators import normalize as nz
+    from quarry.sources import fixture_pages as fx
+
+    plan = _plan(nz.comments(fx.conversation_pages(spark, SF), "issues"))
+    generates = [line for line in plan.splitlines() if "Generate posexplode(_list" in line]
+    assert generates and all("item#" not in line for line in generates)
