@@ -169,3 +169,17 @@ def test_outer_product_with_key_only_children(spark):
     b = spark.createDataFrame([(1,), (1,), (1,), (2,)], "k long")
     out = outer_product_by_key(parent, a, b, "k", "k", "k", cell_rows=1)
     assert sorted(tuple(r) for r in out.collect()) == [(1, "p")] * 6 + [(2, "q")]
+
+
+def test_comment_volume_union_forms_agree(spark):
+    issues = _comments(spark, [(str(i), "a", dt.datetime(2024, 1, 1 + i % 5, i % 24)) for i in range(40)])
+    prs = _comments(spark, [(str(i), "b", dt.datetime(2024, 1, 3 + i % 4, i % 24)) for i in range(30)])
+
+    def two_branch(df, tag):
+        return df.groupBy(F.col("created_at").cast("date").alias("day")).agg(
+            F.count(F.lit(1)).alias("num_comments")
+        ).withColumn("type", F.lit(tag))
+
+    expected = two_branch(issues, "issue").unionByName(two_branch(prs, "pull_request"))
+    got = marts.comment_volume_by_day(issues, prs)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
