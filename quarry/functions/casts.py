@@ -50,7 +50,3 @@ def day_of(ts: Column) -> Column:
     """
     return ts.cast("date")
 
-
-def round6(c: Column) -> Column:
-    """Averages are compared at 6 decimal places in both engines."""
-    return F.round(c, 6)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.casts import day_of, float32, ratio32, round6, round_to_int
+from quarry.functions.casts import day_of, float32, ratio32, round_to_int
 from quarry.operators.pairs import DEFAULT_CELL_ROWS, outer_product_by_key
 
 ISSUE = "issue"
