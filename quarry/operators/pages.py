@@ -121,9 +121,16 @@ def assert_pages_ok(pages: DataFrame, resource: str) -> None:
     """Fail the load if any response carried errors or not exactly one
     top-level connection, as the reference raises on the first such page.
     Only one aggregated row per repository reaches the driver."""
-    bad = page_problems(pages, resource).where(
-        (F.col("error_pages") > 0) | (F.col("bad_shape_pages") > 0)
-    ).collect()
+    assert_all_pages_ok(pages, [resource])
+
+
+def assert_all_pages_ok(pages: DataFrame, resources) -> None:
+    """``assert_pages_ok`` for several resources in one job."""
+    problems = [page_problems(pages, r) for r in resources]
+    merged = problems[0]
+    for more in problems[1:]:
+        merged = merged.unionByName(more)
+    bad = merged.where((F.col("error_pages") > 0) | (F.col("bad_shape_pages") > 0)).collect()
     if bad:
         detail = ", ".join(
             f"{r.owner}/{r.name}:{r.resource} errors={r.error_pages} bad_shape={r.bad_shape_pages}" for r in bad

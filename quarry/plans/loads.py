@@ -81,10 +81,10 @@ def load_reactions(
     """
     # parse the landed JSON once: every later step reads this columnar copy
     pages = stage_parquet(pages.where(F.col("resource").isin(*resources)), "pages")
+    if check:
+        pg.assert_all_pages_ok(pages, resources)
     written = []
     for resource in resources:
-        if check:
-            pg.assert_pages_ok(pages.where(F.col("resource") == resource), resource)
         for table, df in normalised_tables(pages, bundles, resource, max_items, dedupe_pages).items():
             warehouse.replace_table(df, dataset, table)
             written.append(f"{dataset}.{table}")
