@@ -5,12 +5,28 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarry.llm import mix_waterfill, token_orc
+from quarry.llm import decontam_fm, langid_zstd, mix_waterfill, token_orc
 from quarry.llm.catalog import BYTE_VOCABULARY
 from quarry.llm.common import read_table, scratch, stage
 
 
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is found without doubt stay."""
+    model = langid_zstd.train(docs.where(~langid_zstd.held_out()))
+    others = tuple(c for c in docs.columns if c != "doc_id")
+    judged = langid_zstd.identify(docs, model, keep=others)
+    return judged.where(~F.col("rejected")).select(*docs.columns)
+
+
+def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark passage stay."""
+    others = tuple(c for c in docs.columns if c != "doc_id")
+    found = decontam_fm.decontaminate(docs, read_table(spark, sf_dir, "benchmark"), keep=others)
+    return found.where(F.size("spans") == 0).select(*docs.columns)
+
+
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat or leave out documents, so that the sources come to their targets."""
     return mix_waterfill.repeated(mix_waterfill.mix(docs))
@@ -24,6 +40,8 @@ def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language", language_stage),
+    ("decontaminate", decontaminate_stage),
     ("mix", mix_stage),
     ("token_orc", token_stage),
 ]

@@ -5,8 +5,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarry.llm import mix_waterfill, token_count, token_orc, url_rules
+from quarry.llm import decontam_fm, langid_zstd, mix_waterfill, token_count, token_orc, url_rules
 from quarry.llm.common import Query, read_table, scratch
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -22,6 +23,13 @@ URL_RULES = [
 ]
 
 
+def op2_langid_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = langid_zstd.train(docs.where(~langid_zstd.held_out()))
+    judged = langid_zstd.identify(docs, model)
+    return judged.select("doc_id", langid_zstd.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op3_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "token-orc")
     token_orc.write_token_orc(
@@ -30,6 +38,21 @@ def op3_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.token_digest(spark, path)
 
 
+def op4_decontam_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam_fm.decontaminate(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    )
+    n_hit = F.aggregate("spans", F.lit(0), lambda n, s: n + s["stop"] - s["start"]).cast("long")
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
 def op5_mix_waterfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_waterfill.mix(read_table(spark, sf_dir, "documents"))
     return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
@@ -48,7 +71,9 @@ def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_langid_zstd": op2_langid_zstd,
     "op3_token_orc": op3_token_orc,
+    "op4_decontam_fm": op4_decontam_fm,
     "op5_mix_waterfill": op5_mix_waterfill,
     "op8_url_rules": op8_url_rules,
     "op10_token_count": op10_token_count,

@@ -24,9 +24,8 @@ ranked AS (  -- fullest first: the order in which sources reach their cap
                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ),
 level AS (
-    SELECT coalesce(min((total - cap_before)::DOUBLE / weight_left) FILTER (
-               cap >= (total - cap_before)::DOUBLE / weight_left * weight), 1e300) AS height
-    FROM ranked
+    -- Capping one more source raises the level until no further one is above its cap.
+    SELECT max((total - cap_before)::DOUBLE / weight_left) AS height FROM ranked
 ),
 targets AS (
     SELECT source, source_size, least(cap::DOUBLE, height * weight) AS target
