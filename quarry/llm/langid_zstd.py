@@ -11,9 +11,9 @@ seeded hash of their id at a rate set from the language's count, at most
 docs_per_lang x excerpt_chars at most, and the dictionaries (languages x blocks x
 ``block_bytes``) go to every worker. Prediction reads nothing but the text.
 
-A long text is compressed with one dictionary of each language; a text under
-``short_bytes`` with all of them, since single bytes decide there. Both read
-the whole text.
+A text of ``SHORT_BYTES`` or more is compressed greedily with one dictionary of
+each language; a shorter one, where single bytes decide, with a deeper search and
+all dictionaries of each. Both compress the whole text, in lower case.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0; with
 one learned language all other texts get it with score 1; with none all are ``und``;
@@ -40,11 +40,10 @@ MIN_MARGIN = 0.004
 SEED = 11
 
 _FRAME = {"write_content_size": False, "write_checksum": False, "write_dict_id": False}
-# Greedy search with hash and chain tables that fit one dictionary block.
-_SEARCH = {
-    "window_log": 18, "chain_log": 17, "hash_log": 17, "search_log": 3, "min_match": 4,
-    "target_length": 8, "strategy": zstandard.STRATEGY_GREEDY,
-}
+# Tables that fit one dictionary block; quick and thorough search.
+_TABLES = {"window_log": 18, "chain_log": 17, "hash_log": 17, "min_match": 4}
+_QUICK = {"strategy": zstandard.STRATEGY_GREEDY, "search_log": 3, "target_length": 8}
+_THOROUGH = {"strategy": zstandard.STRATEGY_BTLAZY2, "search_log": 6, "target_length": 64}
 _FRAME_BYTES = 6
 
 Model = dict[str, list[bytes]]
@@ -82,24 +81,26 @@ def train(
 
 class Classifier:
     def __init__(self, model: Model):
-        self.coders = {lang: [self._coder(b) for b in blocks if len(b) >= 8] for lang, blocks in sorted(model.items())}
-        self.coders = {lang: coders for lang, coders in self.coders.items() if coders}
+        usable = {lang: [b for b in blocks if len(b) >= 8] for lang, blocks in sorted(model.items())}
+        usable = {lang: blocks for lang, blocks in usable.items() if blocks}
+        self.long = {lang: [self._coder(blocks[0], _QUICK)] for lang, blocks in usable.items()}
+        self.short = {lang: [self._coder(b, _THOROUGH) for b in blocks] for lang, blocks in usable.items()}
 
     @staticmethod
-    def _coder(content: bytes) -> zstandard.ZstdCompressor:
-        params = zstandard.ZstdCompressionParameters(**_SEARCH, **_FRAME)
+    def _coder(content: bytes, search: dict) -> zstandard.ZstdCompressor:
+        params = zstandard.ZstdCompressionParameters(**_TABLES, **search, **_FRAME)
         data = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         data.precompute_compress(compression_params=params)
         return zstandard.ZstdCompressor(compression_params=params, dict_data=data)
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.coders or not any(map(str.isalpha, text)):
+        """Language and margin: how much smaller the best size is than the second."""
+        if not text or not self.long or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
-        data = text.lower().encode("utf-8", "surrogatepass")
-        used = None if len(data) < SHORT_BYTES else 1
+        data = f" {text.lower()} ".encode("utf-8", "surrogatepass")
+        coders = self.short if len(data) < SHORT_BYTES else self.long
         sizes = sorted(
-            (sum(len(c.compress(data)) - _FRAME_BYTES for c in coders[:used]) / len(coders[:used]), lang)
-            for lang, coders in self.coders.items()
+            (sum(len(c.compress(data)) - _FRAME_BYTES for c in own) / len(own), lang) for lang, own in coders.items()
         )
         if len(sizes) == 1:
             return sizes[0][1], 1.0
