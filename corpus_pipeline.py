@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontam_fm, langid_zstd, mix_waterfill, token_orc
+from quarry.llm import decontam_fm, langid_zstd, minhash_bbit, mix_waterfill, token_orc
 from quarry.llm.catalog import BYTE_VOCABULARY
 from quarry.llm.common import read_table, scratch, stage
 
@@ -20,6 +20,11 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return judged.where(~F.col("rejected")).select(*docs.columns)
 
 
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays: the one of smallest id."""
+    return minhash_bbit.keep_one(docs, minhash_bbit.near_duplicates(docs)).select(*docs.columns)
+
+
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage stay."""
     others = tuple(c for c in docs.columns if c != "doc_id")
@@ -41,6 +46,7 @@ def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("language", language_stage),
+    ("near_duplicates", near_duplicate_stage),
     ("decontaminate", decontaminate_stage),
     ("mix", mix_stage),
     ("token_orc", token_stage),

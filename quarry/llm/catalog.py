@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontam_fm, langid_zstd, mix_waterfill, token_count, token_orc, url_rules
+from quarry.llm import decontam_fm, langid_zstd, minhash_bbit, mix_waterfill, token_count, token_orc, url_rules
 from quarry.llm.common import Query, read_table, scratch
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -58,6 +58,10 @@ def op5_mix_waterfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_minhash_bbit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_bbit.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
     return url_rules.judge_urls(read_table(spark, sf_dir, "pages"), rules)
@@ -75,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op3_token_orc": op3_token_orc,
     "op4_decontam_fm": op4_decontam_fm,
     "op5_mix_waterfill": op5_mix_waterfill,
+    "op7_minhash_bbit": op7_minhash_bbit,
     "op8_url_rules": op8_url_rules,
     "op10_token_count": op10_token_count,
 }
