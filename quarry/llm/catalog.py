@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontam_fm, langid_zstd, minhash_bbit, mix_waterfill, token_count, token_orc, url_rules
+from quarry.llm import decontam_fm, dedup_pfp, langid_zstd, minhash_bbit, mix_waterfill, token_count, token_orc, url_rules
 from quarry.llm.common import Query, read_table, scratch
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -58,6 +58,17 @@ def op5_mix_waterfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_dedup_pfp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = dedup_pfp.repeated_spans(read_table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_minhash_bbit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_bbit.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -79,6 +90,7 @@ QUERIES: dict[str, Query] = {
     "op3_token_orc": op3_token_orc,
     "op4_decontam_fm": op4_decontam_fm,
     "op5_mix_waterfill": op5_mix_waterfill,
+    "op6_dedup_pfp": op6_dedup_pfp,
     "op7_minhash_bbit": op7_minhash_bbit,
     "op8_url_rules": op8_url_rules,
     "op10_token_count": op10_token_count,

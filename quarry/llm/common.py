@@ -3,6 +3,7 @@ numpy views of Arrow text columns inside tasks."""
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -71,3 +72,13 @@ def with_offsets(df: DataFrame, part: str, total: str, out: str) -> DataFrame:
     """
     w = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     return df.select(part, F.coalesce(F.sum(total).over(w), F.lit(0)).cast("long").alias(out))
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of finished, written steps.
+
+    The cleaner acts when the driver's JVM collects its garbage, which a large
+    driver heap may not do during a whole job.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
