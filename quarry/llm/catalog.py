@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontam_fm, dedup_pfp, langid_zstd, minhash_bbit, mix_waterfill, token_count, token_orc, url_rules
+from quarry.llm import ann_ads, decontam_fm, dedup_pfp, langid_zstd, minhash_bbit, mix_waterfill, token_count, token_orc, url_rules
 from quarry.llm.common import Query, read_table, scratch
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -23,6 +23,10 @@ URL_RULES = [
 ]
 
 
+def op1_ann_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_ads.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op2_langid_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = langid_zstd.train(docs.where(~langid_zstd.held_out()))
@@ -86,6 +90,7 @@ def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_ann_ads": op1_ann_ads,
     "op2_langid_zstd": op2_langid_zstd,
     "op3_token_orc": op3_token_orc,
     "op4_decontam_fm": op4_decontam_fm,
