@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import ann_ads, decontam_fm, dedup_pfp, langid_zstd, minhash_bbit, mix_waterfill, token_count, token_orc, url_rules
+from quarry.llm import ann_ads, decontam_fm, dedup_pfp, langid_zstd, minhash_bbit, mix_waterfill, quality_kn, token_count, token_orc, url_rules
 from quarry.llm.common import Query, read_table, scratch
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -82,6 +82,12 @@ def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(read_table(spark, sf_dir, "pages"), rules)
 
 
+def op9_quality_kn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_kn.judge_quality(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    )
+
+
 def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_count.count_tokens(
         read_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY)
@@ -98,5 +104,6 @@ QUERIES: dict[str, Query] = {
     "op6_dedup_pfp": op6_dedup_pfp,
     "op7_minhash_bbit": op7_minhash_bbit,
     "op8_url_rules": op8_url_rules,
+    "op9_quality_kn": op9_quality_kn,
     "op10_token_count": op10_token_count,
 }
