@@ -64,9 +64,14 @@ def train(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
         F.xxhash64(F.lit(seed), F.col(id_col)).alias("h"),
     ).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = labelled.groupBy("lang").agg(F.count("*").alias("n"))
+    # One row for each language. A literal map keeps the texts from being shuffled
+    # to their language for a join.
+    counts = [(r.lang, r["count"]) for r in labelled.groupBy("lang").count().collect()]
+    if not counts:
+        return {}
+    rate = F.create_map(*(F.lit(x) for lang, n in counts for x in (lang, docs_per_lang / n)))
     share = F.shiftrightunsigned("h", 11) / F.lit(float(1 << 53))
-    picked = labelled.join(counts, "lang").where(share < F.lit(float(docs_per_lang)) / F.col("n"))
+    picked = labelled.where(share < rate[F.col("lang")])
     rows = picked.select("lang", "h", F.substring("text", 1, excerpt_chars).alias("text")).collect()
     texts: dict[str, list[str]] = {}
     for r in sorted(rows, key=lambda r: (r.lang, r.h, r.text)):
