@@ -9,10 +9,12 @@
    signature fields, corrected for chance agreement; pairs clearly below the
    threshold go, the others are confirmed on the full shingle sets.
 3. Links give components. Buckets that still hold several components are
-   finished exactly: their members are laid on a grid of cells of at most
-   ``CELL`` members a side, cells compare longer b-bit signatures of members of
-   different components, and what comes near the threshold is confirmed on the
-   full sets as before. No bucket is capped.
+   finished exactly: their members are laid on a grid of cells of about ``CELL``
+   members a side, and cells compare longer b-bit signatures of members of
+   different components. Members with a pair that comes near the threshold get
+   their full sets, and the cell confirms such pairs until its components are
+   joined or all are refused. So a cell sends members and links, never its
+   pairs, and no bucket is capped.
 
 At similarity s >= 0.85 a pair shares no band with probability
 (1 - s^ROWS)^BANDS < 3e-7, and an estimate errs by more than ``SIGMAS`` standard
@@ -188,51 +190,116 @@ def long_signatures(texts: DataFrame) -> DataFrame:
     return texts.select("doc_id", "text").mapInArrow(run, "rep long, fields binary")
 
 
-def _compare_cells(cells: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components in one cell whose long signatures come near."""
-    least = least_fields(percent, LONG)
+_CELL = "cell long, band int, key long, i int, j int"
+_MEMBER = "rep long, component long, mine int, fields binary"
+_CELL_NAMES, _MEMBER_NAMES = ("cell", "band", "key", "i", "j"), ("rep", "component", "mine", "fields")
+
+
+def _in_cells(cells: DataFrame) -> DataFrame:
+    return cells.repartition("cell").sortWithinPartitions(*_CELL_NAMES, "rep")
+
+
+def _by_cell(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Cells of sorted rows, one after the other, with their members' columns ``names``."""
+    at, members = None, []
+    for batch in batches:
+        keys = zip(*(batch.column(c).to_pylist() for c in _CELL_NAMES))
+        for key, member in zip(keys, zip(*(batch.column(c).to_pylist() for c in names))):
+            if key != at:
+                if len(members) > 1:
+                    yield at, members
+                at, members = key, []
+            members.append(member)
+    if len(members) > 1:
+        yield at, members
+
+
+def _near_pairs(members: list[tuple], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of members of different components whose signatures agree in ``least``
+    fields: of all members of a cell on the grid's diagonal, else across its sides."""
     ones = np.uint64(sum(1 << (BITS * k) for k in range(64 // BITS)))
+    comps, sides = (np.array([m[k] for m in members]) for k in (1, 2))
+    words = np.frombuffer(b"".join(m[3] for m in members), np.uint64).reshape(len(members), -1)
+    left = np.flatnonzero(sides == sides.min())
+    right = left if (sides == sides[0]).all() else np.flatnonzero(sides != sides.min())
+    equal = np.full((len(left), len(right)), LONG, np.int32)
+    for k in range(words.shape[1]):
+        x = words[left, k][:, None] ^ words[right, k][None, :]
+        y = x.copy()
+        for step in range(1, BITS):
+            y |= x >> np.uint64(step)
+        equal -= np.bitwise_count(y & ones)
+    a, b = np.nonzero((equal >= least) & (comps[left][:, None] != comps[right][None, :]))
+    return left[a], right[b]
 
-    def near(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
-        reps = np.array([r[0] for r in rows])
-        comps = np.array([r[1] for r in rows])
-        sides = np.array([r[2] for r in rows])
-        words = np.frombuffer(b"".join(r[3] for r in rows), np.uint64).reshape(len(rows), -1)
-        diagonal = len(set(sides.tolist())) == 1
-        left = np.arange(len(rows)) if diagonal else np.flatnonzero(sides == sides.min())
-        right = left if diagonal else np.flatnonzero(sides != sides.min())
-        equal = np.full((len(left), len(right)), LONG, np.int32)
-        for k in range(words.shape[1]):
-            x = words[left, k][:, None] ^ words[right, k][None, :]
-            y = x.copy()
-            for step in range(1, BITS):
-                y |= x >> np.uint64(step)
-            equal -= np.bitwise_count(y & ones)
-        good = (equal >= least) & (comps[left][:, None] != comps[right][None, :])
-        a, b = np.nonzero(good)
-        u, v = reps[left[a]], reps[right[b]]
-        return np.minimum(u, v), np.maximum(u, v)
+
+def _near_members(cells: DataFrame, percent: int) -> DataFrame:
+    """Members that have a near pair in their cell."""
+    least = least_fields(percent, LONG)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(rows: list[tuple]) -> pa.RecordBatch:
-            u, v = near(rows)
-            once = np.unique(np.stack((u, v), 1), axis=0) if len(u) else np.empty((0, 2), np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(once[:, 0]), pa.array(once[:, 1])], ["u", "v"])
+        for key, members in _by_cell(batches, _MEMBER_NAMES):
+            a, b = _near_pairs(members, least)
+            kept = [members[k] for k in np.union1d(a, b).tolist()]
+            yield pa.RecordBatch.from_pylist(
+                [dict(zip(_CELL_NAMES, key)) | dict(zip(_MEMBER_NAMES, m)) for m in kept], schema=schema
+            )
 
-        at, rows = None, []
-        names = ("cell", "band", "key", "i", "j", "rep", "component", "mine", "fields")
-        for batch in batches:
-            for cell, band, key, i, j, *row in zip(*(batch.column(c).to_pylist() for c in names)):
-                if (cell, band, key, i, j) != at:
-                    if len(rows) > 1:
-                        yield out(rows)
-                    at, rows = (cell, band, key, i, j), []
-                rows.append(tuple(row))
-        if len(rows) > 1:
-            yield out(rows)
+    longs, ints = pa.int64(), pa.int32()
+    schema = pa.schema(
+        list(zip(_CELL_NAMES + _MEMBER_NAMES, (longs, ints, longs, ints, ints, longs, longs, ints, pa.binary())))
+    )
+    return _in_cells(cells).mapInArrow(run, f"{_CELL}, {_MEMBER}")
+
+
+def full_sets(texts: DataFrame) -> DataFrame:
+    """Sorted shingle hashes of each document, as bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in row_chunks(batches, "text", CHUNK_BYTES):
+            values, bounds = shingle_sets(*utf8_column(chunk.column("text")), SHINGLE)
+            sets = [values[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([chunk.column("doc_id"), pa.array(sets, pa.binary())], ["rep", "shingles"])
+
+    return texts.select("doc_id", "text").mapInArrow(run, "rep long, shingles binary")
+
+
+def _cell_links(cells: DataFrame, percent: int) -> DataFrame:
+    """Links between components, confirmed on the full sets inside each cell.
+
+    A cell gives at most one link fewer than it has members: pairs whose
+    components a link of the cell has joined already need no other.
+    """
+    least = least_fields(percent, LONG)
+
+    def links(members: list[tuple]) -> list[tuple[int, int]]:
+        sets = [np.frombuffer(m[4], np.uint64) for m in members]
+        joined = {m[1]: m[1] for m in members}
+
+        def root(c: int) -> int:
+            while joined[c] != c:
+                joined[c] = c = joined[joined[c]]
+            return c
+
+        found = []
+        for a, b in zip(*(x.tolist() for x in _near_pairs(members, least))):
+            c, d = root(members[a][1]), root(members[b][1])
+            if c == d:
+                continue
+            both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+            if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                joined[c] = d
+                found.append((members[a][0], members[b][0]))
+        return found
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, members in _by_cell(batches, (*_MEMBER_NAMES, "shingles")):
+            found = links(members)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([f[k] for f in found], pa.int64()) for k in range(2)], ["u", "v"]
+            )
 
-    ordered = cells.repartition("cell").sortWithinPartitions("cell", "band", "key", "i", "j", "rep")
-    return ordered.mapInArrow(run, "u long, v long").distinct()
+    return _in_cells(cells).mapInArrow(run, "u long, v long")
 
 
 def near_duplicates(
@@ -281,9 +348,10 @@ def near_duplicates(
         "band", "key", "rep", F.coalesce("component", "rep").alias("component")
     )
     cells = stage(_open_cells(stage(labelled, "minhash-labelled"), cell), "minhash-cells")
-    closer = long_signatures(texts.join(cells.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"))
-    near = _compare_cells(cells.join(closer, "rep"), percent)
-    more = stage(confirm(near, texts, percent), "minhash-links")
+    open_texts = texts.join(cells.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    near = stage(_near_members(cells.join(long_signatures(open_texts), "rep"), percent), "minhash-near")
+    near_texts = texts.join(near.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    more = stage(_cell_links(near.join(full_sets(near_texts), "rep"), percent), "minhash-links")
     found = components(links.unionByName(more))
 
     class_of = classes.select("d1", "d2", "rep")
