@@ -9,39 +9,50 @@ input back.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry import schemas
 from quarry.functions.naming import flat_columns, utc_timestamp
-from quarry.sources.landing import page_items
+from quarry.sources.landing import list_offset, page_items
 
 PARENT_KEY = ["owner", "name", "number"]
 
-# Lists the API returns per item / per comment (first: 100 in the queries).
-API_LIST_CAP = 100
-
 
 def list_size(arr: Column) -> Column:
     """Length of a list, 0 for a missing list (whatever ``sizeOfNull`` says)."""
     return F.when(arr.isNull(), F.lit(0)).otherwise(F.size(arr))
 
 
-def cap_list(arr: Column, n: int | None) -> Column:
-    """FLT-5: the first ``n`` elements of a list (all if ``n`` is falsy)."""
-    return F.slice(arr, 1, n) if n else arr
+def listed(length: Column, n: int | None) -> Column:
+    """FLT-5: elements kept of a list of ``length`` when at most ``n`` are (all if ``n`` is falsy)."""
+    return F.least(length, F.lit(n)) if n else length
 
 
 def items(pages: DataFrame, resource: str, list_cap: int | None = None) -> DataFrame:
     """Item table (``issues`` / ``pull_requests``): PRJ-3, PRJ-5.
 
     ``reactions_total_count`` and ``comments_total_count`` come from the
-    connection's ``totalCount``, 0 when absent. ``list_cap`` re-applies the
-    per-item list cap and flags items whose lists were cut.
+    connection's ``totalCount``, 0 when absent. ``list_cap`` re-applies a
+    per-item list cap and flags items whose lists were cut; by default lists
+    are whole. An item whose lists go on in further lines of its page is one row:
+    the lines' list lengths are added up (a join that adaptive execution drops
+    when there are no such lines).
     """
-    it = page_items(pages, resource)
-    comments = cap_list(F.col("item.comments.nodes"), list_cap)
-    reactions = cap_list(F.col("item.reactions.nodes"), list_cap)
+    sized = page_items(pages, resource).select(
+        "*",
+        F.col("item.number").alias("_number"),
+        list_size(F.col("item.comments.nodes")).alias("_comments"),
+        list_size(F.col("item.reactions.nodes")).alias("_reactions"),
+    )
+    more = (
+        sized.where(F.col("list_offset") > 0)
+        .groupBy("owner", "name", "_number")
+        .agg(F.sum("_comments").alias("_more_comments"), F.sum("_reactions").alias("_more_reactions"))
+    )
+    it = sized.where(F.col("list_offset") == 0).join(more, ["owner", "name", "_number"], "left")
+    n_comments = listed(F.col("_comments") + F.coalesce("_more_comments", F.lit(0)), list_cap).cast("int")
+    n_reactions = listed(F.col("_reactions") + F.coalesce("_more_reactions", F.lit(0)), list_cap).cast("int")
     return it.select(
         "owner",
         "name",
@@ -60,9 +71,9 @@ def items(pages: DataFrame, resource: str, list_cap: int | None = None) -> DataF
         utc_timestamp(F.col("item.updatedAt")).alias("updated_at"),
         F.coalesce(F.col("item.reactions.totalCount"), F.lit(0)).alias("reactions_total_count"),
         F.coalesce(F.col("item.comments.totalCount"), F.lit(0)).alias("comments_total_count"),
-        list_size(comments).alias("comments_listed"),
-        list_size(reactions).alias("reactions_listed"),
-        (F.coalesce(F.col("item.comments.totalCount"), F.lit(0)) > list_size(comments)).alias("comments_truncated"),
+        n_comments.alias("comments_listed"),
+        n_reactions.alias("reactions_listed"),
+        (F.coalesce(F.col("item.comments.totalCount"), F.lit(0)) > n_comments).alias("comments_truncated"),
     )
 
 
@@ -110,9 +121,17 @@ def _explode_child(items_df: DataFrame, list_path: str, list_cap: int | None, al
     output row: exploding k elements then costs O(k), not O(k^2), bytes.
     """
     lifted = items_df.select(
-        "owner", "name", F.col("item.number").alias("number"), cap_list(F.col(list_path), list_cap).alias("_list")
+        "owner", "name", F.col("item.number").alias("number"), "list_offset", F.col(list_path).alias("_list")
     )
-    return lifted.select(*PARENT_KEY, F.posexplode("_list").alias("list_idx", alias))
+    exploded = lifted.select(*PARENT_KEY, "list_offset", F.posexplode("_list").alias("_pos", alias))
+    return _positioned(exploded, list_cap, alias)
+
+
+def _positioned(exploded: DataFrame, list_cap: int | None, *keep: str) -> DataFrame:
+    """Position in the whole list from the line's offset; the list cap, if any."""
+    others = [c for c in exploded.columns if c not in ("list_offset", "_pos", *keep)]
+    rows = exploded.select(*others, (F.col("list_offset") + F.col("_pos")).cast("int").alias("list_idx"), *keep)
+    return rows.where(F.col("list_idx") < list_cap) if list_cap else rows
 
 
 def has_any_reaction(groups: Column) -> Column:
@@ -129,38 +148,65 @@ def reacted_comments(comment_rows: DataFrame) -> DataFrame:
 
 
 def bundle_nodes(bundles: DataFrame) -> DataFrame:
-    """SRC-5 + MAP-1: every node of every bundle response, one row per comment id.
+    """SRC-5 + MAP-1: every node of every bundle response, one row per comment id
+    and list offset (0 unless a long reaction list goes on in another response).
 
     The ``rateLimit`` entry and nodes without an id (not a comment) are left
-    out; a comment asked for twice keeps one node (the join needs a unique id).
+    out; of a comment asked for twice the later request is kept.
     """
-    nodes = bundles.select(F.explode("data").alias("alias", "node")).where(
-        (F.col("alias") != "rateLimit") & F.col("node.id").isNotNull()
+    request = F.col("request_no") if "request_no" in bundles.columns else F.lit(0)
+    nodes = bundles.select(
+        request.alias("_request"), list_offset(bundles).alias("reactions_offset"), F.explode("data").alias("alias", "node")
+    ).where((F.col("alias") != "rateLimit") & F.col("node.id").isNotNull())
+    latest = Window.partitionBy("id", "reactions_offset").orderBy(F.desc("_request"), F.desc("alias"))
+    return (
+        nodes.select(
+            "_request", "alias", "reactions_offset", F.col("node.id").alias("id"), F.col("node.reactions").alias("reactions")
+        )
+        .withColumn("_rn", F.row_number().over(latest))
+        .where(F.col("_rn") == 1)
+        .select("id", "reactions_offset", "reactions")
     )
-    return nodes.select(F.col("node.id").alias("id"), F.col("node.reactions").alias("reactions")).dropDuplicates(["id"])
 
 
-def attach_reactions(comment_rows: DataFrame, nodes: DataFrame, list_cap: int | None = API_LIST_CAP) -> DataFrame:
+def attach_reactions(comment_rows: DataFrame, nodes: DataFrame, only_reacted: bool = False) -> DataFrame:
     """JN-4 + PRJ-7: comments keep their rows; reacted ones gain their reactions.
 
     ``reactions_total_count`` is NULL for a comment that had no reaction node
-    (the reference sets the field only when reactions were fetched).
+    (the field is set only when reactions were fetched) and 0 for a node without
+    a total. A comment whose reactions came in several responses has a row for
+    each, by ``reactions_offset``; the first (0) is the comment's own. With
+    ``only_reacted`` a node is attached only to a comment with any reaction
+    (FLT-1); the others get a key that no node has, spread like any other.
     """
-    joined = comment_rows.join(nodes, "id", "left")
+    key = F.col("id")
+    if only_reacted:
+        key = F.when(has_any_reaction(F.col("reaction_groups")), key).otherwise(F.concat(F.lit("\u0000"), key))
+    found = nodes.select(F.col("id").alias("_id"), "reactions_offset", "reactions")
+    joined = comment_rows.withColumn("_key", key).join(found, F.col("_key") == F.col("_id"), "left")
+    total = F.when(F.col("reactions").isNotNull(), F.coalesce(F.col("reactions.totalCount"), F.lit(0)))
     return joined.select(
         *[c for c in comment_rows.columns if c != "reaction_groups"],
-        F.col("reactions.totalCount").alias("reactions_total_count"),
-        cap_list(F.col("reactions.nodes"), list_cap).alias("reactions"),
+        total.alias("reactions_total_count"),
+        F.col("reactions.nodes").alias("reactions"),
+        F.coalesce("reactions_offset", F.lit(0)).alias("reactions_offset"),
     )
 
 
-def comment_reactions(attached: DataFrame) -> DataFrame:
+def commented(attached: DataFrame) -> DataFrame:
+    """The comment table of attached rows: one row per comment, without the lists."""
+    return attached.where(F.col("reactions_offset") == 0).drop("reactions", "reactions_offset")
+
+
+def comment_reactions(attached: DataFrame, list_cap: int | None = None) -> DataFrame:
     """Grandchild table ``<resource>__comments__reactions`` (ARR-3)."""
-    return attached.select(
+    exploded = attached.select(
         *PARENT_KEY,
         F.col("id").alias("comment_id"),
-        F.posexplode("reactions").alias("list_idx", "r"),
-    ).select(*PARENT_KEY, "comment_id", "list_idx", *_reaction_columns("r"))
+        F.col("reactions_offset").alias("list_offset"),
+        F.posexplode("reactions").alias("_pos", "r"),
+    )
+    return _positioned(exploded, list_cap, "r").select(*PARENT_KEY, "comment_id", "list_idx", *_reaction_columns("r"))
 
 
 def stargazers(pages: DataFrame) -> DataFrame:

@@ -5,46 +5,73 @@ All of them work on one small row per page (a count, a cost), never on the
 items, and the page rows are joined back or filtered before items are
 exploded. The order-dependent cap uses the blocked running sum, so a
 repository with millions of pages is still spread over many tasks.
+
+A line that continues the child lists of a page (``list_offset`` above 0) is part
+of that page: it is checked like any line, but is not counted as a page.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry import schemas
 from quarry.functions.running import exclusive_running_sum
-from quarry.operators.joins import join_checked
 from quarry.operators.normalize import list_size
-from quarry.sources.landing import page_list
+from quarry.sinks.staging import stage_parquet
+from quarry.sources.landing import list_offset, page_list
 
 PAGE_KEY = ["owner", "name", "resource"]
+CHECKS = ("corrupt_pages", "error_pages", "bad_shape_pages")
 
 
-def latest_pages(pages: DataFrame) -> DataFrame:
-    """One row per (owner, name, resource, page_no): the copy landed last.
+def latest_pages(pages: DataFrame, row_id: str) -> DataFrame:
+    """One row per page and list offset: the copy landed last.
 
-    ``row_number() = 1`` is planned with a partial per-key limit before the
-    shuffle, so many copies of one page never meet in a single task.
+    ``row_id`` is a stored unique column. The winners are found on narrow rows;
+    the page rows only meet the ids of the losing copies, which are few, so
+    Catalyst can broadcast them (or drop the join when there are none).
     """
-    w = Window.partitionBy(*PAGE_KEY, "page_no").orderBy(F.col("landed_at").desc_nulls_last())
-    return pages.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    keys = [*PAGE_KEY, "page_no", "_offset"]
+    copies = pages.select(
+        *PAGE_KEY, "page_no", list_offset(pages).alias("_offset"), F.struct("landed_at", row_id).alias("copy")
+    )
+    several = copies.groupBy(*keys).agg(F.max("copy").alias("winner"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    same = reduce(lambda a, b: a & b, [F.col(f"c.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys])
+    losers = (
+        copies.alias("c")
+        .join(several.alias("s"), same)
+        .where(F.col(f"copy.{row_id}") != F.col(f"winner.{row_id}"))
+        .select(F.col(f"copy.{row_id}").alias(row_id))
+    )
+    return pages.join(losers, row_id, "left_anti")
 
 
 def page_sizes(pages: DataFrame, resource: str) -> DataFrame:
-    """Per page: item count, request cost, remaining credits, response checks.
+    """Per landed line: item count, request cost, remaining credits, response checks.
 
-    PRJ-9: a missing ``rateLimit`` counts as cost 0, remaining 0.
+    PRJ-9: a missing ``rateLimit`` counts as cost 0, remaining 0. FLT-4: only a
+    list that is there and has no element makes an empty page; a missing
+    connection is a failed response (FLT-7).
     """
-    items = list_size(F.col(page_list(pages, resource)))
+    conn = F.col(f"data.repository.{schemas.CONNECTIONS[resource]}")
+    listed = F.col(page_list(pages, resource))
     keys = F.col("data_keys") if "data_keys" in pages.columns else F.array(F.lit("repository"))
-    return pages.where(F.col("resource") == resource).select(
+    keys = F.filter(F.coalesce(keys, F.array().cast("array<string>")), lambda k: k != "rateLimit")
+    corrupt = F.coalesce(F.col("corrupt"), F.lit(False)) if "corrupt" in pages.columns else F.lit(False)
+    return pages.where(F.col("resource").eqNullSafe(resource)).select(
         *PAGE_KEY,
         "page_no",
-        items.alias("n_items"),
+        list_offset(pages).alias("list_offset"),
+        list_size(listed).alias("n_items"),
+        (listed.isNotNull() & (list_size(listed) == 0)).alias("is_empty"),
         F.coalesce(F.col("data.rateLimit.cost"), F.lit(0)).alias("cost"),
         F.coalesce(F.col("data.rateLimit.remaining"), F.lit(0)).alias("remaining"),
         (list_size(F.col("errors")) > 0).alias("has_errors"),
-        F.size(F.filter(keys, lambda k: k != "rateLimit")).alias("top_connections"),
+        ((F.size(keys) != 1) | conn.isNull()).alias("bad_shape"),
+        corrupt.alias("is_corrupt"),
     )
 
 
@@ -56,12 +83,8 @@ def cap_pages(pages: DataFrame, resource: str, max_items: int | None) -> DataFra
     *before* a page number fewer than ``max_items``: whole pages, so 250 with
     pages of 100 takes 300.
     """
-    sizes = page_sizes(pages, resource)
-    first_empty = (
-        sizes.where(F.col("n_items") == 0)
-        .groupBy(*PAGE_KEY)
-        .agg(F.min("page_no").alias("first_empty"))
-    )
+    sizes = page_sizes(pages, resource).where(F.col("list_offset") == 0)
+    first_empty = sizes.where("is_empty").groupBy(*PAGE_KEY).agg(F.min("page_no").alias("first_empty"))
     kept = sizes.join(first_empty, PAGE_KEY, "left").where(
         F.col("first_empty").isNull() | (F.col("page_no") < F.col("first_empty"))
     )
@@ -71,7 +94,7 @@ def cap_pages(pages: DataFrame, resource: str, max_items: int | None) -> DataFra
         )
     else:
         kept = kept.withColumn("items_before", F.lit(None).cast("long"))
-    return kept.select(*PAGE_KEY, "page_no", "n_items", "items_before")
+    return kept.select(*PAGE_KEY, "page_no", "n_items", "cost", "remaining", "items_before")
 
 
 def page_bounds(pages: DataFrame, resource: str, max_items: int | None) -> DataFrame:
@@ -87,52 +110,108 @@ def page_bounds(pages: DataFrame, resource: str, max_items: int | None) -> DataF
 def capped_pages(pages: DataFrame, resource: str, max_items: int | None) -> DataFrame:
     """The landed page rows that survive ``cap_pages`` (ready to normalise).
 
-    The page rows (the bulk of the landed data) are filtered against one
-    bound per repository, broadcast after a size check, so they never shuffle.
+    The page rows (the bulk of the landed data) meet one bound per repository,
+    staged first so that Catalyst knows its bytes and picks the join by them.
     """
-    bounds = page_bounds(pages, resource, max_items)
+    bounds = stage_parquet(page_bounds(pages, resource, max_items), "page_bounds")
     own = pages.where(F.col("resource") == resource)
-    return join_checked(own, bounds, PAGE_KEY).where(F.col("page_no") <= F.col("_last_page")).drop("_last_page")
+    return own.join(bounds, PAGE_KEY).where(F.col("page_no") <= F.col("_last_page")).drop("_last_page")
 
 
 def load_audit(pages: DataFrame, resource: str, max_items: int | None = None) -> DataFrame:
     """AG-8: per repository and resource, what one load fetched and cost."""
-    kept = cap_pages(pages, resource, max_items)
-    sizes = page_sizes(pages, resource).join(kept.select(*PAGE_KEY, "page_no"), [*PAGE_KEY, "page_no"], "left_semi")
-    return sizes.groupBy(*PAGE_KEY).agg(
-        F.count(F.lit(1)).alias("pages"),
-        F.sum("n_items").alias("items"),
-        F.sum("cost").alias("total_cost"),
-        F.min("remaining").alias("min_remaining"),
+    return (
+        cap_pages(pages, resource, max_items)
+        .groupBy(*PAGE_KEY)
+        .agg(
+            F.count(F.lit(1)).alias("pages"),
+            F.sum("n_items").alias("items"),
+            F.sum("cost").alias("total_cost"),
+            F.min("remaining").alias("min_remaining"),
+        )
+    )
+
+
+def bundle_audit(bundles: DataFrame) -> DataFrame:
+    """AG-8 for the comment-reaction requests: per repository, requests, comments
+    asked for, their cost and the credits left."""
+    rate = F.col("data")["rateLimit"]
+    asked = F.filter(F.map_values("data"), lambda node: node["id"].isNotNull())
+    return bundles.groupBy("owner", "name").agg(
+        F.count(F.lit(1)).alias("requests"),
+        F.sum(F.size(asked)).alias("comments"),
+        F.sum(F.coalesce(rate["cost"], F.lit(0))).alias("total_cost"),
+        F.min(F.coalesce(rate["remaining"], F.lit(0))).alias("min_remaining"),
     )
 
 
 def page_problems(pages: DataFrame, resource: str) -> DataFrame:
-    """FLT-6 + FLT-7 per repository: responses with errors or a wrong shape."""
-    sizes = page_sizes(pages, resource)
-    return sizes.groupBy(*PAGE_KEY).agg(
-        F.count(F.lit(1)).alias("pages"),
-        F.count_if("has_errors").alias("error_pages"),
-        F.count_if(F.col("top_connections") != 1).alias("bad_shape_pages"),
+    """FLT-6 + FLT-7 per repository: responses with errors or a wrong shape, lines
+    that are not JSON, page numbers that are missing or came again.
+
+    A copy of a page is harmless (``latest_pages`` loads it once) and only counted.
+    """
+    lines = page_sizes(pages, resource)
+    first = F.col("list_offset") == 0
+    return (
+        lines.groupBy(*PAGE_KEY)
+        .agg(
+            F.count_if(first).alias("pages"),
+            F.count_if("has_errors").alias("error_pages"),
+            F.count_if("bad_shape").alias("bad_shape_pages"),
+            F.count_if("is_corrupt").alias("corrupt_pages"),
+            F.countDistinct(F.when(first, F.col("page_no"))).alias("_numbers"),
+            (F.max("page_no") - F.min("page_no") + 1).alias("_span"),
+        )
+        .select(
+            *PAGE_KEY,
+            "pages",
+            "error_pages",
+            "bad_shape_pages",
+            "corrupt_pages",
+            (F.coalesce("_span", F.lit(0)) - F.col("_numbers")).alias("missing_pages"),
+            (F.col("pages") - F.col("_numbers")).alias("repeated_pages"),
+        )
     )
 
 
-def assert_pages_ok(pages: DataFrame, resource: str) -> None:
-    """Fail the load if any response carried errors or not exactly one
-    top-level connection, as the reference raises on the first such page.
-    Only one aggregated row per repository reaches the driver."""
-    assert_all_pages_ok(pages, [resource])
+def bundle_problems(bundles: DataFrame) -> DataFrame:
+    """FLT-6 for the comment-reaction responses: one row of counts."""
+    corrupt = F.coalesce(F.col("corrupt"), F.lit(False)) if "corrupt" in bundles.columns else F.lit(False)
+    return bundles.agg(
+        F.count_if(list_size(F.col("errors")) > 0).alias("error_pages"),
+        F.count_if(F.col("data").isNull() & ~corrupt).alias("bad_shape_pages"),
+        F.count_if(corrupt).alias("corrupt_pages"),
+    )
+
 
+def assert_landed_ok(pages: DataFrame, resources, bundles: DataFrame | None = None) -> None:
+    """Fail the load if any landed line is broken: not JSON, with errors, without its
+    one connection, of no known resource, or if a page number is missing.
 
-def assert_all_pages_ok(pages: DataFrame, resources) -> None:
-    """``assert_pages_ok`` for several resources in one job."""
-    problems = [page_problems(pages, r) for r in resources]
-    merged = problems[0]
-    for more in problems[1:]:
-        merged = merged.unionByName(more)
-    bad = merged.where((F.col("error_pages") > 0) | (F.col("bad_shape_pages") > 0)).collect()
-    if bad:
-        detail = ", ".join(
-            f"{r.owner}/{r.name}:{r.resource} errors={r.error_pages} bad_shape={r.bad_shape_pages}" for r in bad
+    All chosen resources and the bundles are checked in one job, which returns
+    one row of counts and the first repository concerned.
+    """
+    wrong = ("error_pages", "bad_shape_pages", "corrupt_pages", "missing_pages")
+    where = F.concat_ws("/", "owner", "name", "resource")
+    found = [page_problems(pages, r).select(where.alias("at"), *wrong) for r in resources]
+    if "corrupt" in pages.columns:
+        # A broken line has no resource to be counted under.
+        lost = pages.where(F.col("corrupt") & F.col("resource").isNull()).agg(F.count(F.lit(1)).alias("n"))
+        found.append(lost.select(F.lit("unreadable").alias("at"), *_counts(wrong, corrupt_pages="n")))
+    if bundles is not None:
+        found.append(
+            bundle_problems(bundles).select(
+                F.lit("bundles").alias("at"), *_counts(wrong, **{c: c for c in CHECKS})
+            )
         )
-        raise ValueError(f"landed pages failed checks: {detail}")
+    merged = reduce(DataFrame.unionByName, found)
+    bad = reduce(lambda a, b: a | b, [F.col(c) > 0 for c in wrong])
+    row = merged.where(bad).agg(F.min("at").alias("at"), *(F.sum(c).alias(c) for c in wrong)).first()
+    if row.at is not None:
+        detail = ", ".join(f"{c}={row[c]}" for c in wrong if row[c])
+        raise ValueError(f"landed pages failed checks: {detail}, first at {row.at}")
+
+
+def _counts(names: tuple[str, ...], **given: str) -> list:
+    return [(F.col(given[c]) if c in given else F.lit(0)).cast("long").alias(c) for c in names]

@@ -8,11 +8,13 @@ do, as plain Spark jobs (no scheduler: run them from whatever runs jobs).
 * ``load_stargazers``: SRC-3, SNK-1;
 * ``load_repo_events``: incremental, table per event type (INC-1..4, SNK-2, SNK-3);
 * ``derive_analytics``: the six derived tables with enforced contracts and a
-  statistics row for the team table (SNK-4, SNK-5, SNK-7, SNK-8).
+  statistics row for each (SNK-4, SNK-5, SNK-7, SNK-8).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,7 @@ from quarry.sinks.staging import stage_parquet
 from quarry.sinks.warehouse import Warehouse
 
 REACTION_RESOURCES = ("issues", "pull_requests")
+LINE_ID = "_line"
 
 
 def normalised_tables(
@@ -32,37 +35,47 @@ def normalised_tables(
     bundles: DataFrame | None,
     resource: str,
     max_items: int | None = None,
-    dedupe_pages: bool = False,
 ) -> dict[str, DataFrame]:
     """The tables one resource loads into, keyed by table name.
 
     ``pages`` should be a staged (Parquet) copy: it is read by the cap and by
     every table. The comments with their reactions feed two tables, so they
     are staged once as well instead of being re-joined per table; later reads
-    prune to the nested columns each table needs.
+    prune to the nested columns each table needs. Only comments with any
+    reaction are looked up (FLT-1); the rest keep NULL.
     """
-    own = pages.where(F.col("resource") == resource)
-    if dedupe_pages:
-        # only when a landing area may hold several copies of a page: this
-        # shuffles the page rows once by page key
-        own = pg.latest_pages(own)
-    kept = pg.capped_pages(own, resource, max_items)
+    kept = pg.capped_pages(pages, resource, max_items)
     comments = nz.comments(kept, resource)
     if bundles is not None:
-        # only comments with any reaction are looked up (FLT-1); the rest keep NULL
-        reacted_ids = nz.reacted_comments(comments).select("id")
-        nodes = nz.bundle_nodes(bundles).join(reacted_ids, "id", "left_semi")
+        nodes = nz.bundle_nodes(bundles)
     else:
-        nodes = comments.sparkSession.createDataFrame([], "id string, reactions " + schemas.REACTION_CONNECTION.simpleString())
-    attached = stage_parquet(nz.attach_reactions(comments, nodes), f"comments_{resource}")
+        nodes = comments.sparkSession.createDataFrame(
+            [], "id string, reactions_offset long, reactions " + schemas.REACTION_CONNECTION.simpleString()
+        )
+    attached = stage_parquet(nz.attach_reactions(comments, nodes, only_reacted=True), f"comments_{resource}")
     return {
         resource: nz.items(kept, resource),
-        f"{resource}__comments": attached.drop("reactions"),
+        f"{resource}__comments": nz.commented(attached),
         f"{resource}__reactions": nz.item_reactions(kept, resource),
         f"{resource}__comments__reactions": nz.comment_reactions(attached),
     }
 
 
+def landed_once(pages: DataFrame, bundles: DataFrame | None, resources: tuple[str, ...], check: bool) -> DataFrame:
+    """The chosen resources' landed lines, parsed once, checked, each page once.
+
+    All lines are staged and checked before anything is filtered away: a broken
+    line has no resource to choose it by.
+    """
+    mine = F.col("resource").isin(*resources)
+    if "corrupt" in pages.columns:
+        mine = mine | F.col("corrupt")
+    staged = stage_parquet(pages.where(mine).withColumn(LINE_ID, F.monotonically_increasing_id()), "pages")
+    if check:
+        pg.assert_landed_ok(staged, resources, bundles)
+    return pg.latest_pages(staged.where(F.col("resource").isin(*resources)), LINE_ID).drop(LINE_ID)
+
+
 def load_reactions(
     warehouse: Warehouse,
     pages: DataFrame,
@@ -71,28 +84,27 @@ def load_reactions(
     resources: tuple[str, ...] = REACTION_RESOURCES,
     max_items: int | None = None,
     check: bool = True,
-    dedupe_pages: bool = False,
 ) -> list[str]:
     """Replace the tables of the chosen resources in ``dataset``.
 
     ``resources`` picks a subset (SRC-9): resources not asked for are never
-    scanned. ``check`` fails the load on error responses or a wrong response
-    shape before anything is written (FLT-6, FLT-7).
+    scanned. ``check`` fails the load on any broken line, error response, wrong
+    shape or missing page, of the pages or the bundles, before anything is
+    written (FLT-6, FLT-7). A page that landed twice loads once.
     """
-    # parse the landed JSON once: every later step reads this columnar copy
-    pages = stage_parquet(pages.where(F.col("resource").isin(*resources)), "pages")
-    if check:
-        pg.assert_all_pages_ok(pages, resources)
+    pages = landed_once(pages, bundles, resources, check)
     written = []
     for resource in resources:
-        for table, df in normalised_tables(pages, bundles, resource, max_items, dedupe_pages).items():
+        for table, df in normalised_tables(pages, bundles, resource, max_items).items():
             warehouse.replace_table(df, dataset, table)
             written.append(f"{dataset}.{table}")
     return written
 
 
-def load_stargazers(warehouse: Warehouse, pages: DataFrame, dataset: str = "gh_data", max_items: int | None = None) -> str:
-    kept = pg.capped_pages(pages.where(F.col("resource") == "stargazers"), "stargazers", max_items)
+def load_stargazers(
+    warehouse: Warehouse, pages: DataFrame, dataset: str = "gh_data", max_items: int | None = None, check: bool = True
+) -> str:
+    kept = pg.capped_pages(landed_once(pages, None, ("stargazers",), check), "stargazers", max_items)
     warehouse.replace_table(nz.stargazers(kept), dataset, "stargazers")
     return f"{dataset}.stargazers"
 
@@ -109,7 +121,7 @@ def derive_analytics(
     product_dataset: str = "main",
     analytics_dataset: str = "analytics",
 ) -> DataFrame:
-    """Build the six derived tables from loaded tables; return the team stats row."""
+    """Build the six derived tables from loaded tables; return a statistics row of each."""
     t = warehouse.table
     issues_c, prs_c = t(gh_dataset, "issues__comments"), t(gh_dataset, "pull_requests__comments")
     derived = {
@@ -131,4 +143,4 @@ def derive_analytics(
     }
     for (db, name), df in derived.items():
         warehouse.replace_table(df, db, name, contract=schemas.CONTRACTS[name])
-    return warehouse.statistics(analytics_dataset, "team_performance_summary")
+    return reduce(DataFrame.unionByName, [warehouse.statistics(db, name) for db, name in derived])

@@ -88,22 +88,29 @@ REPOSITORY = _s(
 # Landing envelope: the fetcher writes one JSON line per API response and adds
 # where it came from. ``data_keys`` is filled by the reader (top-level keys of
 # ``data``) so the one-connection shape check needs no second parse later.
+# ``list_offset``: a child list too long for one response goes on in further lines
+# of the same page; it is the position of the first child they hold (NULL = 0).
 PAGE = _s(
     ("owner", StringType()),
     ("name", StringType()),
     ("resource", StringType()),
     ("page_no", LongType()),
     ("landed_at", StringType()),
+    ("list_offset", LongType()),
     ("data", _s(("repository", REPOSITORY), ("rateLimit", RATE_LIMIT))),
     ("errors", ArrayType(StringType())),
 )
 
-# One node of a comment-reaction bundle: ``{"node_0": {...}, "rateLimit": {...}}``.
-BUNDLE_NODE = _s(("id", StringType()), ("reactions", REACTION_CONNECTION))
+# One entry of a comment-reaction bundle: ``{"node_0": {...}, "rateLimit": {...}}``;
+# ``cost`` and ``remaining`` are set in the ``rateLimit`` entry only.
+BUNDLE_NODE = _s(
+    ("id", StringType()), ("reactions", REACTION_CONNECTION), ("cost", LongType()), ("remaining", LongType())
+)
 BUNDLE_PAGE = _s(
     ("owner", StringType()),
     ("name", StringType()),
     ("request_no", LongType()),
+    ("list_offset", LongType()),
     ("data", MapType(StringType(), BUNDLE_NODE)),
     ("errors", ArrayType(StringType())),
 )

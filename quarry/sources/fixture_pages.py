@@ -3,12 +3,13 @@
 The reference reads nested API responses; the driver ships flat tables. These
 builders nest the flat tables into exactly the landed-page schema
 (``quarry.schemas.PAGE`` and friends) so the normalisation path runs on data
-that grows with the driver tables. They mirror what the API does, including
-its bounds: at most ``API_LIST_CAP`` (100) comments or reactions per list, with
-``totalCount`` holding the full count, and at most 100 items per page. Those
-bounds also keep every ``collect_list`` group small: lists are cut with a
-``row_number() <= 100`` filter, which Spark plans as a partial per-key limit
-before the shuffle, so a hot parent never gathers more than 100 rows.
+that grows with the driver tables. A response holds at most 100 items per page
+and ``LIST_PART`` (100) comments or reactions per list, with ``totalCount`` holding the full
+count; a longer list goes on in further lines of its page (``list_offset`` 100, 200,
+...), so no row is left out. Those bounds also keep every ``collect_list``
+group small: a child's position in its list is a window over a block of its
+parent's children plus a running sum over the blocks' counts, so a hot parent
+is never gathered anywhere.
 
 Pages group items by ``id div 100`` (ids are unique), so no global numbering
 window is needed.
@@ -19,9 +20,11 @@ Fixed fixture rules (shared with the oracle SQL):
   * events as comments: item ``number`` = user_id, comment id ``e<event_id>``,
     login ``user<user_id>`` (NULL author when user_id % 30 = 0);
   * lineitem rows are the reactions of comment ``e<l_orderkey>``: login
-    ``supp<l_suppkey>``, content = l_returnflag, time = l_shipdate;
+    ``supp<l_suppkey>``, content = l_returnflag, time = l_shipdate, in the order of
+    l_linenumber, l_shipdate, l_suppkey, l_returnflag;
   * orders rows are the reactions of item ``number`` = o_custkey: login
-    ``cust<o_custkey>``, content = o_orderpriority, time = o_orderdate;
+    ``cust<o_custkey>``, content = o_orderpriority, time = o_orderdate, in the
+    order of o_orderkey;
   * customers are stargazers: login c_name, url ``u/<c_name>``,
     starred 2020-01-01 + c_custkey minutes;
   * events as items of repository ``driver/<event_type>``; page
@@ -38,11 +41,12 @@ from pyspark.sql.types import ArrayType, DataType
 
 from quarry import schemas
 from quarry.functions.naming import iso_text
-from quarry.operators.normalize import API_LIST_CAP
 from quarry.sources.standins import read
 
 OWNER = "driver"
 ITEMS_PER_PAGE = 100
+LIST_PART = 100
+BLOCK_KEYS = 1024
 BUNDLE_REQUEST_SIZE = 50
 REACTION_FLAGS = ("A", "N", "R")
 
@@ -51,10 +55,29 @@ def _null(t: DataType) -> Column:
     return F.lit(None).cast(t)
 
 
-def _first_n(df: DataFrame, key: str, order: list[Column], n: int = API_LIST_CAP) -> DataFrame:
-    """The first ``n`` rows per key; planned as a partial limit before the shuffle."""
-    rn = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    return df.withColumn("_rn", rn).where(F.col("_rn") <= n).drop("_rn")
+def _in_parts(df: DataFrame, key: str, block: Column, order: list[str]) -> DataFrame:
+    """Number each key's rows by (``block``, ``order``) and cut them into list parts.
+
+    Adds ``idx`` (position in the whole list) and ``list_offset`` (of its part). Rows
+    are numbered inside a block; a block starts after the counts of the key's
+    earlier blocks, so no window holds all rows of a key.
+    """
+    blocked = df.withColumn("_block", block)
+    inside = F.row_number().over(Window.partitionBy(key, "_block").orderBy(*order)) - 1
+    earlier = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        blocked.groupBy(key, "_block")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select(key, "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    )
+    idx = F.col("_start") + F.col("_inside")
+    return (
+        blocked.withColumn("_inside", inside)
+        .join(starts, [key, "_block"])
+        .withColumn("idx", idx)
+        .withColumn("list_offset", idx - idx % LIST_PART)
+        .drop("_block", "_inside", "_start")
+    )
 
 
 def _sorted_list(sort_key: Column, value: Column) -> Column:
@@ -148,6 +171,7 @@ def _page(
         F.lit(resource).alias("resource"),
         F.col("page_no").cast("long").alias("page_no"),
         F.lit("2024-02-01T00:00:00Z").alias("landed_at"),
+        (F.col("list_offset") if "list_offset" in df.columns else F.lit(0)).cast("long").alias("list_offset"),
         F.struct(F.struct(*repo_fields).alias("repository"), rate.alias("rateLimit")).alias("data"),
         (errors if errors is not None else _null("array<string>")).alias("errors"),
         keys.alias("data_keys"),
@@ -180,9 +204,9 @@ def conversation_pages(spark: SparkSession, sf_dir: str, resource: str = "issues
     )
     totals = conv.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_comments"))
     listed = (
-        _first_n(conv, "conv_id", [F.col("turn")])
-        .groupBy("conv_id")
-        .agg(_sorted_list(F.col("turn"), comment).alias("nodes"))
+        _in_parts(conv, "conv_id", F.floor(F.col("turn") / BLOCK_KEYS), ["turn"])
+        .groupBy("conv_id", "list_offset")
+        .agg(_sorted_list(F.col("idx"), comment).alias("nodes"))
         .join(totals, "conv_id")
     )
     item = _item(
@@ -195,7 +219,7 @@ def conversation_pages(spark: SparkSession, sf_dir: str, resource: str = "issues
     )
     paged = (
         listed.withColumn("page_no", F.floor(F.col("conv_id") / ITEMS_PER_PAGE))
-        .groupBy("page_no")
+        .groupBy("page_no", "list_offset")
         .agg(_sorted_list(F.col("conv_id"), item).alias("items"))
     )
     return _page(paged, F.lit("conversations"), resource, "items")
@@ -210,12 +234,9 @@ def _comment_login(user_id: Column) -> Column:
 
 
 def _lineitem_reactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_returnflag", "l_shipdate")
+    li = read(spark, sf_dir, "lineitem")
     return li.select(
-        F.col("l_orderkey").alias("event_id"),
-        F.col("l_shipdate"),
-        F.col("l_suppkey"),
-        F.col("l_returnflag"),
+        F.col("l_orderkey").alias("event_id"), "l_linenumber", "l_shipdate", "l_suppkey", "l_returnflag"
     )
 
 
@@ -243,7 +264,7 @@ def _empty_groups() -> Column:
 
 
 def event_comment_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items are users; their first 100 events are the comments; orders react to items."""
+    """Items are users; their events are the comments; orders react to items."""
     ev = read(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type", "props")
     groups = _reaction_groups(spark, sf_dir)
     ev_g = ev.join(groups, "event_id", "left")
@@ -256,9 +277,9 @@ def event_comment_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     c_totals = ev.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_comments"))
     c_lists = (
-        _first_n(ev_g, "user_id", [F.col("event_id")])
-        .groupBy("user_id")
-        .agg(_sorted_list(F.col("event_id"), comment).alias("comment_nodes"))
+        _in_parts(ev_g, "user_id", F.floor(F.col("event_id") / BLOCK_KEYS), ["event_id"])
+        .groupBy("user_id", "list_offset")
+        .agg(_sorted_list(F.col("idx"), comment).alias("comment_nodes"))
     )
     orders = read(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("user_id"), "o_orderkey", "o_orderdate", "o_orderpriority"
@@ -268,13 +289,14 @@ def event_comment_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     r_totals = orders.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_reactions"))
     r_lists = (
-        _first_n(orders, "user_id", [F.col("o_orderdate"), F.col("o_orderkey")])
-        .groupBy("user_id")
-        .agg(_sorted_list(F.struct("o_orderdate", "o_orderkey"), reaction).alias("reaction_nodes"))
+        _in_parts(orders, "user_id", F.floor(F.col("o_orderkey") / BLOCK_KEYS), ["o_orderkey"])
+        .groupBy("user_id", "list_offset")
+        .agg(_sorted_list(F.col("idx"), reaction).alias("reaction_nodes"))
+        .join(c_totals.select("user_id"), "user_id", "left_semi")
     )
     per_user = (
-        c_lists.join(c_totals, "user_id")
-        .join(r_lists, "user_id", "left")
+        c_lists.join(r_lists, ["user_id", "list_offset"], "full")
+        .join(c_totals, "user_id")
         .join(r_totals, "user_id", "left")
     )
     item = _item(
@@ -286,16 +308,29 @@ def event_comment_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.coalesce(F.col("n_reactions"), F.lit(0)).cast("long").alias("totalCount"),
             F.coalesce(F.col("reaction_nodes"), F.array().cast(ArrayType(schemas.REACTION))).alias("nodes"),
         ),
-        F.struct(F.col("n_comments").alias("totalCount"), F.col("comment_nodes").alias("nodes")),
+        F.struct(
+            F.col("n_comments").alias("totalCount"),
+            F.coalesce(F.col("comment_nodes"), F.array().cast(ArrayType(schemas.COMMENT))).alias("nodes"),
+        ),
     )
     paged = (
         per_user.withColumn("page_no", F.floor(F.col("user_id") / ITEMS_PER_PAGE))
-        .groupBy("page_no")
+        .groupBy("page_no", "list_offset")
         .agg(_sorted_list(F.col("user_id"), item).alias("items"))
     )
     return _page(paged, F.lit("events"), "issues", "items")
 
 
+def _rate_limit(comments: Column) -> Column:
+    """The ``rateLimit`` entry of a request for so many comments: cost 1 per 10 begun."""
+    return F.struct(
+        _null("string").alias("id"),
+        _null(schemas.REACTION_CONNECTION).alias("reactions"),
+        F.ceil(comments / 10).cast("long").alias("cost"),
+        (F.lit(5000) - F.col("request_no") % 5000).cast("long").alias("remaining"),
+    ).cast(schemas.BUNDLE_NODE)
+
+
 def comment_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Comment-reaction responses for every event that has reactions.
 
@@ -309,26 +344,28 @@ def comment_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     reaction = _reaction(
         F.concat(F.lit("supp"), F.col("l_suppkey")), F.col("l_returnflag"), iso_text(F.col("l_shipdate"))
     )
-    order = [F.col("l_shipdate"), F.col("l_suppkey"), F.col("l_returnflag")]
     totals = li.groupBy("event_id").agg(F.count(F.lit(1)).alias("n"))
     lists = (
-        _first_n(li, "event_id", order)
-        .groupBy("event_id")
-        .agg(_sorted_list(F.struct(*order), reaction).alias("nodes"))
+        _in_parts(li, "event_id", F.col("l_linenumber"), ["l_shipdate", "l_suppkey", "l_returnflag"])
+        .groupBy("event_id", "list_offset")
+        .agg(_sorted_list(F.col("idx"), reaction).alias("nodes"))
         .join(totals, "event_id")
     )
     node = F.struct(
         F.concat(F.lit("e"), F.col("event_id")).alias("id"),
         F.struct(F.col("n").alias("totalCount"), F.col("nodes").alias("nodes")).alias("reactions"),
+        _null("long").alias("cost"),
+        _null("long").alias("remaining"),
     )
     requests = lists.withColumn("request_no", F.floor(F.col("event_id") / BUNDLE_REQUEST_SIZE)).groupBy(
-        "request_no"
+        "request_no", "list_offset"
     ).agg(F.map_from_entries(F.collect_list(F.struct(F.concat(F.lit("node_"), F.col("event_id")), node))).alias("m"))
-    rate_entry = F.create_map(F.lit("rateLimit"), F.struct(_null("string").alias("id"), _null(schemas.REACTION_CONNECTION).alias("reactions")).cast(schemas.BUNDLE_NODE))
+    rate_entry = F.create_map(F.lit("rateLimit"), _rate_limit(F.size("m")))
     return requests.select(
         F.lit(OWNER).alias("owner"),
         F.lit("events").alias("name"),
         F.col("request_no").cast("long").alias("request_no"),
+        "list_offset",
         F.map_concat("m", rate_entry).alias("data"),
         _null("array<string>").alias("errors"),
     )
@@ -397,3 +434,36 @@ def event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         iso_text(F.col("ts")).alias("created_at"),
         F.col("props").alias("payload"),
     )
+
+
+def closed_item_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``event_item_pages`` without failed responses, each repository closed by an
+    empty page, and a stale copy of its items landed behind that page."""
+    pages = event_item_pages(spark, sf_dir).withColumn("errors", _null("array<string>")).withColumn(
+        "data_keys", F.array(F.lit("repository"), F.lit("rateLimit"))
+    )
+    last = pages.groupBy("name").agg(F.max("page_no").alias("last"))
+    empty = F.array().cast(ArrayType(schemas.ITEM))
+    no_items = F.col("data").withField("repository.issues.nodes", empty)
+    closing = last.join(pages, "name").where(F.col("page_no") == F.col("last"))
+    stale = pages.join(last, "name").withColumn("page_no", F.col("page_no") + F.col("last") + 2)
+    return (
+        pages.unionByName(closing.withColumn("page_no", F.col("last") + 1).withColumn("data", no_items).select(pages.columns))
+        .unionByName(stale.select(pages.columns))
+    )
+
+
+EVENTS_PER_PULL = 100
+
+
+def event_array_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed as landed REST pages: one JSON array per line, by day of landing
+    (the day after the events), ``EVENTS_PER_PULL`` events a page."""
+    feed = event_feed(spark, sf_dir)
+    day = F.to_date(F.substring("created_at", 1, 10))
+    page = F.floor(F.col("id").cast("long") / EVENTS_PER_PULL)
+    return (
+        feed.groupBy(F.date_add(day, 1).alias("landed_date"), page.alias("page"))
+        .agg(F.to_json(F.collect_list(F.struct("id", "type", "created_at", "payload"))).alias("value"))
+        .select("landed_date", "value")
+    )

@@ -6,19 +6,31 @@ one line, wrapped with where it came from (``owner``, ``name``, ``resource``,
 are read in parallel, each page is one row, and items come out by ``explode``
 without any shuffle.
 
-Landing folders may be laid out as ``owner=<o>/name=<n>/...`` directories;
-Spark's partition discovery then turns them into columns and a filter on a
-repository prunes whole folders (SRC-10).
+Landing folders may be laid out as ``owner=<o>/name=<n>/...`` or
+``landed_date=<d>/...`` directories: Spark's partition discovery turns them into
+columns, the readers keep them, and a filter on one prunes whole folders
+(SRC-10, FLT-8).
+
+A line that is not the JSON it should be is kept as a row with ``corrupt`` set,
+so that the load checks can fail on it; it is never skipped in silence.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from quarry import schemas
 
 
+CORRUPT = "_corrupt"
+
+
+def _with_corrupt(schema: StructType) -> StructType:
+    return StructType([*schema.fields, StructField(CORRUPT, StringType(), True)])
+
+
 def read_pages(spark: SparkSession, path: str, with_keys: bool = True) -> DataFrame:
     """Landed GraphQL pages (issues, pull requests, stargazers) as rows.
 
@@ -28,27 +40,43 @@ def read_pages(spark: SparkSession, path: str, with_keys: bool = True) -> DataFr
     trusted.
     """
     raw = spark.read.text(path)
-    parsed = F.from_json("value", schemas.PAGE, {"mode": "PERMISSIVE"}).alias("p")
-    cols = [parsed]
+    folders = [c for c in raw.columns if c != "value"]
+    parsed = F.from_json(
+        "value", _with_corrupt(schemas.PAGE), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    ).alias("p")
+    cols = [parsed, *folders]
     if with_keys:
         cols.append(F.json_object_keys(F.get_json_object("value", "$.data")).alias("data_keys"))
-    return raw.select(*cols).select("p.*", *(["data_keys"] if with_keys else []))
+    fields = [F.col(c) if c in folders else F.col(f"p.{c}") for c in schemas.PAGE.names]
+    more = [c for c in folders if c not in schemas.PAGE.names]
+    return raw.select(*cols).select(
+        *fields, *more, *(["data_keys"] if with_keys else []), F.col(f"p.{CORRUPT}").isNotNull().alias("corrupt")
+    )
 
 
 def read_bundles(spark: SparkSession, path: str) -> DataFrame:
     """Landed comment-reaction responses: ``data`` is alias -> node."""
-    return spark.read.schema(schemas.BUNDLE_PAGE).json(path)
+    reader = spark.read.schema(_with_corrupt(schemas.BUNDLE_PAGE)).option("columnNameOfCorruptRecord", CORRUPT)
+    rows = reader.json(path)
+    return rows.withColumn("corrupt", F.col(CORRUPT).isNotNull()).drop(CORRUPT)
 
 
-def read_events(spark: SparkSession, path: str) -> DataFrame:
+def read_events(spark: SparkSession, path: str, landed_since: str | None = None) -> DataFrame:
     """Landed REST event pages, one page (a JSON array) or one event per line.
 
     A line holding an array gives one row per element and ``[]`` gives none;
-    ``_metadata.file_path`` tells which landed file an event came from.
+    ``_metadata.file_path`` tells which landed file an event came from. With
+    ``landed_date=<d>`` folders, ``landed_since`` opens only those of that day or
+    later: an event is never landed before it was created, so a load needs no
+    folder older than its cursor.
     """
-    return spark.read.schema(schemas.EVENT).json(path).select(
-        "*", F.col("_metadata.file_path").alias("page_path")
-    )
+    reader = spark.read.schema(_with_corrupt(schemas.EVENT)).option("columnNameOfCorruptRecord", CORRUPT)
+    rows = reader.json(path)
+    if landed_since is not None:
+        rows = rows.where(F.col("landed_date") >= F.lit(landed_since).cast("date"))
+    return rows.select("*", F.col("_metadata.file_path").alias("page_path")).withColumn(
+        "corrupt", F.col(CORRUPT).isNotNull()
+    ).drop(CORRUPT)
 
 
 def page_items(pages: DataFrame, resource: str) -> DataFrame:
@@ -61,10 +89,16 @@ def page_items(pages: DataFrame, resource: str) -> DataFrame:
         "owner",
         "name",
         "page_no",
+        list_offset(pages).alias("list_offset"),
         F.posexplode(f"data.repository.{conn}.nodes").alias("item_idx", "item"),
     )
 
 
+def list_offset(rows: DataFrame) -> Column:
+    """Position of the first child in a row's child lists (0 unless it continues a page)."""
+    return F.coalesce(F.col("list_offset"), F.lit(0)) if "list_offset" in rows.columns else F.lit(0).cast("long")
+
+
 def page_list(pages: DataFrame, resource: str) -> str:
     """SRC-8: the list field of a connection, ``nodes`` or else ``edges``."""
     conn = schemas.CONNECTIONS[resource]
@@ -72,7 +106,10 @@ def page_list(pages: DataFrame, resource: str) -> str:
     return f"data.repository.{conn}." + ("nodes" if "nodes" in fields else "edges")
 
 
-def land_json(pages: DataFrame, path: str) -> str:
+def land_json(pages: DataFrame, path: str, folders: tuple[str, ...] = ()) -> str:
     """Write page rows as landed JSON lines (what a fetcher leaves behind)."""
-    pages.drop("data_keys").write.mode("errorifexists").json(path)
+    writer = pages.drop("data_keys").write.mode("errorifexists")
+    if folders:
+        writer = writer.partitionBy(*folders)
+    writer.json(path)
     return path

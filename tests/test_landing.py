@@ -13,6 +13,8 @@ from quarry.functions.naming import snake, utc_timestamp
 from quarry.operators import normalize as nz
 from quarry.operators import pages as pg
 from quarry.sources import fixture_pages as fx
+from quarry.plans import loads
+from quarry.sinks.warehouse import Warehouse
 from quarry.sources import landing
 
 
@@ -167,14 +169,106 @@ def test_error_and_shape_checks(spark, tmp_dir):
     pages = landing.read_pages(spark, _land(tmp_dir, docs))
     (row,) = pg.page_problems(pages, "issues").collect()
     assert (row.pages, row.error_pages, row.bad_shape_pages) == (3, 1, 1)
-    with pytest.raises(ValueError, match="errors=1 bad_shape=1"):
-        pg.assert_pages_ok(pages, "issues")
+    with pytest.raises(ValueError, match="error_pages=1, bad_shape_pages=1"):
+        pg.assert_landed_ok(pages, ["issues"])
+
+
+@pytest.mark.parametrize("line", [
+    '{"owner": "o", "name": "n", "resource": "issues", "page_no": 1, "data": {"repos',
+    json.dumps(dict(_page(1, []), data=None)),
+    json.dumps(dict(_page(1, []), data={"repository": None})),
+    json.dumps(dict(_page(1, []), data={"repository": {"issues": None}})),
+    json.dumps(_page(2, [])),  # page 1 is missing
+], ids=["cut line", "no data", "no repository", "no connection", "missing page"])
+def test_load_fails_on_a_broken_page(spark, tmp_dir, line):
+    path = _land(tmp_dir, [_page(0, [_item(1, [])])])
+    with open(os.path.join(path, "part-1.json"), "w") as f:
+        f.write(line + "\n")
+    wh = Warehouse(spark, os.path.join(tmp_dir, "wh"))
+    with pytest.raises(ValueError, match="landed pages failed checks"):
+        loads.load_reactions(wh, landing.read_pages(spark, path), None, resources=("issues",))
+
+
+def test_load_fails_on_a_failed_bundle(spark, tmp_dir):
+    pages = landing.read_pages(spark, _land(tmp_dir, [_page(0, [_item(1, [])])]))
+    failed = {"owner": "o", "name": "n", "request_no": 0, "data": None, "errors": ["timeout"]}
+    bundles = landing.read_bundles(spark, _land(tmp_dir, [failed], "bundles"))
+    with pytest.raises(ValueError, match="error_pages=1, bad_shape_pages=1, first at bundles"):
+        loads.load_reactions(Warehouse(spark, os.path.join(tmp_dir, "wh")), pages, bundles, resources=("issues",))
+
+
+def test_load_fails_on_a_failed_stargazer_page(spark, tmp_dir):
+    doc = {"owner": "o", "name": "n", "resource": "stargazers", "page_no": 0, "landed_at": None,
+           "data": {"repository": {"stargazers": {"edges": []}}}, "errors": ["RATE_LIMITED"]}
+    pages = landing.read_pages(spark, _land(tmp_dir, [doc]))
+    with pytest.raises(ValueError, match="error_pages=1"):
+        loads.load_stargazers(Warehouse(spark, os.path.join(tmp_dir, "wh")), pages)
+
+
+def test_a_page_that_landed_twice_loads_once(spark, tmp_dir):
+    first = _page(0, [_item(1, [_comment("c1", "a", "2024-01-01T00:00:00Z")])])
+    again = dict(_page(0, [_item(1, [_comment("c1", "b", "2024-01-01T00:00:00Z")])]), landed_at="2024-03-01T00:00:00Z")
+    path = _land(tmp_dir, [again, first])
+    wh = Warehouse(spark, os.path.join(tmp_dir, "wh"))
+    loads.load_reactions(wh, landing.read_pages(spark, path), None, resources=("issues",))
+    assert [r.author__login for r in wh.table("gh_data", "issues__comments").collect()] == ["b"]
+
+
+def test_a_list_of_250_keeps_250(spark, tmp_dir):
+    reaction = {"user": {"login": "z", "avatarUrl": None, "url": None}, "content": "HEART",
+                "createdAt": "2024-01-01T00:00:00Z"}
+    groups = [{"content": "HEART", "createdAt": "2024-01-01T00:00:00Z"}]
+    own = [_comment(f"c{k}", "a", "2024-01-01T00:00:00Z", groups) for k in range(250)]
+    whole = [_page(0, [_item(1, own, [reaction] * 250)])]
+    # the same item, its lists going on in two further lines of the page
+    parts = [
+        dict(_page(0, [_item(1, own[k : k + 100], [reaction] * len(own[k : k + 100]), 250)]), list_offset=k)
+        for k in (0, 100, 200)
+    ]
+    node = {"id": "c7", "reactions": {"totalCount": 130, "nodes": [reaction] * 130}}
+    bundles = landing.read_bundles(
+        spark, _land(tmp_dir, [{"owner": "o", "name": "n", "request_no": 0, "data": {"node_0": node}}], "bundles")
+    )
+    for name, docs in (("whole", whole), ("parts", parts)):
+        wh = Warehouse(spark, os.path.join(tmp_dir, "wh_" + name))
+        loads.load_reactions(wh, landing.read_pages(spark, _land(tmp_dir, docs, name)), bundles, resources=("issues",))
+        comments = wh.table("gh_data", "issues__comments").orderBy("list_idx").collect()
+        assert [(r.list_idx, r.id) for r in comments] == [(k, f"c{k}") for k in range(250)]
+        assert wh.table("gh_data", "issues__reactions").count() == 250
+        assert wh.table("gh_data", "issues__comments__reactions").count() == 130
+        (item,) = wh.table("gh_data", "issues").collect()
+        assert (item.comments_listed, item.reactions_listed) == (250, 250)
+
+
+def test_repository_folders_become_columns_and_prune(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "pages")
+    for name in ("r1", "r2"):
+        doc = {k: v for k, v in _page(0, [_item(1, [])]).items() if k not in ("owner", "name")}
+        _land(path, [doc], f"owner=o/name={name}")
+    pages = landing.read_pages(spark, path)
+    items = nz.items(pages, "issues")
+    assert sorted((r.owner, r.name) for r in items.collect()) == [("o", "r1"), ("o", "r2")]
+    one = nz.items(pages.where(F.col("name") == "r1"), "issues")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(name" in plan
+    assert one.count() == 1
+
+
+def test_event_folders_prune_by_landing_date(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "events")
+    for day in ("2024-01-02", "2024-01-03"):
+        _land(path, [{"id": day, "type": "T", "created_at": f"{day}T00:00:00Z", "payload": {}}], f"landed_date={day}")
+    events = landing.read_events(spark, path, landed_since="2024-01-03")
+    assert [r.id for r in events.collect()] == ["2024-01-03"]
+    plan = events._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(landed_date" in plan
 
 
 def test_latest_copy_of_a_page_wins(spark, tmp_dir):
     a = _page(0, [_item(1, [])])
     b = dict(_page(0, [_item(1, []), _item(2, [])]), landed_at="2024-03-01T00:00:00Z")
-    pages = pg.latest_pages(landing.read_pages(spark, _land(tmp_dir, [a, b])))
+    landed = landing.read_pages(spark, _land(tmp_dir, [a, b]))
+    pages = pg.latest_pages(landed.withColumn("line", F.monotonically_increasing_id()), "line")
     assert nz.items(pages, "issues").count() == 2
 
 
@@ -242,24 +336,6 @@ def test_event_pages_read_arrays_per_line(spark, tmp_dir):
     assert typed[1].actor__login is None and typed[1].created_at == dt.datetime(2024, 1, 1, 0, 0, 1)
 
 
-def test_checked_join_broadcasts_only_small_sides(spark):
-    from quarry.operators.joins import join_checked
-
-    big = spark.range(0, 1000).select((F.col("id") % 10).alias("k"), F.col("id"))
-    small = spark.range(0, 10).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    as_broadcast = join_checked(big, small, ["k"], max_rows=100)
-    plan = as_broadcast._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plain = join_checked(big, small, ["k"], max_rows=5)
-        plan2 = plain._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastExchange" not in plan2
-        assert plain.count() == as_broadcast.count() == 1000
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 def test_blocked_running_max_matches_plain_window(spark):
     from pyspark.sql import Window
 
