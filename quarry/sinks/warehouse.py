@@ -1,19 +1,20 @@
 """Writing tables: full replace, append, schema-per-database, contracts, stats.
 
 Tables are external Parquet tables under a warehouse root (a shared folder on
-a cluster). A replace writes a fresh version folder and then points the table
+a cluster). A replace writes a fresh version folder and then points the name
 at it, so a job may read the old version of the very table it replaces, and a
 failed write leaves the previous version in place.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 
 class ContractError(ValueError):
@@ -38,16 +39,33 @@ def enforce_contract(df: DataFrame, contract: StructType) -> DataFrame:
     )
 
 
+def _comment(field: StructField) -> str:
+    text = field.metadata.get("comment", "")
+    return " COMMENT '" + text.replace("'", "\\'") + "'" if text else ""
+
+
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
 class Warehouse:
-    """Databases and tables below one root folder."""
+    """Databases and tables below one root folder.
+
+    A database's name in the session catalog carries a mark of its root, so
+    warehouses of different roots (or runs) live side by side. A table is a
+    view over its current version, an external table of its own: replacing it
+    writes a new version and then replaces the view, so readers always find one
+    or the other. The last ``keep_versions`` versions stay, for readers that
+    started on them; older ones are dropped with their files.
+    """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, keep_versions: int = 2):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.keep_versions = keep_versions
+
+    def catalog_name(self, database: str) -> str:
+        return f"{database}_{hashlib.md5(self.root.encode()).hexdigest()[:8]}"
 
     def database_path(self, database: str) -> str:
         return f"{self.root}/{database}.db"
@@ -55,19 +73,38 @@ class Warehouse:
     def create_schema(self, database: str) -> None:
         """SNK-5: ``CREATE SCHEMA IF NOT EXISTS``."""
         self.spark.sql(
-            f"CREATE DATABASE IF NOT EXISTS {_q(database)} LOCATION '{self.database_path(database)}'"
+            f"CREATE DATABASE IF NOT EXISTS {_q(self.catalog_name(database))} LOCATION '{self.database_path(database)}'"
         )
 
-    def _point(self, database: str, table: str, path: str, partition_by: list[str] | None, schema=None) -> None:
-        full = f"{_q(database)}.{_q(table)}"
-        self.spark.sql(f"DROP TABLE IF EXISTS {full}")
-        if schema is not None and not partition_by:
-            # known schema: no job to read it back from the file footers
-            self.spark.catalog.createTable(f"{database}.{table}", path=path, source="parquet", schema=schema)
-        else:
-            self.spark.catalog.createTable(f"{database}.{table}", path=path, source="parquet")
+    def _name(self, database: str, table: str) -> str:
+        return f"{_q(self.catalog_name(database))}.{_q(table)}"
+
+    def _versions(self, database: str, table: str) -> list[str]:
+        """Version tables of a table, oldest first."""
+        rows = self.spark.sql(f"SHOW TABLES IN {_q(self.catalog_name(database))} LIKE '{table}__v_*'").collect()
+        return sorted(r.tableName for r in rows)
+
+    def _publish(self, database: str, table: str, version: str, path: str, schema: StructType, partition_by) -> None:
+        full = self._name(database, version)
+        columns = ", ".join(f"{_q(f.name)} {f.dataType.simpleString()}{_comment(f)}" for f in schema.fields)
+        parts = f" PARTITIONED BY ({', '.join(map(_q, partition_by))})" if partition_by else ""
+        # The declared schema: partition values are read back as they were written.
+        self.spark.sql(f"CREATE TABLE {full} ({columns}) USING parquet{parts} LOCATION '{path}'")
         if partition_by:
             self.spark.sql(f"MSCK REPAIR TABLE {full}")
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {self._name(database, table)} "
+            f"TBLPROPERTIES ('current_version' = '{version}') AS SELECT * FROM {full}"
+        )
+        for old in self._versions(database, table)[: -self.keep_versions]:
+            self._retire(database, old)
+
+    def _retire(self, database: str, version: str) -> None:
+        full = self._name(database, version)
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {full}").where("col_name = 'Location'").first()
+        self.spark.sql(f"DROP TABLE IF EXISTS {full}")
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(described.data_type)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
     def replace_table(
         self,
@@ -81,7 +118,10 @@ class Warehouse:
         self.create_schema(database)
         if contract is not None:
             df = enforce_contract(df, contract)
-        path = f"{self.database_path(database)}/{table}/v_{uuid.uuid4().hex}"
+        last = self._versions(database, table)[-1:]
+        number = int(last[0].rsplit("_", 2)[1]) + 1 if last else 0
+        version = f"{table}__v_{number:010d}_{uuid.uuid4().hex[:8]}"
+        path = f"{self.database_path(database)}/{version}"
         if partition_by:
             # few files per partition value; AQE splits skewed values
             df = df.hint("rebalance", *partition_by)
@@ -89,7 +129,9 @@ class Warehouse:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.save(path)
-        self._point(database, table, path, partition_by, df.schema)
+        plain = [f for f in df.schema.fields if f.name not in (partition_by or [])]
+        keys = [df.schema[c] for c in partition_by or []]
+        self._publish(database, table, version, path, StructType(plain + keys), partition_by)
         return path
 
     def append(self, df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -102,7 +144,7 @@ class Warehouse:
         writer.save(path)
 
     def table(self, database: str, table: str) -> DataFrame:
-        return self.spark.table(f"{database}.{table}")
+        return self.spark.table(self._name(database, table))
 
     def statistics(self, database: str, table: str) -> DataFrame:
         """SNK-7 / AG-6: one row: names, row count, column count, size estimate.
@@ -110,23 +152,19 @@ class Warehouse:
         Row count is an aggregate over the table (nothing but the result row
         reaches the driver); the size comes from ``ANALYZE TABLE``.
         """
-        full = f"{_q(database)}.{_q(table)}"
-        self.spark.sql(f"ANALYZE TABLE {full} COMPUTE STATISTICS NOSCAN")
-        stats_row = (
-            self.spark.sql(f"DESCRIBE TABLE EXTENDED {full}")
-            .where(F.col("col_name") == "Statistics")
-            .select("data_type")
-            .collect()
+        version = (
+            self.spark.sql(f"SHOW TBLPROPERTIES {self._name(database, table)}").where("key = 'current_version'").first().value
         )
-        size = None
-        if stats_row:
-            m = re.search(r"(\d+) bytes", stats_row[0][0] or "")
-            size = int(m.group(1)) if m else None
-        n_cols = len(self.table(database, table).columns)
-        return self.table(database, table).agg(F.count(F.lit(1)).alias("num_rows")).select(
-            F.lit(table).alias("table_name"),
+        full = self._name(database, version)
+        self.spark.sql(f"ANALYZE TABLE {full} COMPUTE STATISTICS NOSCAN")
+        stats_row = self.spark.sql(f"DESCRIBE TABLE EXTENDED {full}").where("col_name = 'Statistics'").first()
+        found = re.search(r"(\d+) bytes", stats_row.data_type or "") if stats_row else None
+        rows = self.table(database, table)
+        return rows.agg(F.count(F.lit(1)).alias("num_rows")).select(
+            F.lit(self.spark.catalog.currentCatalog()).alias("database_name"),
             F.lit(database).alias("schema_name"),
+            F.lit(table).alias("table_name"),
             "num_rows",
-            F.lit(n_cols).alias("column_count"),
-            F.lit(size).cast("long").alias("estimated_size"),
+            F.lit(len(rows.columns)).alias("column_count"),
+            F.lit(int(found.group(1)) if found else None).cast("long").alias("estimated_size"),
         )

@@ -19,6 +19,9 @@ from quarry.sinks.warehouse import Warehouse
 
 Reader = Callable[[str, dict], DataFrame]
 
+ROWS_PER_QUERY = 1_000_000
+FETCH_SIZE = 10_000
+
 
 @dataclass
 class ReplicationSpec:
@@ -41,36 +44,38 @@ def jdbc_reader(
     url: str,
     properties: dict | None = None,
     partition_column: str | None = None,
-    num_partitions: int = 8,
+    rows_per_query: int = ROWS_PER_QUERY,
 ) -> Reader:
-    """Reads ``schema.table`` over JDBC.
-
-    With a numeric ``partition_column`` (per stream option ``partition_column``
-    overrides) the table is read as ``num_partitions`` range queries in
-    parallel; the bounds come from one ``min``/``max`` query pushed to the
-    database. The bounds only spread the work: rows outside them still land in
-    the first or last partition.
+    """Reads ``schema.table`` over JDBC as parallel range queries.
+
+    A numeric column must be named (``partition_column``, or the stream's option of
+    that name): without one a table of any size would be one task. One query
+    pushed to the database gives its bounds and the row count, from which the
+    number of ranges follows, about ``rows_per_query`` rows each. The bounds only
+    spread the work: rows outside them, or without a value, still land in the
+    first or last range.
     """
-    props = dict(properties or {})
+    props = {"fetchsize": str(FETCH_SIZE), **(properties or {})}
 
     def read(stream: str, options: dict) -> DataFrame:
         column = options.get("partition_column", partition_column)
-        parts = int(options.get("num_partitions", num_partitions))
         if not column:
-            return spark.read.jdbc(url, stream, properties=props)
+            raise ValueError(f"{stream}: name a numeric partition_column to read it in parallel")
         bounds = spark.read.jdbc(
-            url, f"(SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {stream}) b", properties=props
+            url,
+            f"(SELECT MIN({column}) AS lo, MAX({column}) AS hi, COUNT(*) AS n FROM {stream}) b",
+            properties=props,
         ).first()
-        if bounds is None or bounds[0] is None:
+        if bounds[0] is None:  # no value to cut at: at most rows without one
             return spark.read.jdbc(url, stream, properties=props)
-        lo, hi = bounds[0], bounds[1]
+        lo, hi = int(bounds[0]), int(bounds[1])
         return spark.read.jdbc(
             url,
             stream,
             column=column,
-            lowerBound=int(lo),
-            upperBound=int(hi) + 1,
-            numPartitions=max(1, min(parts, int(hi) - int(lo) + 1)),
+            lowerBound=lo,
+            upperBound=hi + 1,
+            numPartitions=max(1, min(-(-int(bounds[2]) // rows_per_query), hi - lo + 1)),
             properties=props,
         )
 
