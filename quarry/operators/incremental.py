@@ -8,12 +8,14 @@ our choices, see SURVEY §2.9):
 * rows older than the cursor are late and dropped; rows at or after it are
   kept unless their ``id`` is already loaded (at or after the cursor) or
   repeated in the batch;
+* late rows are counted and appended to a side table (``<path>__late``), each
+  stamped with the cursor it missed;
 * the new rows are appended, then the cursor advances.
 
 The anti join only reads the target's rows at or after the cursor (a pushed
-filter, and partition pruning on ``created_date``), so a run's cost follows
-the batch, not the history. A run that dies after the append and before the
-cursor write is repeated safely: the anti join skips what is already there.
+filter, and partition pruning on ``created_date``), and the new cursor comes
+from the batch alone, so a run's cost follows the batch, not the history. A run that dies after the append and before the cursor
+write is repeated safely: the anti join skips what is already there.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql.types import DateType
 from pyspark.sql import functions as F
 
@@ -30,6 +32,7 @@ from quarry.functions.running import exclusive_running
 
 INITIAL_CURSOR = "1970-01-01T00:00:00Z"
 _INITIAL = dt.datetime(1970, 1, 1)
+STATE_FILES = 64
 
 
 def _ts(value: dt.datetime):
@@ -88,6 +91,21 @@ class IncrementalTable:
         state = self.spark.read.schema("cursor timestamp_ntz").parquet(self.state_path)
         return state.agg(F.max("cursor")).first()[0] or _INITIAL
 
+    def _advance(self, cursor) -> None:
+        """Replace the stored cursor by a later one. The state folder has one small
+        file per ``STATE_FILES`` runs at most: it is written anew when it is full."""
+        row = self.spark.range(1).select(_ts(cursor).alias("cursor")).coalesce(1)
+        if self._exists(self.state_path):
+            files = len(self.spark.read.schema("cursor timestamp_ntz").parquet(self.state_path).inputFiles())
+            if files >= STATE_FILES:
+                row.write.mode("overwrite").parquet(self.state_path)
+                return
+        row.write.mode("append").parquet(self.state_path)
+
+    @property
+    def late_path(self) -> str:
+        return self.path.rstrip("/") + "__late"
+
     def target(self, schema=None) -> DataFrame | None:
         if not self._exists(self.path):
             return None
@@ -96,33 +114,43 @@ class IncrementalTable:
 
     def new_rows(self, batch: DataFrame, cursor) -> DataFrame:
         """INC-2: rows of ``batch`` to append under ``cursor``."""
-        fresh = batch.where(F.col(self.cursor_col) >= _ts(cursor)).dropDuplicates([self.key])
-        target = self.target(batch.schema)
-        if target is None:
+        # Of repeated ids the earliest row stays, whatever order the batch comes in.
+        own = Window.partitionBy(self.key).orderBy(self.cursor_col, F.xxhash64(*batch.columns))
+        fresh = (
+            batch.where(F.col(self.cursor_col) >= _ts(cursor))
+            .withColumn("_rn", F.row_number().over(own))
+            .where(F.col("_rn") == 1)
+            .drop("_rn")
+        )
+        if not self._exists(self.path):
             return fresh
-        recent = target.where(F.col(self.cursor_col) >= _ts(cursor))
-        if "created_date" in target.columns:
-            recent = recent.where(F.col("created_date") >= _ts(cursor).cast("date"))
-        return fresh.join(recent.select(self.key), self.key, "left_anti")
+        return fresh.join(self._recent(batch.schema, cursor).select(self.key), self.key, "left_anti")
 
     def load(self, batch: DataFrame) -> dict:
-        """Append the new rows of one batch and advance the cursor."""
+        """Append the new rows of one batch and advance the cursor; late rows go aside."""
         before = self.cursor()
+        late = F.col(self.cursor_col) < _ts(before)
+        newest, n_late = batch.agg(F.max(self.cursor_col), F.count_if(late)).first()
+        if n_late:
+            batch.where(late).withColumn("missed_cursor", _ts(before)).write.mode("append").parquet(self.late_path)
         new = self.new_rows(batch, before)
         # rebalance: rows of one (type, day) go to few tasks -> few files, and
         # AQE splits an oversized partition instead of one task writing it all
         new.hint("rebalance", *self.partition_by).write.mode("append").partitionBy(*self.partition_by).parquet(
             self.path
         )
-        after = (
-            self.target(batch.schema)
-            .where(F.col(self.cursor_col) >= _ts(before))
-            .agg(F.max(self.cursor_col))
-            .first()[0]
-        )
-        if after is not None and after > before:
-            self.spark.range(1).select(_ts(after).alias("cursor")).write.mode("append").parquet(self.state_path)
-        return {"cursor_before": before, "cursor_after": after or before}
+        # What is loaded already is not newer than the cursor, so the batch alone tells.
+        after = max(before, newest) if newest is not None else before
+        if after > before:
+            self._advance(after)
+        return {"cursor_before": before, "cursor_after": after, "late_rows": n_late}
+
+    def _recent(self, schema, cursor) -> DataFrame:
+        """Target rows at or after ``cursor``: a pushed filter and pruned date folders."""
+        recent = self.target(schema).where(F.col(self.cursor_col) >= _ts(cursor))
+        if "created_date" in schema.names:
+            recent = recent.where(F.col("created_date") >= _ts(cursor).cast("date"))
+        return recent
 
 
 def pull_gaps(pulls: DataFrame, repo_cols: list[str], pull_col: str, cap: int = 300) -> DataFrame:
@@ -160,8 +188,8 @@ def split_by_type(events: DataFrame, types: list[str] | None = None) -> dict[str
     table; each is a pruned scan of its own folder."""
     if types is None:
         types = [r[0] for r in events.select("type").distinct().collect()]
-    return {t: events.where(F.col("type") == t) for t in types}
-
+    kind = F.col("type")
+    return {t: events.where(kind.isNull() if t is None else kind == t) for t in types}
 
 
 def register_type_views(events: DataFrame, types: list[str], prefix: str = "repo_events") -> list[str]:
@@ -171,7 +199,7 @@ def register_type_views(events: DataFrame, types: list[str], prefix: str = "repo
 
     names = []
     for t, df in split_by_type(events, types).items():
-        name = f"{prefix}_{snake(t)}"
+        name = f"{prefix}_{snake(t) if t is not None else 'untyped'}"
         df.createOrReplaceTempView(name)
         names.append(name)
     return names

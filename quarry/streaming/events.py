@@ -8,6 +8,11 @@ stream's checkpoint holds both the file progress and the de-duplication
 state, so a restarted run — or a lost executor — picks up exactly where the
 last committed micro-batch ended.
 
+A repeat that arrives more than the delay after its first copy is late or,
+if it is itself young enough, appended again: the state forgets an id once the
+watermark has passed it. Rows the watermark dropped are counted by
+``late_count`` and found by ``late_rows``.
+
 ``trigger(availableNow=True)`` makes it a scheduled job: read everything
 landed since the last run, in bounded micro-batches, then stop.
 """
@@ -23,6 +28,9 @@ from quarry.functions.naming import iso_text
 from quarry.operators.incremental import events_from_feed
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def event_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schemas.EVENT)
     if max_files_per_trigger:
@@ -53,6 +61,8 @@ def run_available(
     partition_by: tuple[str, ...] = ("type",),
 ) -> StreamingQuery:
     """Process everything landed so far, then stop; returns the finished query."""
+    # Ids of the whole delay are state: keep them off the heap.
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     out = deduplicated(event_stream(spark, landing_dir, max_files_per_trigger), delay, key)
     query = (
         out.writeStream.format("parquet")
@@ -65,3 +75,18 @@ def run_available(
     )
     query.awaitTermination()
     return query
+
+
+def late_count(query: StreamingQuery) -> int:
+    """Rows that the watermark dropped in the batches of a finished run."""
+    return sum(
+        op["numRowsDroppedByWatermark"] for batch in query.recentProgress for op in batch["stateOperators"]
+    )
+
+
+def late_rows(spark: SparkSession, landing_dir: str, target_path: str, late_path: str, key: str = "id") -> DataFrame:
+    """Landed events that never reached the target, written to a side table."""
+    landed = events_from_feed(spark.read.schema(schemas.EVENT).json(landing_dir))
+    there = spark.read.schema(landed.schema).parquet(target_path).select(key)
+    landed.join(there, key, "left_anti").write.mode("overwrite").parquet(late_path)
+    return spark.read.parquet(late_path)

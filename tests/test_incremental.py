@@ -101,3 +101,48 @@ def test_type_views_prune_to_their_partition(spark, tmp_dir):
     assert spark.table("repo_events_push_event").count() == 2
     plan = spark.table("repo_events_watch_event")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(type" in plan
+
+
+def test_late_rows_are_counted_and_kept_aside(spark, tmp_dir):
+    t = inc.IncrementalTable(spark, os.path.join(tmp_dir, "t"))
+    assert t.load(_feed(spark, [_ev(1, 5)]))["late_rows"] == 0
+    assert t.load(_feed(spark, [_ev(2, 4), _ev(3, 6)]))["late_rows"] == 1
+    assert [r.id for r in spark.read.parquet(t.late_path).collect()] == ["2"]
+
+
+def test_repeated_ids_keep_the_earliest_row(spark, tmp_dir):
+    for k, rows in enumerate(([_ev(1, 2), _ev(1, 3)], [_ev(1, 3), _ev(1, 2)])):
+        t = inc.IncrementalTable(spark, os.path.join(tmp_dir, f"t{k}"))
+        t.load(_feed(spark, rows))
+        assert [r.created_at.day for r in t.target().collect()] == [2]
+
+
+def test_a_run_opens_only_recent_partitions(spark, tmp_dir):
+    t = inc.IncrementalTable(spark, os.path.join(tmp_dir, "t"))
+    t.load(_feed(spark, [_ev(k, k) for k in range(1, 9)]))
+    plan = t.new_rows(_feed(spark, [_ev(9, 9)]), t.cursor())._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(created_date" in plan
+
+
+def test_events_without_a_type_are_kept(spark):
+    events = _feed(spark, [_ev(1, 1), ("2", None, "2024-01-01T00:00:00Z", "{}")])
+    parts = inc.split_by_type(events)
+    assert {k: v.count() for k, v in parts.items()} == {"PushEvent": 1, None: 1}
+
+
+def test_stream_late_rows_are_found(spark, tmp_dir):
+    landing = os.path.join(tmp_dir, "landing")
+    target, ckpt = os.path.join(tmp_dir, "target"), os.path.join(tmp_dir, "ckpt")
+
+    def land(name, events):
+        os.makedirs(os.path.join(landing, name))
+        with open(os.path.join(landing, name, "page.json"), "w") as f:
+            f.write(json.dumps([dict(zip(["id", "type", "created_at", "payload"], e)) for e in events]) + "\n")
+
+    land("p0", [_ev(1, 20)])
+    stream_events.run_available(spark, f"{landing}/*", target, ckpt, delay="1 day")
+    land("p1", [_ev(2, 2), _ev(3, 21)])
+    query = stream_events.run_available(spark, f"{landing}/*", target, ckpt, delay="1 day")
+    assert stream_events.late_count(query) == 1
+    late = stream_events.late_rows(spark, f"{landing}/*", target, os.path.join(tmp_dir, "late"))
+    assert [r.id for r in late.collect()] == ["2"]
