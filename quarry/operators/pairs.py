@@ -10,8 +10,8 @@ The plan here keeps the exact result and bounds every task:
 
 1. Per-key counts of both children are partial aggregates (map-side combine),
    so a hot key costs nothing extra to count.
-2. The children meet the per-key sizes in *inner* joins, which AQE's skew
-   handling may split on the big side.
+2. The per-key sizes are staged as Parquet, so each child meets them in an
+   *inner* join whose two sides are plain exchanges: AQE then splits a hot key.
 3. The product of a key's children is laid out on a grid: ``a`` rows hash into
    ``ceil(n_a / cell)`` row bands, ``b`` rows into ``ceil(n_b / cell)`` column
    bands; each ``a`` row is copied once per column band and each ``b`` row once
@@ -26,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.sinks.staging import stage_parquet
+
 # Rows of each side that share one grid cell; a cell yields at most cell**2
 # pairs. 2,000 keeps a cell's output near four million narrow rows.
 DEFAULT_CELL_ROWS = 2000
@@ -36,7 +38,8 @@ def _band(n: Column, cell: int) -> Column:
 
 
 def _row_hash(cols: list[str]) -> Column:
-    return F.xxhash64(*cols) if cols else F.lit(0).cast("long")
+    """Hash of a row with its tag, so that equal rows spread over the bands too."""
+    return F.xxhash64(*cols, "_tag")
 
 
 def _null_columns(df: DataFrame, names: list[str]) -> list[Column]:
@@ -73,32 +76,34 @@ def outer_product_by_key(
     b_cols = [c for c in b.columns if c != b_key]
     out_cols = parent_cols + a_cols + b_cols
 
-    a_rows = a.withColumnRenamed(a_key, key).where(F.col(key).isNotNull())
-    b_rows = b.withColumnRenamed(b_key, key).where(F.col(key).isNotNull())
+    # The tag is given where the child is read, before any shuffle, so a task that
+    # runs again gives the same one.
+    tag = F.monotonically_increasing_id()
+    a_rows = a.withColumn("_tag", tag).withColumnRenamed(a_key, key).where(F.col(key).isNotNull())
+    b_rows = b.withColumn("_tag", tag).withColumnRenamed(b_key, key).where(F.col(key).isNotNull())
 
     # per-key sizes: partial + final aggregates, one row per key
     a_n = a_rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n_a"))
     b_n = b_rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n_b"))
 
-    # NULL-key parents match nothing: they pass straight through. Splitting
-    # them off keeps both uses of ``sized`` below one identical plan, so AQE
-    # runs its shuffles once and reuses them.
+    # NULL-key parents match nothing: they pass straight through.
     null_parents = parent.where(F.col(key).isNull()).select(
         *parent_cols, *_null_columns(a_rows, a_cols), *_null_columns(b_rows, b_cols)
     )
-    sized = (
+    sized = stage_parquet(
         parent.where(F.col(key).isNotNull())
         .join(a_n, key, "left")
         .join(b_n, key, "left")
         .withColumn("_n_a", F.coalesce(F.col("_n_a"), F.lit(0)))
-        .withColumn("_n_b", F.coalesce(F.col("_n_b"), F.lit(0)))
+        .withColumn("_n_b", F.coalesce(F.col("_n_b"), F.lit(0))),
+        "pair_parents",
     )
 
     # left side: a rows with parent columns (inner join, AQE may split a hot
     # key), plus the parents that have no a rows
-    with_a = a_rows.join(sized, key).select(*parent_cols, *a_cols, "_n_a", "_n_b")
+    with_a = a_rows.join(sized, key).select(*parent_cols, *a_cols, "_n_a", "_n_b", "_tag")
     without_a = sized.where(F.col("_n_a") == 0).select(
-        *parent_cols, *_null_columns(a_rows, a_cols), "_n_a", "_n_b"
+        *parent_cols, *_null_columns(a_rows, a_cols), "_n_a", "_n_b", F.lit(0).cast("long").alias("_tag")
     )
     left = (
         with_a.unionByName(without_a)
@@ -107,7 +112,9 @@ def outer_product_by_key(
     )
 
     # right side: b rows of keys that have b rows, copied over the a bands
-    key_sizes = b_n.join(a_n, key, "left").withColumn("_n_a", F.coalesce(F.col("_n_a"), F.lit(0)))
+    key_sizes = stage_parquet(
+        b_n.join(a_n, key, "left").withColumn("_n_a", F.coalesce(F.col("_n_a"), F.lit(0))), "pair_sizes"
+    )
     right = (
         b_rows.join(key_sizes, key)
         .withColumn("_band_b", F.pmod(_row_hash(b_cols), _band(F.col("_n_b"), cell_rows)))

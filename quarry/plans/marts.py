@@ -52,7 +52,7 @@ def comment_volume_by_day(issue_comments: DataFrame, pr_comments: DataFrame) ->
     )
 
 
-def avg_comment_length(issue_comments: DataFrame, pr_comments: DataFrame, digits: int = 6) -> DataFrame:
+def avg_comment_length(issue_comments: DataFrame, pr_comments: DataFrame) -> DataFrame:
     """Q3: mean body length per type.
 
     Kept as two global aggregates so each type yields its row even when its
@@ -61,21 +61,21 @@ def avg_comment_length(issue_comments: DataFrame, pr_comments: DataFrame, digits
 
     def one(df: DataFrame, tag: str) -> DataFrame:
         return df.agg(F.avg(F.length("body")).alias("avg_length")).select(
-            F.lit(tag).alias("type"), F.round("avg_length", digits).alias("avg_length")
+            F.lit(tag).alias("type"), "avg_length"
         )
 
     return one(issue_comments, ISSUE).unionByName(one(pr_comments, PULL_REQUEST))
 
 
-def team_performance_summary(tickets: DataFrame, digits: int = 6) -> DataFrame:
+def team_performance_summary(tickets: DataFrame) -> DataFrame:
     """Q4: tickets per team with mean reply, resolution and CSAT; best CSAT first."""
     return (
         tickets.groupBy("team_name")
         .agg(
             F.count(F.lit(1)).alias("total_tickets"),
-            F.round(F.avg("seconds_to_first_reply"), digits).alias("avg_first_reply_secs"),
-            F.round(F.avg("seconds_to_last_close"), digits).alias("avg_resolution_secs"),
-            F.round(F.avg("csat_rating"), digits).alias("avg_csat"),
+            F.avg("seconds_to_first_reply").alias("avg_first_reply_secs"),
+            F.avg("seconds_to_last_close").alias("avg_resolution_secs"),
+            F.avg("csat_rating").alias("avg_csat"),
         )
         .orderBy(F.col("avg_csat").desc_nulls_last(), F.col("team_name").asc_nulls_last())
     )
@@ -89,24 +89,24 @@ def nps_by_subscription_month(nps_responses: DataFrame, months: int = 12) -> Dat
     reference engine: months round half to even, counts and ratios are 32-bit.
     """
     month_type = nps_responses.schema["months_subscribed"].dataType
-    calcs = (
+    monthly = (
         nps_responses.select(
             round_to_int(F.col("months_subscribed"), month_type).alias("months_subscribed"),
             F.col("nps_response"),
         )
         .groupBy("months_subscribed")
         .agg(
-            F.count_if(F.col("nps_response") >= 9).alias("promoter_ct"),
-            F.count_if(F.col("nps_response") <= 6).alias("detractor_ct"),
-            F.count(F.lit(1)).alias("all_responses_ct"),
+            F.count_if(F.col("nps_response") >= 9).alias("n_promoters"),
+            F.count_if(F.col("nps_response") <= 6).alias("n_detractors"),
+            F.count(F.lit(1)).alias("n_responses"),
         )
     )
     nps = (
-        ratio32(F.col("promoter_ct"), F.col("all_responses_ct"))
-        - ratio32(F.col("detractor_ct"), F.col("all_responses_ct"))
+        ratio32(F.col("n_promoters"), F.col("n_responses"))
+        - ratio32(F.col("n_detractors"), F.col("n_responses"))
     ) * float32(F.lit(100))
     return (
-        calcs.select("months_subscribed", nps.cast("float").alias("NPS"))
+        monthly.select("months_subscribed", nps.cast("float").alias("NPS"))
         .orderBy(F.col("months_subscribed").asc_nulls_last())
         .limit(months)
     )

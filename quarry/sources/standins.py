@@ -20,10 +20,10 @@ from quarry.session import table_path
 
 # Fixed values of the stand-in mapping. They are test-fixture rules, chosen to
 # put NULLs and half months into the data; the oracle SQL uses the same ones.
-ISSUE_EVENT_TYPES = ("view", "signup")
+ISSUE_EVENT_TYPES = ("view", "signup", "purchase")
 PULL_REQUEST_EVENT_TYPES = ("click", "error")
-ISSUE_BODY_ROLE = "user"
-PULL_REQUEST_BODY_ROLE = "assistant"
+ISSUE_BODY_ROLES = ("user", "system")
+PULL_REQUEST_BODY_ROLES = ("assistant",)
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -106,14 +106,14 @@ def pull_request_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comments(spark, sf_dir, PULL_REQUEST_EVENT_TYPES)
 
 
-def _bodies(spark: SparkSession, sf_dir: str, role: str) -> DataFrame:
+def _bodies(spark: SparkSession, sf_dir: str, roles) -> DataFrame:
     c = read(spark, sf_dir, "conversations")
-    return c.where(F.col("role") == role).select(F.col("text").alias("body"))
+    return c.where(F.col("role").isin(*roles)).select(F.col("text").alias("body"))
 
 
 def issue_comment_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bodies(spark, sf_dir, ISSUE_BODY_ROLE)
+    return _bodies(spark, sf_dir, ISSUE_BODY_ROLES)
 
 
 def pull_request_comment_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bodies(spark, sf_dir, PULL_REQUEST_BODY_ROLE)
+    return _bodies(spark, sf_dir, PULL_REQUEST_BODY_ROLES)

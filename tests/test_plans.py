@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from quarry.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -21,31 +22,71 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_forbidden_operators(spark, name):
-    plan = _plan(entry.queries()[name](spark, SF))
+    plan = _plan(QUERIES[name](spark, SF))
     assert not [op for op in FORBIDDEN if op in plan]
 
 
 def test_stand_in_filters_reach_the_scan(spark):
-    plan = _plan(entry.queries()["top_comment_authors"](spark, SF))
+    plan = _plan(QUERIES["top_comment_authors"](spark, SF))
     import re
 
     pushed = re.findall(r"PushedFilters: \[In\(event_type, \[([a-z,]+)\]\)\]", plan)
-    assert sorted(",".join(sorted(p.split(","))) for p in pushed) == ["click,error", "signup,view"]
+    assert sorted(",".join(sorted(p.split(","))) for p in pushed) == ["click,error", "purchase,signup,view"]
     assert "ReadSchema: struct<user_id:bigint,event_type:string>" in plan
 
 
 def test_aggregates_are_partial_before_the_shuffle(spark):
-    plan = _plan(entry.queries()["team_performance_summary"](spark, SF))
+    plan = _plan(QUERIES["team_performance_summary"](spark, SF))
     assert "partial_count(1)" in plan and "partial_avg(" in plan
 
 
-def test_list_caps_are_partial_limits(spark):
+def test_no_list_is_gathered_from_a_whole_parent(spark):
+    """Nesting groups by list part, and no window orders all rows of a parent."""
     from quarry.sources import fixture_pages as fx
 
     plan = _plan(fx.conversation_pages(spark, SF))
-    assert "WindowGroupLimit" in plan and "Partial" in plan
+    assert "keys=[conv_id" in plan and "list_offset" in plan
+    windows = [line for line in plan.splitlines() if "Window [row_number" in line]
+    assert windows and all("_block" in line for line in windows)
+
+
+def test_hot_user_is_split_in_the_activity_product(spark):
+    """80% of the tickets on one key: the child join is a skew join, nothing is lost."""
+    from quarry.operators.pairs import outer_product_by_key
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        parent = spark.range(200).select(F.col("id").alias("k"), F.concat(F.lit("p"), "id").alias("p"))
+        hot = F.when(F.col("id") % 5 < 4, 7).otherwise(F.col("id") % 200)
+        a = spark.range(0, 100_000, 1, 8).select(hot.alias("k"), F.md5(F.col("id").cast("string")).alias("a"))
+        b = spark.range(100).select((F.col("id") * 2 + 1).alias("k"), F.col("id").alias("b"))
+        out = outer_product_by_key(parent, a, b, "k", "k", "k")
+        n = out.select(F.count("a").alias("n"))
+        assert n.first().n == 100_000
+        n.collect()
+        assert "skew=true" in n._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+
+
+def test_equal_rows_spread_over_the_bands(spark):
+    from quarry.operators.pairs import outer_product_by_key
+
+    parent = spark.range(1).select(F.col("id").alias("k"))
+    a = spark.range(0, 1000, 1, 4).select(F.lit(0).cast("long").alias("k"), F.lit("same").alias("a"))
+    b = spark.range(0, 10).select(F.lit(0).cast("long").alias("k"), F.lit("too").alias("b"))
+    assert outer_product_by_key(parent, a, b, "k", "k", "k", cell_rows=100).count() == 10_000
 
 
 def test_exploded_children_do_not_carry_their_parent_list(spark):
