@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry import schemas
@@ -42,13 +42,22 @@ def q_comment_volume_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_avg_comment_length(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.avg_comment_length(
+    table = marts.avg_comment_length(
         s.issue_comment_bodies(spark, sf_dir), s.pull_request_comment_bodies(spark, sf_dir)
     )
+    return _rounded(table, "avg_length")
+
+
+def _rounded(df: DataFrame, *cols: str) -> DataFrame:
+    """Means to six places, for comparison; stored tables keep them whole."""
+    return df.select(*(F.round(c, 6).alias(c) if c in cols else c for c in df.columns))
+
+
+TEAM_MEANS = ("avg_first_reply_secs", "avg_resolution_secs", "avg_csat")
 
 
 def q_team_performance_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.team_performance_summary(s.tickets(spark, sf_dir))
+    return _rounded(marts.team_performance_summary(s.tickets(spark, sf_dir)), *TEAM_MEANS)
 
 
 def q_nps_by_subscription_month(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,8 +83,8 @@ def q_normalize_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("owner", "name", "number", "list_idx", "id", "body", "author__login", "created_at")
 
 
-def q_normalize_item_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    it = nz.items(fx.event_comment_pages(spark, sf_dir), "issues", list_cap=50)
+def _item_totals(spark: SparkSession, sf_dir: str, list_cap: int | None) -> DataFrame:
+    it = nz.items(fx.event_comment_pages(spark, sf_dir), "issues", list_cap=list_cap)
     return it.select(
         "number",
         "reactions_total_count",
@@ -86,44 +95,98 @@ def q_normalize_item_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_normalize_item_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole lists."""
+    return _item_totals(spark, sf_dir, None)
+
+
+def q_normalize_item_totals_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-5: at most 50 elements of each list counted, cut lists flagged."""
+    return _item_totals(spark, sf_dir, 50)
+
+
 def q_reacted_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = nz.reacted_comments(nz.comments(fx.event_comment_pages(spark, sf_dir), "issues"))
     return c.select("number", "list_idx", "id", "author__login", "created_at")
 
 
-def _attached(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = fx.event_comment_pages(spark, sf_dir)
-    reacted = nz.comments(pages, "issues")
-    return nz.attach_reactions(reacted, nz.bundle_nodes(fx.comment_bundles(spark, sf_dir)))
+def _attached(spark: SparkSession, sf_dir: str, pages: DataFrame | None = None) -> DataFrame:
+    comments = nz.comments(pages if pages is not None else fx.event_comment_pages(spark, sf_dir), "issues")
+    return nz.attach_reactions(comments, nz.bundle_nodes(fx.comment_bundles(spark, sf_dir)))
 
 
 def q_attach_comment_reactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = _attached(spark, sf_dir)
-    return a.select("number", "id", "reactions_total_count", _size_or_null(F.col("reactions")).alias("n_reactions"))
+    # One row per comment; a continued reaction list adds its length.
+    a = _attached(spark, sf_dir).groupBy("number", "id").agg(
+        F.max("reactions_total_count").alias("reactions_total_count"),
+        F.sum(_size_or_null(F.col("reactions"))).cast("int").alias("n_reactions"),
+    )
+    return a.select("number", "id", "reactions_total_count", "n_reactions")
 
 
 def q_item_and_comment_reactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = ["number", "list_idx", "user__login", "content", "created_at"]
-    on_comments = nz.comment_reactions(_attached(spark, sf_dir)).select(
+    pages = stage_parquet(fx.event_comment_pages(spark, sf_dir), "event_comment_pages")
+    on_comments = nz.comment_reactions(_attached(spark, sf_dir, pages)).select(
         F.lit("comment").alias("level"), "comment_id", *cols
     )
-    on_items = nz.item_reactions(fx.event_comment_pages(spark, sf_dir), "issues").select(
+    on_items = nz.item_reactions(pages, "issues").select(
         F.lit("item").alias("level"), F.lit(None).cast("string").alias("comment_id"), *cols
     )
     return on_comments.unionByName(on_items)
 
 
 def q_stargazers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    st = nz.stargazers(fx.stargazer_pages(spark, sf_dir))
+    """SRC-3 from landed JSON: checked, each page once, loaded into a table."""
+    path = landing.land_json(fx.stargazer_pages(spark, sf_dir), scratch_path(spark, "landing"))
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    loads.load_stargazers(wh, landing.read_pages(spark, path))
+    st = wh.table("gh_data", "stargazers")
     return st.select("owner", "name", "starred_at", "user__login", "user__url")
 
 
-def q_page_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landed = stage_parquet(fx.event_item_pages(spark, sf_dir), "event_item_pages")
-    pages = pg.capped_pages(landed, "issues", max_items=250)
+def _taken_items(landed: DataFrame, max_items: int | None) -> DataFrame:
+    pages = pg.capped_pages(landed, "issues", max_items)
     return nz.items(pages, "issues").select("name", "page_no", "number", "created_at")
 
 
+def q_page_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-3: the scheduled load's cap of 250 items a repository, at page grain."""
+    return _taken_items(stage_parquet(fx.event_item_pages(spark, sf_dir), "event_item_pages"), 250)
+
+
+def q_page_uncapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same load without a cap: every page."""
+    return _taken_items(stage_parquet(fx.event_item_pages(spark, sf_dir), "event_item_pages"), None)
+
+
+def q_page_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-4: every page up to the empty one; the stale pages behind it stay out."""
+    return _taken_items(stage_parquet(fx.closed_item_pages(spark, sf_dir), "closed_item_pages"), None)
+
+
+def q_pages_by_repository(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-10: several repositories, a landing folder each, read at once; owner and
+    name come from the folders."""
+    pages = fx.event_item_pages(spark, sf_dir)
+    path = landing.land_json(pages, scratch_path(spark, "landing"), folders=("owner", "name"))
+    items = nz.items(landing.read_pages(spark, path), "issues")
+    return items.select("owner", "name", "page_no", "item_idx", "number", "title")
+
+
+def q_bundle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = landing.land_json(fx.comment_bundles(spark, sf_dir), scratch_path(spark, "landing"))
+    return pg.bundle_audit(landing.read_bundles(spark, path))
+
+
+def q_landed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-4: landed REST pages (JSON arrays in folders by landing date), all days."""
+    path = scratch_path(spark, "landing")
+    fx.event_array_lines(spark, sf_dir).write.partitionBy("landed_date").text(path)
+    events = inc.events_from_feed(landing.read_events(spark, path))
+    return events.select("id", "type", "created_at", "payload")
+
+
 def q_load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pg.load_audit(fx.event_item_pages(spark, sf_dir), "issues")
 
@@ -145,14 +208,19 @@ LOAD_WINDOWS = (
 
 def _window(feed: DataFrame, start: str | None, end: str | None, delayed) -> DataFrame:
     ts = F.col("created_at")
+    kind = feed.schema["created_at"].dataType
+
+    def at(day: str):
+        return F.lit(day).cast(kind)
+
     cond = F.lit(True)
     if start:
-        cond = cond & (ts >= F.lit(start).cast("timestamp_ntz"))
+        cond = cond & (ts >= at(start))
     if end:
-        cond = cond & (ts < F.lit(end).cast("timestamp_ntz"))
+        cond = cond & (ts < at(end))
     if delayed:
         etype, since = delayed
-        cond = cond & ~((F.col("type") == etype) & (ts >= F.lit(since).cast("timestamp_ntz")))
+        cond = cond & ~((F.col("type") == etype) & (ts >= at(since)))
     return feed.where(cond)
 
 
@@ -169,34 +237,27 @@ def q_incremental_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "event_stream")
     landing, target, ckpt = f"{base}/landing", f"{base}/target", f"{base}/checkpoint"
     feed = fx.event_feed(spark, sf_dir)
-    typed = inc.events_from_feed(feed)
     for i, (start, end, _) in enumerate(LOAD_WINDOWS[:3]):
-        ids = _window(typed, start, end, None).select("id")
-        feed.join(ids, "id", "left_semi").write.json(f"{landing}/load={i}")
+        # ISO text sorts as time, so the feed is cut as it landed.
+        _window(feed, start, end, None).write.json(f"{landing}/load={i}")
         stream_events.run_available(spark, f"{landing}/*", target, ckpt, delay="3 days", max_files_per_trigger=4)
     return spark.read.parquet(target).select("id", "type", "created_at", "payload")
 
 
 def q_events_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SNK-3 + ARR-4: the feed stored partitioned by type, read back per type."""
+    """SNK-3 + ARR-4: the feed stored partitioned by type and read back once; events
+    whose id is a multiple of 97 have no type and get a folder like any other."""
     wh = Warehouse(spark, scratch_path(spark, "warehouse"))
     feed = nz.unpack_payload(inc.events_from_feed(fx.event_feed(spark, sf_dir)), {"k": "bigint"})
+    feed = feed.withColumn("type", F.when(F.col("id").cast("long") % 97 != 0, F.col("type")))
     wh.replace_table(feed.drop("created_date"), "repo_events", "events", partition_by=["type"])
-    stored = wh.table("repo_events", "events")
-    parts = inc.split_by_type(stored)  # every type present, read as its own pruned scan
-    out = None
-    for df in parts.values():
-        df = df.select("id", "type", "created_at", "payload__k", "payload")
-        out = df if out is None else out.unionByName(df)
-    return out
+    return wh.table("repo_events", "events").select("id", "type", "created_at", "payload__k", "payload")
 
 
 def q_event_gap_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """INC-5 on daily pulls that each return the newest 300 events of the day."""
+    """INC-5 on daily pulls that hold all events of their day."""
     ev = inc.events_from_feed(fx.event_feed(spark, sf_dir)).withColumn("pull_day", F.col("created_date"))
-    w = Window.partitionBy("pull_day").orderBy(F.col("created_at").desc(), F.col("id").desc())
-    pulls = ev.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= 300)
-    return inc.pull_gaps(pulls.withColumn("repo", F.lit("driver/events")), ["repo"], "pull_day")
+    return inc.pull_gaps(ev.withColumn("repo", F.lit("driver/events")), ["repo"], "pull_day")
 
 
 REPLICATED_STREAMS = {
@@ -216,7 +277,7 @@ def q_replicate_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_table_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh = Warehouse(spark, scratch_path(spark, "warehouse"))
-    summary = q_team_performance_summary(spark, sf_dir)
+    summary = marts.team_performance_summary(s.tickets(spark, sf_dir))
     wh.replace_table(summary, "analytics", "team_performance_summary", contract=schemas.TEAM_PERFORMANCE_SUMMARY)
     return wh.statistics("analytics", "team_performance_summary").drop("estimated_size")
 
@@ -249,7 +310,17 @@ def q_pipeline_comment_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_pipeline_avg_comment_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh = _loaded_warehouse(spark, sf_dir)
-    return marts.avg_comment_length(wh.table("gh_data", "issues__comments"), wh.table("gh_data", "pull_requests__comments"))
+    table = marts.avg_comment_length(wh.table("gh_data", "issues__comments"), wh.table("gh_data", "pull_requests__comments"))
+    return _rounded(table, "avg_length")
+
+
+def q_load_and_derive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """End to end: landed JSON and the product tables loaded, the six derived tables
+    written under their contracts; their statistics rows."""
+    wh = _loaded_warehouse(spark, sf_dir)
+    spec = ReplicationSpec({name: None for name in REPLICATED_STREAMS})
+    replicate(spec, lambda stream, _opts: REPLICATED_STREAMS[stream](spark, sf_dir), wh)
+    return loads.derive_analytics(wh).drop("estimated_size")
 
 
 QUERIES: dict[str, Query] = {
@@ -261,11 +332,17 @@ QUERIES: dict[str, Query] = {
     "user_core_activity_summary": q_user_core_activity_summary,
     "normalize_comments": q_normalize_comments,
     "normalize_item_totals": q_normalize_item_totals,
+    "normalize_item_totals_capped": q_normalize_item_totals_capped,
     "reacted_comments": q_reacted_comments,
     "attach_comment_reactions": q_attach_comment_reactions,
     "item_and_comment_reactions": q_item_and_comment_reactions,
     "stargazers": q_stargazers,
     "page_cap": q_page_cap,
+    "page_uncapped": q_page_uncapped,
+    "page_stop": q_page_stop,
+    "pages_by_repository": q_pages_by_repository,
+    "bundle_audit": q_bundle_audit,
+    "landed_events": q_landed_events,
     "load_audit": q_load_audit,
     "page_errors": q_page_errors,
     "incremental_events": q_incremental_events,
@@ -276,30 +353,7 @@ QUERIES: dict[str, Query] = {
     "table_statistics": q_table_statistics,
     "pipeline_comment_authors": q_pipeline_comment_authors,
     "pipeline_avg_comment_length": q_pipeline_avg_comment_length,
+    "load_and_derive": q_load_and_derive,
 }
 
-ORACLE_SQL: dict[str, str] = {
-    "top_comment_authors": oracle.TOP_COMMENT_AUTHORS,
-    "comment_volume_by_day": oracle.COMMENT_VOLUME_BY_DAY,
-    "avg_comment_length": oracle.AVG_COMMENT_LENGTH,
-    "team_performance_summary": oracle.TEAM_PERFORMANCE_SUMMARY,
-    "nps_by_subscription_month": oracle.NPS_BY_SUBSCRIPTION_MONTH,
-    "user_core_activity_summary": oracle.USER_CORE_ACTIVITY_SUMMARY,
-    "normalize_comments": oracle.NORMALIZE_COMMENTS,
-    "normalize_item_totals": oracle.NORMALIZE_ITEM_TOTALS,
-    "reacted_comments": oracle.REACTED_COMMENTS,
-    "attach_comment_reactions": oracle.ATTACH_COMMENT_REACTIONS,
-    "item_and_comment_reactions": oracle.ITEM_AND_COMMENT_REACTIONS,
-    "stargazers": oracle.STARGAZERS,
-    "page_cap": oracle.PAGE_CAP,
-    "load_audit": oracle.LOAD_AUDIT,
-    "page_errors": oracle.PAGE_ERRORS,
-    "incremental_events": oracle.INCREMENTAL_EVENTS,
-    "incremental_events_stream": oracle.INCREMENTAL_EVENTS_STREAM,
-    "events_by_type": oracle.EVENTS_BY_TYPE,
-    "event_gap_audit": oracle.EVENT_GAP_AUDIT,
-    "replicate_tables": oracle.REPLICATE_TABLES,
-    "table_statistics": oracle.TABLE_STATISTICS,
-    "pipeline_comment_authors": oracle.PIPELINE_COMMENT_AUTHORS,
-    "pipeline_avg_comment_length": oracle.PIPELINE_AVG_COMMENT_LENGTH,
-}
+ORACLE_SQL: dict[str, str] = {name: getattr(oracle, name.upper()) for name in QUERIES}
