@@ -349,7 +349,8 @@ def repeated_spans(
     entries = keyed.groupBy("k1", "k2").agg(
         F.sum("weight").alias("total"), F.min(F.struct("uid", "n", "item")).alias("holder")
     )
-    repeated = entries.where("total > 1").select("k1", "k2", "holder")
+    # Staged, so that the join below has two plain exchanges and can split a hot key.
+    repeated = stage(entries.where("total > 1").select("k1", "k2", "holder"), "pfp-entries")
     settled = stage(
         keyed.join(repeated, ["k1", "k2"], "left").select(
             "uid", "n", "item", "pos", "size", F.col("holder").isNotNull().alias("again"),
@@ -365,14 +366,14 @@ def repeated_spans(
     blocks = stage(_narrow(words, open_items, size, block), "pfp-blocks")
     free_shuffles(spark)
     keyed = _keys(blocks, size, block, "block")
-    shared = (
-        keyed.groupBy("k1").agg(F.count("*").alias("c"), F.min("weight").alias("low")).where("c > 1 AND low = 1")
-    ).select("k1")
+    common = keyed.groupBy("k1").agg(F.count("*").alias("c"), F.min("weight").alias("low"))
+    shared = stage(common.where("c > 1 AND low = 1").select("k1"), "pfp-shared")
     near = keyed.join(shared, "k1", "left_semi").select("uid", "n", "item", "weight")
     starts = stage(_narrow(blocks, stage(near, "pfp-near"), size, None), "pfp-starts")
     free_shuffles(spark)
     keyed = _keys(starts, size, block, "start")
-    equal = keyed.groupBy("k1", "k2").agg(F.sum("weight").alias("total")).where("total > 1").select("k1", "k2")
+    counted = keyed.groupBy("k1", "k2").agg(F.sum("weight").alias("total"))
+    equal = stage(counted.where("total > 1").select("k1", "k2"), "pfp-equal")
     found = keyed.where("weight = 1").join(equal, ["k1", "k2"], "left_semi").select("uid", "n", "pos", "size")
     hits = settled.where("again").select("uid", "n", "pos", "size").unionByName(found)
     removed = stage(
