@@ -79,8 +79,10 @@ def train(
     model = {}
     for lang, own in texts.items():
         data = "\n".join(dict.fromkeys(own)).encode("utf-8", "surrogatepass")
-        size = min(block_bytes, -(-len(data) // blocks))
-        model[lang] = [data[k * size : (k + 1) * size] for k in range(blocks)]
+        # Blocks lie evenly over the sample; a small sample is one block.
+        stride = max(0, len(data) - block_bytes) / max(1, blocks - 1)
+        starts = sorted({int(k * stride) for k in range(blocks)})
+        model[lang] = [data[at : at + block_bytes] for at in starts]
     return model
 
 
