@@ -2,6 +2,44 @@
 
 from __future__ import annotations
 
+OP4_DECONTAM_FM = r"""
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+),
+items AS (
+    SELECT item_id, regexp_extract_all(
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+),
+phrases AS (
+    SELECT DISTINCT item_id, array_to_string(w[k:k + 9], ' ') AS phrase, least(len(w), 10) AS size
+    FROM items, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS t(k)
+    WHERE len(w) > 0
+),
+sizes AS (SELECT DISTINCT size FROM phrases),
+places AS (
+    SELECT doc_id, k, size, array_to_string(w[k:k + size - 1], ' ') AS phrase
+    FROM words, sizes, unnest(range(1, len(w) - size + 2)) AS t(k)
+),
+hits AS (SELECT doc_id, item_id, k, size FROM places JOIN phrases USING (phrase, size)),
+covered AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit FROM hits, unnest(range(k, k + size)) AS t(p) GROUP BY doc_id
+),
+named AS (
+    SELECT doc_id, count(DISTINCT item_id) AS n_items,
+           string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+    FROM hits GROUP BY doc_id
+)
+SELECT doc_id, coalesce(len(w), 0)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM words LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
 OP5_MIX_WATERFILL = r"""
 WITH sized AS (
     SELECT doc_id, source,
@@ -43,6 +81,46 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
+OP7_MINHASH_BBIT = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+),
+shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[k:k + 2], ' ') AS s
+    FROM words, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS t(k)
+    WHERE len(w) > 0
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+-- Equal sets are one class; only their smallest documents are paired.
+classes AS (
+    SELECT doc_id, min(doc_id) OVER (PARTITION BY digest) AS rep
+    FROM (SELECT doc_id, md5(string_agg(s, chr(10) ORDER BY s)) AS digest FROM shingles GROUP BY doc_id)
+),
+held AS (SELECT shingles.* FROM shingles SEMI JOIN classes ON classes.rep = shingles.doc_id),
+shared AS (
+    SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS n_both
+    FROM held AS a JOIN held AS b ON a.s = b.s AND a.doc_id < b.doc_id
+    GROUP BY a.doc_id, b.doc_id
+),
+links AS (
+    SELECT u, v FROM shared JOIN sizes AS x ON x.doc_id = u JOIN sizes AS y ON y.doc_id = v
+    WHERE 100 * n_both >= 85 * (x.n + y.n - n_both)
+),
+steps AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+reached(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM held GROUP BY doc_id
+    UNION
+    SELECT reached.doc_id, steps.v FROM reached JOIN steps ON steps.u = reached.other
+),
+lowest AS (SELECT doc_id, min(other) AS component FROM reached GROUP BY doc_id)
+SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(component, w.doc_id) AS component_id,
+       coalesce(component, w.doc_id) = w.doc_id AS kept
+FROM words AS w LEFT JOIN sizes ON sizes.doc_id = w.doc_id
+LEFT JOIN classes ON classes.doc_id = w.doc_id LEFT JOIN lowest ON lowest.doc_id = classes.rep
+"""
+
 OP8_URL_RULES = r"""
 WITH rules(rule_host, rule_path, action) AS (
     VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
@@ -71,6 +149,8 @@ FROM located LEFT JOIN fitting USING (page_id)
 """
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_decontam_fm": OP4_DECONTAM_FM,
     "op5_mix_waterfill": OP5_MIX_WATERFILL,
+    "op7_minhash_bbit": OP7_MINHASH_BBIT,
     "op8_url_rules": OP8_URL_RULES,
 }
