@@ -152,45 +152,45 @@ def contract(*cols: tuple[str, DataType, str]) -> StructType:
 
 
 TOP_COMMENT_AUTHORS = contract(
-    ("username", StringType(), "Login of the comment author"),
-    ("total_comments", LongType(), "Comments made by the author"),
+    ("username", StringType(), "Login that wrote the comments, NULL where it is unknown"),
+    ("total_comments", LongType(), "How many comments that login wrote"),
     ("type", StringType(), "issue or pull_request"),
 )
 
 COMMENT_VOLUME_BY_DAY = contract(
-    ("day", DateType(), "Day the comments were made"),
-    ("num_comments", LongType(), "Comments on that day"),
+    ("day", DateType(), "Calendar day in UTC"),
+    ("num_comments", LongType(), "How many comments were written that day"),
     ("type", StringType(), "issue or pull_request"),
 )
 
 AVG_COMMENT_LENGTH = contract(
     ("type", StringType(), "issue or pull_request"),
-    ("avg_length", DoubleType(), "Mean character length of the comment body"),
+    ("avg_length", DoubleType(), "Characters in a comment body, on average"),
 )
 
 TEAM_PERFORMANCE_SUMMARY = contract(
-    ("team_name", StringType(), "Team handling the tickets"),
-    ("total_tickets", LongType(), "Tickets handled by the team"),
-    ("avg_first_reply_secs", DoubleType(), "Mean seconds to first reply"),
-    ("avg_resolution_secs", DoubleType(), "Mean seconds to last close"),
-    ("avg_csat", DoubleType(), "Mean satisfaction rating"),
+    ("team_name", StringType(), "Team the tickets went to"),
+    ("total_tickets", LongType(), "How many tickets went to the team"),
+    ("avg_first_reply_secs", DoubleType(), "Seconds until a ticket got its first reply, on average"),
+    ("avg_resolution_secs", DoubleType(), "Seconds until a closed ticket was closed for good, on average"),
+    ("avg_csat", DoubleType(), "Customers' rating of 1 to 5, on average over rated tickets"),
 )
 
 NPS_BY_SUBSCRIPTION_MONTH = contract(
-    ("months_subscribed", IntegerType(), "Whole months subscribed"),
-    ("NPS", FloatType(), "Net promoter score at that duration"),
+    ("months_subscribed", IntegerType(), "Months of subscription, rounded to whole ones"),
+    ("NPS", FloatType(), "Promoters less detractors, in percent of all answers of that month"),
 )
 
 USER_CORE_ACTIVITY_SUMMARY = contract(
-    ("user_id", LongType(), "User id"),
-    ("user_email", StringType(), "User email"),
-    ("ticket_id", LongType(), "Ticket id"),
-    ("ticket_status", StringType(), "Ticket status"),
-    ("ticket_created", TimestampNTZType(), "Ticket creation time"),
-    ("team_name", StringType(), "User's team name"),
-    ("event_id", StringType(), "Event id"),
-    ("event_time", TimestampNTZType(), "Time the event occurred"),
-    ("event_name", StringType(), "Type of event"),
+    ("user_id", LongType(), "Key of the user"),
+    ("user_email", StringType(), "Address the user signed up with"),
+    ("ticket_id", LongType(), "Key of one of the user's tickets, NULL without any"),
+    ("ticket_status", StringType(), "State the ticket is in"),
+    ("ticket_created", TimestampNTZType(), "When the ticket was opened"),
+    ("team_name", StringType(), "Name of the user's team, NULL without one"),
+    ("event_id", StringType(), "Key of one of the user's events, NULL without any"),
+    ("event_time", TimestampNTZType(), "When the event happened"),
+    ("event_name", StringType(), "What the user did"),
 )
 
 CONTRACTS = {
