@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import gc
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -18,15 +19,30 @@ from quarry.sinks.staging import stage_parquet
 Query = Callable[[SparkSession, str], DataFrame]
 
 CHUNK_BYTES = 2 << 20
+ROWS_PER_BATCH = 2_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = ROWS_PER_BATCH) -> Iterator[None]:
+    """Jobs started inside hand whole documents to Python in smaller Arrow batches,
+    which both sides of the hand-over hold in memory outside the heap."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage: one written copy in the shared checkpoint folder."""
-    return stage_parquet(df, label)
+    with small_batches(df.sparkSession):
+        return stage_parquet(df, label)
 
 
 def scratch(spark: SparkSession, label: str) -> str:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import pretokens as pt
-from quarry.llm.common import row_chunks, with_offsets
+from quarry.llm.common import row_chunks, small_batches, with_offsets
 from quarry.llm.token_count import load
 
 END_ID = 0
@@ -112,7 +112,7 @@ def write_token_orc(
         F.xxhash64(text_col).alias("tie"),
     )
     ordered = given.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-    (
+    writer = (
         ordered.mapInArrow(run, FILE_SCHEMA)
         .write.option("compression", "zstd")
         .option("orc.bloom.filter.columns", "doc_id")
@@ -120,8 +120,9 @@ def write_token_orc(
         .option("orc.stripe.size", str(stripe_bytes))
         .option("orc.row.index.stride", str(row_group))
         .option("orc.create.index", "true")
-        .orc(path)
     )
+    with small_batches(docs.sparkSession):
+        writer.orc(path)
 
 
 def read_token_orc(spark: SparkSession, path: str) -> DataFrame:
