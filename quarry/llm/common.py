@@ -10,7 +10,7 @@ from contextlib import contextmanager
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.session import scratch_path
@@ -80,6 +80,16 @@ def row_chunks(
             start = stop
 
 
+def hash_sample(df: DataFrame, size: int, n_rows: int, h: Column) -> DataFrame:
+    """About ``size`` of ``n_rows`` rows, by their 64-bit hash ``h`` (all, if fewer).
+
+    A rate, not an ordered limit: that would send ``size`` rows of every
+    partition to the driver.
+    """
+    share = F.shiftrightunsigned(h, 11) / F.lit(float(1 << 53))
+    return df.where(share < F.lit(min(1.0, size / max(1, n_rows))))
+
+
 def with_offsets(df: DataFrame, part: str, total: str, out: str) -> DataFrame:
     """Per ``part`` (one row each in ``df``), the sum of ``total`` over smaller parts.
 

@@ -9,8 +9,8 @@ its longest fitting path.
 
 Key ranges are cut at quantiles of a bounded sample of page keys with a hash of
 the row added, so that even one url that holds most rows is split. A rule goes
-to every range that its interval meets. Nothing but the sampled keys reaches
-the driver.
+to every range that its interval meets. Nothing but the sampled keys (about
+``SAMPLE_KEYS``, whatever the number of pages) reaches the driver.
 
 Defined results: a null url or one without ``://`` has empty host and path and
 fits no rule; the longest rule (host and path together) wins, a longer host
@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.common import hash_sample
+
 DEFAULT_VERDICT = "allow"
 SAMPLE_KEYS = 20_000
 RANGES_PER_PARTITION = 4
@@ -117,7 +119,8 @@ def judge_urls(
     ).withColumn("key", host_key(F.col("host")))
 
     parts = RANGES_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sample = keyed.select("key", "path", "salt").orderBy("salt").limit(sample_keys).collect()
+    picked = hash_sample(keyed, sample_keys, pages.count(), F.xxhash64(F.lit("sample"), "id", "host", "path"))
+    sample = picked.select("key", "path", "salt").collect()
     points = sorted((_key_bytes(r.key, r.path), r.salt) for r in sample)
     cuts = [points[k * len(points) // parts] for k in range(1, parts)] if points else []
     fields = "kind int, id {0}, host string, path string, action string, salt long, key string".format(id_type)
