@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import stage
+from quarry.llm.common import hash_sample, stage
 
 K = 20
 SAMPLE = 16_384
@@ -101,8 +101,13 @@ class Index:
 
 
 def fit(clean: DataFrame, n_rows: int, dim: int, top: float, seed: int = SEED) -> Index:
-    rows = clean.orderBy(F.xxhash64(F.lit(seed), "vec_id"), "vec_id").limit(SAMPLE).collect()
+    h = F.xxhash64(F.lit(seed), "vec_id")
+    rows = hash_sample(clean, SAMPLE, n_rows, h).select("vec_id", "v", h.alias("h")).collect()
+    rows.sort(key=lambda r: (r.h, r.vec_id))
     ids, sample = np.array([r.vec_id for r in rows]), np.array([r.v for r in rows])
+    if not len(ids):  # a rate may miss all of a few rows
+        row = clean.limit(1).collect()[0]
+        ids, sample = np.array([row.vec_id]), np.array([row.v])
     rng = np.random.default_rng(seed)
     width = -(-(dim + 1) // COLUMNS) * COLUMNS
     rotation, _ = np.linalg.qr(rng.standard_normal((width, width)))
