@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -92,6 +93,27 @@ def test_nps_rounds_half_to_even_and_keeps_first_twelve_groups(spark):
     assert dict(marts.nps_by_subscription_month(df).dtypes) == {"months_subscribed": "int", "NPS": "float"}
 
 
+@pytest.mark.parametrize("kind, want", [
+    ("double", [2, 4, -2, None]),  # ties to even
+    ("decimal(10,2)", [3, 4, -3, None]),  # ties away from zero
+    ("string", [3, 4, -3, None]),  # text is read as a decimal
+])
+def test_months_round_by_their_type(spark, kind, want):
+    texts = spark.createDataFrame([("2.5",), ("3.5",), ("-2.5",), (None,)], "m string")
+    months = texts.select(F.col("m").cast(kind).alias("months_subscribed"), F.lit(10).alias("nps_response"))
+    got = [r.months_subscribed for r in marts.nps_by_subscription_month(months).collect()]
+    assert got == sorted((m for m in want if m is not None)) + [None]
+
+
+def test_tables_come_in_their_order(spark):
+    issues = _comments(spark, [("1", "a", dt.datetime(2024, 1, 2)), ("2", "a", dt.datetime(2024, 1, 1)), ("3", None, dt.datetime(2024, 1, 1))])
+    prs = _comments(spark, [("4", "b", dt.datetime(2024, 1, 1))])
+    top = marts.top_comment_authors(issues, prs).collect()
+    assert [r.total_comments for r in top] == [2, 1, 1] and top[0].username == "a"
+    days = marts.comment_volume_by_day(issues, prs).collect()
+    assert [(r.day.day, r.type) for r in days] == [(1, "issue"), (1, "pull_request"), (2, "issue")]
+
+
 def test_nps_null_score_counts_in_total_only(spark):
     df = spark.createDataFrame([(1.0, 10), (1.0, None), (1.0, 3), (1.0, 7)], "months_subscribed double, nps_response long")
     (row,) = marts.nps_by_subscription_month(df).collect()
