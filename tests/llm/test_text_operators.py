@@ -177,6 +177,28 @@ def test_language_edges(spark):
     assert langid_zstd.identify(docs.limit(0), model).count() == 0
 
 
+def long_texts():
+    """All texts of each language one after the other."""
+    import pyarrow.parquet as pq
+
+    t = pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["text", "lang"]).to_pandas()
+    return {lang: " ".join(g) for lang, g in t.groupby("lang")["text"]}
+
+
+def test_pieces_are_the_whole_text():
+    for data in (b"", b"a", b"ab " * 50_000, b"x" * 100_000, b"x" * 40_000 + b" y" * 40_000):
+        cut = langid_zstd.pieces(data)
+        assert b"".join(cut) == data and all(len(c) <= langid_zstd.PIECE_BYTES for c in cut)
+
+
+def test_long_text_is_judged_by_all_of_it(spark):
+    own = long_texts()
+    predict = langid_zstd.Classifier(langid_zstd.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))).predict
+    for first, n, then, m in (("de", 100, "en", 1_500), ("en", 100, "de", 1_500), ("fr", 60, "en", 700), ("en", 50, "de", 300)):
+        lang, score = predict(own[first][: n * 1_000] + " " + own[then][: m * 1_000])
+        assert lang == then and score >= langid_zstd.MIN_MARGIN
+
+
 # ---------------------------------------------------------------------------
 # Decontamination
 
