@@ -199,6 +199,18 @@ def test_long_text_is_judged_by_all_of_it(spark):
         assert lang == then and score >= langid_zstd.MIN_MARGIN
 
 
+def test_language_stage_keeps_long_texts_of_one_language(spark):
+    import corpus_pipeline as cp
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    long = [(-k, text[:2_000_000], lang) for k, (lang, text) in enumerate(long_texts().items(), 1)]
+    assert len(long) == 4 and all(len(t) == 2_000_000 for _, t, _ in long)
+    added = spark.createDataFrame(long, "doc_id long, text string, lang string")
+    given = docs.unionByName(added.withColumns({"source": F.lit("x"), "n_chars": F.length("text")}))
+    kept = cp.language_stage(spark, given, "").where("doc_id < 0")
+    assert sorted(r.doc_id for r in kept.collect()) == [-4, -3, -2, -1]
+
+
 # ---------------------------------------------------------------------------
 # Decontamination
 
