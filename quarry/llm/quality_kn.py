@@ -12,12 +12,17 @@ distinct grams once, with the trusted count; the probabilities come back to the
 block the same way, and the block's documents are scored against them. So the
 shuffled rows grow with blocks times distinct grams, not with text length.
 
-A document is kept if its perplexity is at most the ``QUANTILE`` of the trusted
-documents of its language that were held out of training, times ``SLACK``.
+A document is kept if its perplexity and that of its worst stretches are each at most
+the ``QUANTILE`` of the trusted documents of its language that were held out of
+training, times ``SLACK``. The first sees the whole text, the second a few foreign
+words in it. The worst stretches: of each ``CELL`` bytes the ``WINDOW`` bytes of least
+probability, and of these the worst ``1 / WORST`` (one at least), averaged. Their number
+grows with the text, so that a long text is not worse for having more of them; the
+single worst window would drop clean long documents.
 
 Defined results: a null or empty text has no perplexity and is not kept; a null
 language is a language of its own; a language without held-out trusted
-documents takes the quantile of all, and with none at all every scored document
+documents takes the quantiles of all, and with none at all every scored document
 is kept; rows of one doc_id share its labels (trusted only if all say so).
 """
 
@@ -38,6 +43,9 @@ BLOCK_BYTES = 8 << 20
 HELD_OUT_SHARE = 5
 QUANTILE = 0.99
 SLACK = 1.02
+WINDOW = 6
+CELL = 64
+WORST = 32
 ZSTD_LEVEL = 5
 _BYTE = 8
 
@@ -162,23 +170,36 @@ def probabilities(grams: DataFrame, counts: DataFrame) -> DataFrame:
     return lower
 
 
+def worst_stretches(log_p: np.ndarray) -> float:
+    """Mean log probability per byte of the worst stretches of a (non-empty) text."""
+    if len(log_p) <= WINDOW:
+        return float(log_p.mean())
+    sums = np.concatenate(([0.0], np.cumsum(log_p)))
+    windows = sums[WINDOW:] - sums[:-WINDOW]
+    least = np.sort(np.minimum.reduceat(windows, np.arange(0, len(windows), CELL)))
+    return float(least[: -(-len(least) // WORST)].mean()) / WINDOW
+
+
 def _score(blocks: DataFrame, logs: DataFrame) -> DataFrame:
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         grams, order = right["gram"].to_numpy(), np.argsort(right["gram"].to_numpy())
         grams, log_p = grams[order], right["log_p"].to_numpy()[order]
-        sizes, totals = [], []
+        sizes, totals, worst = [], [], []
         for data in _unpack(left["packed"]):
             sizes.append(len(data))
-            totals.append(float(log_p[np.searchsorted(grams, text_grams(data))].sum()) if len(data) else 0.0)
+            own = log_p[np.searchsorted(grams, text_grams(data))] if len(data) else np.empty(0)
+            totals.append(float(own.sum()))
+            worst.append(worst_stretches(own) if len(data) else None)
         return pa.table(
             {
                 "doc_id": left["doc_id"], "lang": left["lang"],
                 "n_bytes": pa.array(sizes, pa.int64()), "log_p": pa.array(totals, pa.float64()),
+                "worst": pa.array(worst, pa.float64()),
             }
         )
 
     return blocks.groupBy("block").cogroup(logs.groupBy("block")).applyInArrow(
-        run, "doc_id long, lang string, n_bytes long, log_p double"
+        run, "doc_id long, lang string, n_bytes long, log_p double, worst double"
     )
 
 
@@ -187,7 +208,7 @@ def judge_quality(
     block_bytes: int = BLOCK_BYTES, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
 ) -> DataFrame:
     """Per row: ``doc_id``, ``lang``, ``n_bytes``, ``perplexity`` (per byte), ``threshold``
-    of its language, ``kept``."""
+    of its language, ``kept``, and perplexity and threshold of the worst stretches."""
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
     n_blocks = int(-(-total // block_bytes)) or 1
@@ -204,21 +225,23 @@ def judge_quality(
     logs = sent.select("block", "gram").join(model, "gram").select("block", "gram", F.log("p").alias("log_p"))
     perplexity = F.when(F.col("n_bytes") > 0, F.exp(-F.col("log_p") / F.col("n_bytes")))
     scored = stage(
-        _score(blocks, logs).select("doc_id", "lang", "n_bytes", perplexity.alias("perplexity")), "kn-scores"
+        _score(blocks, logs).select(
+            "doc_id", "lang", "n_bytes", perplexity.alias("perplexity"), F.exp(-F.col("worst")).alias("worst_perplexity")
+        ),
+        "kn-scores",
     )
     free_shuffles(spark)
     sample = scored.join(trusted.where(held_out(F.col("doc_id"))), "doc_id", "left_semi").where("perplexity IS NOT NULL")
-    at = F.percentile_approx("perplexity", quantile, 10_000) * slack
-    by_lang = sample.groupBy("lang").agg(at.alias("own"))
-    overall = sample.agg(at.alias("of_all")).first()[0]
-    limit = F.coalesce(F.col("own"), F.lit(overall).cast("double"))
+    limits = {"perplexity": "threshold", "worst_perplexity": "worst_threshold"}
+    at = [(F.percentile_approx(c, quantile, 10_000) * slack).alias(t) for c, t in limits.items()]
+    by_lang = sample.groupBy("lang").agg(*at)
+    overall = sample.agg(*at).first()
+    limit = [F.coalesce(F.col(f"t.{t}"), F.lit(overall[t]).cast("double")).alias(t) for t in limits.values()]
+    passed = [F.coalesce(F.col(c) <= F.col(t), F.lit(True)) for c, t in limits.items()]
     return (
         scored.alias("s")
         .join(by_lang.alias("t"), F.col("s.lang").eqNullSafe(F.col("t.lang")), "left")
-        .select("s.*", limit.alias("threshold"))
-        .withColumn(
-            "kept",
-            F.col("perplexity").isNotNull()
-            & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)),
-        )
+        .select("s.*", *limit)
+        .withColumn("kept", F.col("perplexity").isNotNull() & passed[0] & passed[1])
+        .select("doc_id", "lang", "n_bytes", "perplexity", "threshold", "kept", "worst_perplexity", "worst_threshold")
     )

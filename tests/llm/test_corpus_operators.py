@@ -401,6 +401,35 @@ def test_op9_separates_labelled_documents(spark):
     assert share[1, 0] > 0.97 and share[0, 0] < 0.2
 
 
+def test_worst_stretches_do_not_grow_with_the_text():
+    rng = np.random.default_rng(9)
+    log_p = -rng.gamma(1.0, 1.5, 400_000)
+    short = [quality_kn.worst_stretches(log_p[k : k + 2_000]) for k in range(0, 400_000, 2_000)]
+    assert min(short) < quality_kn.worst_stretches(log_p) < max(short)
+    assert quality_kn.worst_stretches(log_p[:3]) == pytest.approx(log_p[:3].mean())
+    seeded = log_p.copy()
+    seeded[1_000:1_006] = -12.0
+    assert quality_kn.worst_stretches(seeded[:2_000]) < min(short)
+
+
+def test_op9_drops_insults_and_keeps_long_clean_text(spark):
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    docs = docs.join(labels, "doc_id", "left_semi")
+    clean = docs.join(quality_kn.trusted_ids(labels), "doc_id").where(quality_kn.held_out(F.col("doc_id")))
+    joined = clean.groupBy("lang").agg(F.concat_ws("\n", F.sort_array(F.collect_list("text"))).alias("text"))
+    long = joined.select((-F.crc32("lang") - 1).alias("doc_id"), "text", "lang")
+    judged = quality_kn.judge_quality(docs.select("doc_id", "text", "lang").unionByName(long), labels)
+    got = judged.join(labels, "doc_id", "left").collect()
+    assert sum(r.kept for r in got if r.doc_id < 0) == 4
+    toxic = [r for r in got if (r.quality, r.toxic) == (1, 1)]
+    english = [r.kept for r in toxic if r.lang == "en"]
+    assert len(toxic) == 382 and np.mean([r.kept for r in toxic]) < 0.4 and np.mean(english) < 0.02
+    assert np.mean([r.kept for r in got if (r.quality, r.toxic) == (1, 0)]) > 0.98
+    print({g: np.mean([r.kept for r in toxic if r.lang == g]) for g in ("en", "de", "fr", "es")})
+
+
 # ---------------------------------------------------------------------------
 # Pipeline
 
