@@ -74,7 +74,8 @@ def op6_dedup_pfp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_minhash_bbit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash_bbit.near_duplicates(read_table(spark, sf_dir, "documents"))
+    judged = minhash_bbit.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -83,8 +83,12 @@ def least_fields(percent: int, n: int, sigmas: float = SIGMAS) -> int:
     return int(np.floor(n * agree - sigmas * np.sqrt(n * agree * (1 - agree))))
 
 
+def _text_md5(text: str) -> Column:
+    return F.coalesce(F.md5(text), F.lit(""))
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Per row: doc_id, ``n_shingles``, set digest (``d1``, ``d2``), ``bands``, ``sig``."""
+    """Per row: doc_id, ``text_md5``, ``n_shingles``, set digest (``d1``, ``d2``), ``bands``, ``sig``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in row_chunks(batches, "text", CHUNK_BYTES):
@@ -108,17 +112,20 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     chunk.column("doc_id"),
+                    chunk.column("text_md5"),
                     pa.array(sizes, pa.int64()),
                     *(pa.array(d.view(np.int64)) for d in digests),
                     pa.array(bands, longs),
                     pa.array(sig, longs),
                 ],
-                ["doc_id", "n_shingles", "d1", "d2", "bands", "sig"],
+                ["doc_id", "text_md5", "n_shingles", "d1", "d2", "bands", "sig"],
             )
 
-    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    given = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), _text_md5(text_col).alias("text_md5"), F.col(text_col).alias("text")
+    )
     return given.mapInArrow(
-        run, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, sig array<long>"
+        run, "doc_id long, text_md5 string, n_shingles long, d1 long, d2 long, bands array<long>, sig array<long>"
     )
 
 
@@ -305,7 +312,8 @@ def _cell_links(cells: DataFrame, percent: int) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", cell: int = CELL
 ) -> DataFrame:
-    """Per row: doc_id, ``n_shingles``, ``component_id`` and ``kept``."""
+    """Per row: doc_id, ``n_shingles``, ``component_id``, ``kept``, and the digests of
+    its text (``text_md5``) and set (``d1``, ``d2``)."""
     rows = stage(signatures(docs, id_col, text_col), "minhash-signatures")
     classes = stage(
         rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
@@ -359,20 +367,32 @@ def near_duplicates(
         "d1", "d2", F.coalesce("component", "rep").alias("component")
     )
     return (
-        rows.select("doc_id", "n_shingles", "d1", "d2")
+        rows.select("doc_id", "text_md5", "n_shingles", "d1", "d2")
         .join(final, ["d1", "d2"], "left")
         .select(
             "doc_id",
             "n_shingles",
             F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
+            "text_md5", "d1", "d2",
         )
         .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+        .select("doc_id", "n_shingles", "component_id", "kept", "text_md5", "d1", "d2")
     )
 
 
-def keep_one(docs: DataFrame, judged: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """One row of ``docs`` for each document that is kept; rows without an id stay."""
-    ids = judged.where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept_id")).distinct()
-    kept = docs.join(ids, docs[id_col] == F.col("_kept_id"), "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+def keep_one(docs: DataFrame, judged: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``docs`` for each doc_id and shingle set that is kept, always the same
+    one; rows without an id stay."""
+    chosen = (
+        judged.where("kept AND doc_id IS NOT NULL")
+        .groupBy("doc_id", "d1", "d2")
+        .agg(F.min("text_md5").alias("_md5"))
+        .select(F.col("doc_id").alias("_id"), "_md5")
+        .distinct()
+    )
+    rows = docs.where(F.col(id_col).isNotNull()).select(
+        F.col(id_col).cast("long").alias("_id"), _text_md5(text_col).alias("_md5"), F.struct(*docs.columns).alias("row")
+    )
+    kept = rows.join(chosen, ["_id", "_md5"], "left_semi").groupBy("_id", "_md5").agg(F.min("row").alias("row"))
+    return kept.select("row.*").unionByName(docs.where(F.col(id_col).isNull()))

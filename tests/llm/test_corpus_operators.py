@@ -89,6 +89,15 @@ def test_rows_of_one_id_and_no_id(spark):
     assert near(spark, []) == {}
 
 
+def test_unlike_texts_of_one_id_stay(spark):
+    a, b = "a b c d e f g h", "p q r s t u v w"
+    for rows in ([(3, a), (5, a), (5, b), (7, a), (7, b), (7, "x y z")], [(5, a), (5, b), (5, a), (6, b), (6, "x y z")]):
+        for given in (rows, rows[::-1]):
+            docs = documents(spark, given)
+            kept = minhash_bbit.keep_one(docs, minhash_bbit.near_duplicates(docs)).collect()
+            assert sorted(r.text for r in kept if r.doc_id != 7) == [a, b] + ([] if rows[0][0] == 3 else ["x y z"])
+
+
 def test_op7_on_documents(spark):
     d = pq.read_table(f"{MID}/documents.parquet").to_pandas()
     want = brute.near_duplicates(zip(d.doc_id.tolist(), d.text.tolist()))
