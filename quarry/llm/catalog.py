@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import ann_ads, decontam_fm, dedup_pfp, langid_zstd, minhash_bbit, mix_waterfill, quality_kn, token_count, token_orc, url_rules
+from quarry.llm import ann_ads, conv_glr, decontam_fm, dedup_pfp, langid_zstd, minhash_bbit, mix_waterfill, quality_kn, token_count, token_orc, url_rules
 from quarry.llm.common import Query, read_table, scratch
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -96,6 +96,27 @@ def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", counts.n_tokens > TOKEN_LIMIT)
 
 
+def damaged_turns(rows: DataFrame) -> DataFrame:
+    """The contract's damage, by crc32 of ``conv_id:turn`` modulo 20; nulls are one space."""
+    spoken = rows.select(
+        "conv_id", "turn", *(F.coalesce(F.col(c), F.lit(" ")).alias(c) for c in ("role", "text")),
+        F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn"))).alias("key"),
+    ).withColumn("harm", F.crc32("key") % 20)
+    harm, text = F.col("harm"), F.col("text")
+    return spoken.where(harm != 0).select(
+        "conv_id",
+        "turn",
+        F.when(harm == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(harm == 1, "").when(harm == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.explode(F.when(harm == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    )
+
+
+def op13_conv_glr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations")
+    return conv_glr.repair(damaged_turns(rows), ids=rows)
+
+
 QUERIES: dict[str, Query] = {
     "op1_ann_ads": op1_ann_ads,
     "op2_langid_zstd": op2_langid_zstd,
@@ -107,4 +128,5 @@ QUERIES: dict[str, Query] = {
     "op8_url_rules": op8_url_rules,
     "op9_quality_kn": op9_quality_kn,
     "op10_token_count": op10_token_count,
+    "op13_conv_glr": op13_conv_glr,
 }

@@ -148,9 +148,119 @@ SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict
 FROM located LEFT JOIN fitting USING (page_id)
 """
 
+# crc32 bit by bit; the repair as shortest paths through the four states of a finite
+# automaton (nothing yet, after s, after u, after a), one step of the recursion a row.
+_CRC32 = """xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
+
+
+def _step(state: str, cost: str, letter: str, line: str | None = None, when: str = "true") -> str:
+    """A state's path with one more edit, or null."""
+    lines = f"list_append({state}.lines, {line})" if line else f"{state}.lines"
+    return (
+        f"CASE WHEN {state} IS NOT NULL AND ({when}) THEN "
+        f"{{'cost': {state}.cost + {cost}, 'audit': {state}.audit || '{letter}', 'lines': {lines}}} END"
+    )
+
+
+def _least(*paths: str) -> str:
+    return f"list_min(list_filter([{', '.join(paths)}], lambda x: x IS NOT NULL))"
+
+
+def _moves(name: str, initial: str, sources: tuple[str, ...]) -> list[str]:
+    """Ways to speak as ``name``: keep a row of that initial, or give it the role."""
+    return [
+        way
+        for s in sources
+        for way in (
+            _step(s, "extra", "K", "role || ':' || text", f"NOT must_go AND role[1:1] = '{initial}'"),
+            _step(s, "1 + extra", "R", f"'{name}:' || text", "NOT must_go"),
+        )
+    ]
+
+
+_INSERTED = f"""
+           {_least('s0')} AS i0, {_least('ss')} AS i_s,
+           {_least('su', *(_step(s, '5', 'I', "'user:'") for s in ('s0', 'ss', 'sa')))} AS u1,
+           {_least('sa', _step('su', '5', 'I', "'assistant:'"))} AS a1"""
+
+OP13_CONV_GLR = f"""
+WITH RECURSIVE spoken AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           {_CRC32.format(text="(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS harm
+    FROM conversations
+),
+damaged AS (
+    SELECT conv_id, turn, CASE WHEN harm = 4 THEN 'user' ELSE role END AS role,
+           CASE harm WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(CASE WHEN harm = 3 THEN [0, 1] ELSE [0] END) AS copy
+    FROM spoken WHERE harm <> 0
+),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS place,
+           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen,
+           right(regexp_replace(text, '[\x20\x09-\x0D]+$', ''), 1) AS last_sign
+    FROM damaged
+),
+faulty AS (
+    SELECT *, CASE WHEN last_sign = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+                   WHEN last_sign NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+           lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY place) AS before
+    FROM placed
+),
+steps AS (
+    SELECT *, fault IN ('blank', 'duplicate') AS must_go, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS extra
+    FROM faulty
+),
+walk AS (
+    SELECT conv_id, 0::BIGINT AS place, {{'cost': 0::BIGINT, 'audit': '', 'lines': []::VARCHAR[]}} AS s0,
+           NULL::STRUCT(cost BIGINT, audit VARCHAR, lines VARCHAR[]) AS ss,
+           NULL::STRUCT(cost BIGINT, audit VARCHAR, lines VARCHAR[]) AS su,
+           NULL::STRUCT(cost BIGINT, audit VARCHAR, lines VARCHAR[]) AS sa
+    FROM (SELECT DISTINCT conv_id FROM damaged)
+    UNION ALL
+    SELECT conv_id, place, n0, ns, nu, na FROM (
+        SELECT conv_id, place,
+               {_least(_step('i0', '2', 'D'))} AS n0,
+               {_least(_step('i_s', '2', 'D'), _step('i0', 'extra', 'K', "role || ':' || text", "NOT must_go AND role[1:1] = 's'"))} AS ns,
+               {_least(_step('iu', '2', 'D'), *_moves('user', 'u', ('i0', 'i_s', 'ia')))} AS nu,
+               {_least(_step('ia', '2', 'D'), *_moves('assistant', 'a', ('iu',)))} AS na
+        FROM (
+            SELECT *, {_least('u1', _step('a1', '5', 'I', "'user:'"))} AS iu,
+                   {_least('a1', _step('u1', '5', 'I', "'assistant:'"))} AS ia
+            FROM (
+                SELECT t.conv_id, t.place, t.role, t.text, t.must_go, t.extra, {_INSERTED}
+                FROM walk w JOIN steps t ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND t.place = w.place + 1
+            )
+        )
+    )
+),
+counted AS (
+    SELECT conv_id, max(place) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+           count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (before IS NOT NULL AND before || role[1:1] NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM steps GROUP BY conv_id
+),
+ended AS (
+    SELECT c.*, {_least('s0', 'sa', _step('su', '5', 'I', "'assistant:'"), _step(f"({_step('ss', '5', 'I', chr(39) + 'user:' + chr(39))})", '5', 'I', "'assistant:'"))} AS path
+    FROM counted c JOIN walk w ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.n = w.place
+)
+SELECT i.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce(path.cost, 0)::BIGINT AS cost,
+       coalesce(path.audit, '') AS audit,
+       sha256(coalesce(array_to_string(path.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) i
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM i.conv_id
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op4_decontam_fm": OP4_DECONTAM_FM,
     "op5_mix_waterfill": OP5_MIX_WATERFILL,
     "op7_minhash_bbit": OP7_MINHASH_BBIT,
     "op8_url_rules": OP8_URL_RULES,
+    "op13_conv_glr": OP13_CONV_GLR,
 }

@@ -34,7 +34,7 @@ def words(rng, n, vocabulary=5_000):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_its_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = QUERIES[name](spark, SF)
     want = con.execute(ORACLE_SQL[name])
