@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import ann_ads, conv_glr, decontam_fm, dedup_pfp, langid_zstd, minhash_bbit, mix_waterfill, quality_kn, token_count, token_orc, url_rules
+from quarry.llm import ann_ads, conv_glr, decontam_fm, dedup_pfp, langid_zstd, minhash_bbit, mix_waterfill, quality_kn, runs_ipm, token_count, token_orc, url_rules
 from quarry.llm.common import Query, read_table, scratch
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -96,6 +96,49 @@ def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", counts.n_tokens > TOKEN_LIMIT)
 
 
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """The contract's planted periods: with h = crc32(doc_id) and g = h div 10, a text of
+    n words whose h ends in 0 repeats, from word a = g % n on, its next
+    1 + floor((n - a) / (3 + g % 8)) words."""
+    blanks = conv_glr.BLANKS
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.split(F.btrim("text", F.lit(blanks)), f"[{blanks}]+")
+    chosen = (h % 10 == 0) & (F.btrim("text", F.lit(blanks)) != "")
+    split = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(chosen, words).alias("words"))
+    split = split.withColumn("n", F.size("words")).withColumn("a", (F.col("g") % F.col("n")).cast("int"))
+    phrase = (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int")
+    split = split.withColumn("p", phrase)
+    head = F.slice("words", 1, F.col("a"))
+    repeats = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    tail = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), repeats))
+    planted = F.array_join(F.slice(F.concat(head, tail), 1, F.col("n")), " ")
+    return split.select("doc_id", F.when(F.col("words").isNotNull(), planted).otherwise(F.col("text")).alias("text"))
+
+
+def op12_runs_ipm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs_ipm.find_runs(planted_runs(read_table(spark, sf_dir, "documents")))
+    # Fractions compare by cross products: the greatest length / period, then the
+    # smallest start, then the smallest period.
+    greater = lambda x, y: (
+        (x["length"] * y["period"] > y["length"] * x["period"])
+        | ((x["length"] * y["period"] == y["length"] * x["period"])
+           & ((x["start"] < y["start"]) | ((x["start"] == y["start"]) & (x["period"] < y["period"]))))
+    )
+    top = F.aggregate("runs", F.get("runs", F.lit(0)), lambda best, r: F.when(greater(r, best), r).otherwise(best))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    listed = F.concat(F.array_join(F.transform("runs", line), "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.withColumn("top", top).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "top.start",
+        "top.length",
+        "top.period",
+        F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def damaged_turns(rows: DataFrame) -> DataFrame:
     """The contract's damage, by crc32 of ``conv_id:turn`` modulo 20; nulls are one space."""
     spoken = rows.select(
@@ -128,5 +171,6 @@ QUERIES: dict[str, Query] = {
     "op8_url_rules": op8_url_rules,
     "op9_quality_kn": op9_quality_kn,
     "op10_token_count": op10_token_count,
+    "op12_runs_ipm": op12_runs_ipm,
     "op13_conv_glr": op13_conv_glr,
 }
