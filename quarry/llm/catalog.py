@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import ann_ads, conv_glr, decontam_fm, dedup_pfp, langid_zstd, minhash_bbit, mix_waterfill, quality_kn, runs_ipm, token_count, token_orc, url_rules
+from quarry.llm import ann_ads, conv_glr, decontam_fm, dedup_pfp, embed_rabitq, langid_zstd, minhash_bbit, mix_waterfill, quality_kn, runs_ipm, token_count, token_orc, url_rules
 from quarry.llm.common import Query, read_table, scratch
 
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -96,6 +96,10 @@ def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", counts.n_tokens > TOKEN_LIMIT)
 
 
+def op11_embed_rabitq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_rabitq.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def planted_runs(docs: DataFrame) -> DataFrame:
     """The contract's planted periods: with h = crc32(doc_id) and g = h div 10, a text of
     n words whose h ends in 0 repeats, from word a = g % n on, its next
@@ -171,6 +175,7 @@ QUERIES: dict[str, Query] = {
     "op8_url_rules": op8_url_rules,
     "op9_quality_kn": op9_quality_kn,
     "op10_token_count": op10_token_count,
+    "op11_embed_rabitq": op11_embed_rabitq,
     "op12_runs_ipm": op12_runs_ipm,
     "op13_conv_glr": op13_conv_glr,
 }

@@ -148,6 +148,29 @@ SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict
 FROM located LEFT JOIN fitting USING (page_id)
 """
 
+OP11_EMBED_RABITQ = """
+WITH RECURSIVE vectors AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS v,
+           sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS norm
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+links AS (
+    SELECT a.vec_id AS u, b.vec_id AS v
+    FROM vectors a JOIN vectors b ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+    WHERE a.norm > 0 AND b.norm > 0 AND list_inner_product(a.v, b.v) / (a.norm * b.norm) >= 0.98
+),
+reach AS (
+    SELECT vec_id AS u, vec_id AS v FROM embeddings
+    UNION
+    SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u
+)
+SELECT r.u AS vec_id, (SELECT count(*) FROM links l WHERE l.u = r.u) AS n_links, min(r.v) AS component_id,
+       min(r.v) = r.u AS kept
+FROM reach r GROUP BY r.u
+"""
+
 # crc32 bit by bit; the repair as shortest paths through the four states of a finite
 # automaton (nothing yet, after s, after u, after a), one step of the recursion a row.
 _CRC32 = """xor(4294967295, list_reduce(
@@ -262,5 +285,6 @@ ORACLE_SQL: dict[str, str] = {
     "op5_mix_waterfill": OP5_MIX_WATERFILL,
     "op7_minhash_bbit": OP7_MINHASH_BBIT,
     "op8_url_rules": OP8_URL_RULES,
+    "op11_embed_rabitq": OP11_EMBED_RABITQ,
     "op13_conv_glr": OP13_CONV_GLR,
 }
