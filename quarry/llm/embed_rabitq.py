@@ -203,9 +203,9 @@ def _count_in_cells(members: DataFrame, shapes: dict, threshold: float, within:
     common band is the cell's.
     """
 
-    def linked(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def linked(rows: pa.Table, coders: dict[int, Coder]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Places of linked pairs, a block of rows of the left side at a time."""
-        coder = Coder(rows["dim"][0].as_py(), *shapes[rows["dim"][0].as_py()], threshold)
+        coder = coders[rows["dim"][0].as_py()]
         vectors, codes = _matrix(rows["vec"]), _bytes(rows["code"].combine_chunks())
         factors, sides = rows["factor"].to_numpy(), rows["side"].to_numpy()
         comps, band = rows["comp"].to_numpy(), rows["band"][0].as_py()
@@ -230,7 +230,7 @@ def _count_in_cells(members: DataFrame, shapes: dict, threshold: float, within:
             fine = cosines(vectors[x], vectors[y]) >= threshold
             yield x[fine], y[fine]
 
-    def one_cell(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def one_cell(rows: pa.Table, coders: dict[int, Coder]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         cls, n, comps = rows["cls"].to_numpy(), rows["n"].to_numpy(), rows["comp"].to_numpy()
         links, joins = np.zeros(len(cls), np.int64), []
         top: dict[int, int] = {}
@@ -240,7 +240,7 @@ def _count_in_cells(members: DataFrame, shapes: dict, threshold: float, within:
                 c = top[c]
             return c
 
-        for x, y in linked(rows):
+        for x, y in linked(rows, coders):
             np.add.at(links, x, n[y])
             np.add.at(links, y, n[x])
             if not within:
@@ -258,6 +258,7 @@ def _count_in_cells(members: DataFrame, shapes: dict, threshold: float, within:
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coders = {d: Coder(d, *shape, threshold) for d, shape in shapes.items()}
         held: list[pa.RecordBatch] = []
         done: list[tuple] = []
 
@@ -271,13 +272,13 @@ def _count_in_cells(members: DataFrame, shapes: dict, threshold: float, within:
             cuts = [0, *(np.flatnonzero(cells[1:] != cells[:-1]) + 1).tolist(), len(cells)]
             for a, b in zip(cuts[:-1], cuts[1:]):
                 if held and held[-1].column("cell")[0].as_py() != cells[a]:
-                    done.append(one_cell(pa.Table.from_batches(held)))
+                    done.append(one_cell(pa.Table.from_batches(held), coders))
                     held = []
                 held.append(batch.slice(a, b - a))
             if sum(len(d[0]) for d in done) > 10_000:
                 yield flush()
         if held:
-            done.append(one_cell(pa.Table.from_batches(held)))
+            done.append(one_cell(pa.Table.from_batches(held), coders))
         yield flush()
 
     return (
