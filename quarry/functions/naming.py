@@ -46,6 +46,12 @@ def utc_timestamp(text: Column) -> Column:
     return F.when(text.endswith("Z"), F.to_timestamp_ntz(text)).otherwise(general)
 
 
+def readable_timestamp(text: Column) -> Column:
+    """``utc_timestamp``, but null for a text that is not a time."""
+    zoned = F.convert_timezone(F.current_timezone(), F.lit("UTC"), text.try_cast("timestamp").cast("timestamp_ntz"))
+    return F.when(text.endswith("Z"), text.try_cast("timestamp_ntz")).otherwise(zoned)
+
+
 def iso_text(ts_ntz: Column) -> Column:
     """A UTC TIMESTAMP_NTZ rendered the way the API sends it, microseconds kept."""
     return F.date_format(ts_ntz, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")

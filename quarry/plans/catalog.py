@@ -8,6 +8,7 @@ check cheaper.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -254,10 +255,81 @@ def q_events_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wh.table("repo_events", "events").select("id", "type", "created_at", "payload__k", "payload")
 
 
+def _pulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger of pulls that a load of the landed feed writes: a pull a landing day."""
+    path, target = scratch_path(spark, "landing"), scratch_path(spark, "repo_events")
+    fx.event_array_lines(spark, sf_dir).write.partitionBy("landed_date").text(path)
+    loads.load_repo_events(landing.read_events(spark, path), target, pull_col="landed_date")
+    pulls = inc.IncrementalTable(spark, target).pulls()
+    return pulls.select(F.lit("driver/events").alias("repo"), F.date_sub("pull", 1).alias("pull_day"), "n_events", "oldest", "newest")
+
+
 def q_event_gap_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """INC-5 on daily pulls that hold all events of their day."""
-    ev = inc.events_from_feed(fx.event_feed(spark, sf_dir)).withColumn("pull_day", F.col("created_date"))
-    return inc.pull_gaps(ev.withColumn("repo", F.lit("driver/events")), ["repo"], "pull_day")
+    """INC-5 on the pulls of a load, each holding all events of its day."""
+    return inc.gaps_between(_pulls(spark, sf_dir), ["repo"], "pull_day")
+
+
+def q_event_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """INC-5: the stretches of time that the pulls of a load cover."""
+    return inc.covered_intervals(_pulls(spark, sf_dir), ["repo"])
+
+
+def _landed_windows(spark: SparkSession, sf_dir: str, planted: bool) -> list[str]:
+    """The feed landed in the overlapping windows, a folder each, as JSON lines; if
+    ``planted``, with broken lines and events without an id or a time."""
+    base = scratch_path(spark, "landing")
+    lines = fx.broken_event_lines(spark, sf_dir, planted)
+    paths = []
+    for i, (start, end, delayed) in enumerate(LOAD_WINDOWS):
+        _window(lines, start, end, delayed).select("value").write.text(f"{base}/load={i}")
+        paths.append(f"{base}/load={i}")
+    return paths
+
+
+def q_event_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """INC-1, INC-2, SRC-4: what became of every row read by four overlapping loads."""
+    target = scratch_path(spark, "repo_events")
+    for path in _landed_windows(spark, sf_dir, planted=True):
+        loads.load_repo_events(landing.read_events(spark, path), target)
+    return inc.IncrementalTable(spark, target).runs().drop("cursor")
+
+
+def q_event_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-4, INC-2: the rejected rows of one load, with reason and broken line."""
+    path, target = scratch_path(spark, "landing"), scratch_path(spark, "repo_events")
+    fx.broken_event_lines(spark, sf_dir, True).select("value").write.text(path)
+    loads.load_repo_events(landing.read_events(spark, path), target)
+    rejected = inc.IncrementalTable(spark, target).rejected()
+    line = F.when(F.col("reason") == "line is not JSON", F.col("raw"))
+    return rejected.select("reason", "id", "type", "created_at", "payload", line.alias("line"))
+
+
+def q_event_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """INC-3: late rows, told from repeats by the id index, with the cursor they missed."""
+    target = scratch_path(spark, "repo_events")
+    for path in _landed_windows(spark, sf_dir, planted=False):
+        loads.load_repo_events(landing.read_events(spark, path), target)
+    return inc.IncrementalTable(spark, target).late().select("id", "type", "created_at", "payload", "missed_cursor")
+
+
+def q_event_type_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-3 in the stream: each landing a micro-batch, each event type a table; all
+    type tables read back."""
+    base = scratch_path(spark, "event_stream")
+    table = inc.IncrementalTable(spark, f"{base}/target")
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    names: list[str] = []
+    lines = fx.broken_event_lines(spark, sf_dir, False)
+    for i, (start, end, delayed) in enumerate(LOAD_WINDOWS):
+        _window(lines, start, end, delayed).select("value").write.text(f"{base}/landing/load={i}")
+        names = stream_events.run_into_tables(spark, f"{base}/landing/*", table, f"{base}/checkpoint", wh)
+    return reduce(
+        DataFrame.unionByName,
+        [
+            wh.table("repo_events", n).select(F.lit(n).alias("table_name"), "id", "created_at", "payload")
+            for n in names
+        ],
+    )
 
 
 REPLICATED_STREAMS = {
@@ -349,6 +421,11 @@ QUERIES: dict[str, Query] = {
     "incremental_events_stream": q_incremental_events_stream,
     "events_by_type": q_events_by_type,
     "event_gap_audit": q_event_gap_audit,
+    "event_coverage": q_event_coverage,
+    "event_load_counts": q_event_load_counts,
+    "event_dead_letters": q_event_dead_letters,
+    "event_late_rows": q_event_late_rows,
+    "event_type_tables": q_event_type_tables,
     "replicate_tables": q_replicate_tables,
     "table_statistics": q_table_statistics,
     "pipeline_comment_authors": q_pipeline_comment_authors,

@@ -109,10 +109,16 @@ def load_stargazers(
     return f"{dataset}.stargazers"
 
 
-def load_repo_events(feed: DataFrame, target_path: str) -> dict:
-    """One incremental run of the event feed into a table partitioned by type."""
+def load_repo_events(feed: DataFrame, target_path: str, pull_col: str | None = None) -> dict:
+    """One incremental run of the event feed into a table partitioned by type.
+
+    Returns the run's counts: loaded, late, repeated and rejected rows are the rows
+    read. The pull of each row (its landed file, unless ``pull_col`` names another
+    column) is kept in the table's ledger of pulls.
+    """
+    pull_col = pull_col or ("page_path" if "page_path" in feed.columns else None)
     table = inc.IncrementalTable(feed.sparkSession, target_path)
-    return table.load(inc.events_from_feed(feed))
+    return table.load(inc.events_from_feed(feed, pull_col))
 
 
 def derive_analytics(

@@ -44,7 +44,7 @@ def _comment(field: StructField) -> str:
     return " COMMENT '" + text.replace("'", "\\'") + "'" if text else ""
 
 
-def _q(name: str) -> str:
+def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
@@ -73,34 +73,34 @@ class Warehouse:
     def create_schema(self, database: str) -> None:
         """SNK-5: ``CREATE SCHEMA IF NOT EXISTS``."""
         self.spark.sql(
-            f"CREATE DATABASE IF NOT EXISTS {_q(self.catalog_name(database))} LOCATION '{self.database_path(database)}'"
+            f"CREATE DATABASE IF NOT EXISTS {quoted(self.catalog_name(database))} LOCATION '{self.database_path(database)}'"
         )
 
-    def _name(self, database: str, table: str) -> str:
-        return f"{_q(self.catalog_name(database))}.{_q(table)}"
+    def name(self, database: str, table: str) -> str:
+        return f"{quoted(self.catalog_name(database))}.{quoted(table)}"
 
     def _versions(self, database: str, table: str) -> list[str]:
         """Version tables of a table, oldest first."""
-        rows = self.spark.sql(f"SHOW TABLES IN {_q(self.catalog_name(database))} LIKE '{table}__v_*'").collect()
+        rows = self.spark.sql(f"SHOW TABLES IN {quoted(self.catalog_name(database))} LIKE '{table}__v_*'").collect()
         return sorted(r.tableName for r in rows)
 
     def _publish(self, database: str, table: str, version: str, path: str, schema: StructType, partition_by) -> None:
-        full = self._name(database, version)
-        columns = ", ".join(f"{_q(f.name)} {f.dataType.simpleString()}{_comment(f)}" for f in schema.fields)
-        parts = f" PARTITIONED BY ({', '.join(map(_q, partition_by))})" if partition_by else ""
+        full = self.name(database, version)
+        columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}{_comment(f)}" for f in schema.fields)
+        parts = f" PARTITIONED BY ({', '.join(map(quoted, partition_by))})" if partition_by else ""
         # The declared schema: partition values are read back as they were written.
         self.spark.sql(f"CREATE TABLE {full} ({columns}) USING parquet{parts} LOCATION '{path}'")
         if partition_by:
             self.spark.sql(f"MSCK REPAIR TABLE {full}")
         self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self._name(database, table)} "
+            f"CREATE OR REPLACE VIEW {self.name(database, table)} "
             f"TBLPROPERTIES ('current_version' = '{version}') AS SELECT * FROM {full}"
         )
         for old in self._versions(database, table)[: -self.keep_versions]:
             self._retire(database, old)
 
     def _retire(self, database: str, version: str) -> None:
-        full = self._name(database, version)
+        full = self.name(database, version)
         described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {full}").where("col_name = 'Location'").first()
         self.spark.sql(f"DROP TABLE IF EXISTS {full}")
         path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(described.data_type)
@@ -144,7 +144,7 @@ class Warehouse:
         writer.save(path)
 
     def table(self, database: str, table: str) -> DataFrame:
-        return self.spark.table(self._name(database, table))
+        return self.spark.table(self.name(database, table))
 
     def statistics(self, database: str, table: str) -> DataFrame:
         """SNK-7 / AG-6: one row: names, row count, column count, size estimate.
@@ -153,9 +153,9 @@ class Warehouse:
         reaches the driver); the size comes from ``ANALYZE TABLE``.
         """
         version = (
-            self.spark.sql(f"SHOW TBLPROPERTIES {self._name(database, table)}").where("key = 'current_version'").first().value
+            self.spark.sql(f"SHOW TBLPROPERTIES {self.name(database, table)}").where("key = 'current_version'").first().value
         )
-        full = self._name(database, version)
+        full = self.name(database, version)
         self.spark.sql(f"ANALYZE TABLE {full} COMPUTE STATISTICS NOSCAN")
         stats_row = self.spark.sql(f"DESCRIBE TABLE EXTENDED {full}").where("col_name = 'Statistics'").first()
         found = re.search(r"(\d+) bytes", stats_row.data_type or "") if stats_row else None

@@ -467,3 +467,19 @@ def event_array_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.to_json(F.collect_list(F.struct("id", "type", "created_at", "payload"))).alias("value"))
         .select("landed_date", "value")
     )
+
+
+def broken_event_lines(spark: SparkSession, sf_dir: str, planted: bool) -> DataFrame:
+    """The feed as landed JSON lines (``value``), with each event's type and time for
+    choosing among them. If ``planted``, lines of ids divisible by 107 are not JSON, those
+    divisible by 101 lack their id, by 103 their time."""
+    feed = event_feed(spark, sf_dir)
+    number = F.col("id").cast("long")
+
+    def left_out(divisor: int, column: str) -> Column:
+        return F.when((number % divisor != 0) if planted else F.lit(True), F.col(column)).alias(column)
+
+    line = F.to_json(F.struct(left_out(101, "id"), "type", left_out(103, "created_at"), "payload"))
+    if planted:
+        line = F.when(number % 107 == 0, F.concat(F.lit("broken "), "id")).otherwise(line)
+    return feed.select("type", "created_at", line.alias("value"))

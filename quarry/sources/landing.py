@@ -27,7 +27,7 @@ from quarry import schemas
 CORRUPT = "_corrupt"
 
 
-def _with_corrupt(schema: StructType) -> StructType:
+def with_corrupt(schema: StructType) -> StructType:
     return StructType([*schema.fields, StructField(CORRUPT, StringType(), True)])
 
 
@@ -42,7 +42,7 @@ def read_pages(spark: SparkSession, path: str, with_keys: bool = True) -> DataFr
     raw = spark.read.text(path)
     folders = [c for c in raw.columns if c != "value"]
     parsed = F.from_json(
-        "value", _with_corrupt(schemas.PAGE), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+        "value", with_corrupt(schemas.PAGE), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     ).alias("p")
     cols = [parsed, *folders]
     if with_keys:
@@ -56,7 +56,7 @@ def read_pages(spark: SparkSession, path: str, with_keys: bool = True) -> DataFr
 
 def read_bundles(spark: SparkSession, path: str) -> DataFrame:
     """Landed comment-reaction responses: ``data`` is alias -> node."""
-    reader = spark.read.schema(_with_corrupt(schemas.BUNDLE_PAGE)).option("columnNameOfCorruptRecord", CORRUPT)
+    reader = spark.read.schema(with_corrupt(schemas.BUNDLE_PAGE)).option("columnNameOfCorruptRecord", CORRUPT)
     rows = reader.json(path)
     return rows.withColumn("corrupt", F.col(CORRUPT).isNotNull()).drop(CORRUPT)
 
@@ -68,15 +68,23 @@ def read_events(spark: SparkSession, path: str, landed_since: str | None = None)
     ``_metadata.file_path`` tells which landed file an event came from. With
     ``landed_date=<d>`` folders, ``landed_since`` opens only those of that day or
     later: an event is never landed before it was created, so a load needs no
-    folder older than its cursor.
+    folder older than its cursor. A line that is not JSON is a row with ``corrupt``
+    set and its text in ``corrupt_line``.
     """
-    reader = spark.read.schema(_with_corrupt(schemas.EVENT)).option("columnNameOfCorruptRecord", CORRUPT)
+    reader = spark.read.schema(with_corrupt(schemas.EVENT)).option("columnNameOfCorruptRecord", CORRUPT)
     rows = reader.json(path)
     if landed_since is not None:
         rows = rows.where(F.col("landed_date") >= F.lit(landed_since).cast("date"))
-    return rows.select("*", F.col("_metadata.file_path").alias("page_path")).withColumn(
-        "corrupt", F.col(CORRUPT).isNotNull()
-    ).drop(CORRUPT)
+    return marked_events(rows)
+
+
+def marked_events(rows: DataFrame) -> DataFrame:
+    """Event rows with the file they came from and the mark and text of a broken line."""
+    return (
+        rows.select("*", F.col("_metadata.file_path").alias("page_path"))
+        .withColumn("corrupt", F.col(CORRUPT).isNotNull())
+        .withColumnRenamed(CORRUPT, "corrupt_line")
+    )
 
 
 def page_items(pages: DataFrame, resource: str) -> DataFrame:
