@@ -332,6 +332,34 @@ def q_event_type_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _payload_tables(spark: SparkSession, sf_dir: str) -> Warehouse:
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"))
+    loads.load_event_payloads(wh, inc.events_from_feed(fx.nested_event_feed(spark, sf_dir)))
+    return wh
+
+
+def q_event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ARR-4: push and comment events with their payloads as columns; a comment's user is
+    level 3 and stays packed."""
+    wh = _payload_tables(spark, sf_dir)
+    cols = ["id", "created_at", "payload__push_id", "payload__ref", "payload__action", "payload__comment__id",
+            "payload__comment__body", "payload__comment__user", "payload__amount", "payload__unparsed"]
+    tables = [wh.table("repo_events", f"events_{kind}") for kind in ("click", "view", "signup", "purchase", "error")]
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+    return every.select("type", *cols)
+
+
+def q_event_payload_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ARR-4: the child tables of the lists in payloads: commits, whose author and
+    parents stay packed, and labels."""
+    wh = _payload_tables(spark, sf_dir)
+    commits = wh.table("repo_events", "events_click__payload__commits")
+    labels = wh.table("repo_events", "events_purchase__payload__labels")
+    return commits.select(
+        F.lit("commits").alias("list"), "id", "list_idx", "sha", "distinct", "author", "parents", F.lit(None).cast("string").alias("value")
+    ).unionByName(labels.select(F.lit("labels").alias("list"), "id", "list_idx", "value"), allowMissingColumns=True)
+
+
 REPLICATED_STREAMS = {
     "public.tickets": s.tickets,
     "public.events": s.app_events,
@@ -421,6 +449,8 @@ QUERIES: dict[str, Query] = {
     "incremental_events_stream": q_incremental_events_stream,
     "events_by_type": q_events_by_type,
     "event_gap_audit": q_event_gap_audit,
+    "event_payloads": q_event_payloads,
+    "event_payload_lists": q_event_payload_lists,
     "event_coverage": q_event_coverage,
     "event_load_counts": q_event_load_counts,
     "event_dead_letters": q_event_dead_letters,

@@ -20,9 +20,11 @@ from pyspark.sql import functions as F
 
 from quarry import schemas
 from quarry.operators import incremental as inc
+from quarry.operators import nested
 from quarry.operators import normalize as nz
 from quarry.operators import pages as pg
 from quarry.plans import marts
+from quarry.sinks import type_tables
 from quarry.sinks.staging import stage_parquet
 from quarry.sinks.warehouse import Warehouse
 
@@ -121,6 +123,25 @@ def load_repo_events(feed: DataFrame, target_path: str, pull_col: str | None = N
     return table.load(inc.events_from_feed(feed, pull_col))
 
 
+def load_event_payloads(
+    warehouse: Warehouse, events: DataFrame, dataset: str = "repo_events", max_level: int = 2
+) -> list[str]:
+    """ARR-4, SNK-3: a table for each event type with its payload unpacked to
+    ``max_level``, and a child table for each list in it.
+
+    One aggregate finds the types of all payloads; each type is one pruned scan.
+    """
+    staged = stage_parquet(events, "events")
+    written = []
+    for kind, types in nested.found_types(staged, "payload", "type").items():
+        rows = staged.where(F.col("type").eqNullSafe(F.lit(kind)))
+        name = type_tables.table_name(kind, "events")
+        for table, df in nested.unpacked(rows, ["id"], name, max_level=max_level, types=types).items():
+            warehouse.replace_table(df, dataset, table)
+            written.append(f"{dataset}.{table}")
+    return written
+
+
 def derive_analytics(
     warehouse: Warehouse,
     gh_dataset: str = "gh_data",

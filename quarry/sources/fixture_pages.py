@@ -483,3 +483,40 @@ def broken_event_lines(spark: SparkSession, sf_dir: str, planted: bool) -> DataF
     if planted:
         line = F.when(number % 107 == 0, F.concat(F.lit("broken "), "id")).otherwise(line)
     return feed.select("type", "created_at", line.alias("value"))
+
+
+def nested_event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed with payloads that nest objects and lists: a push (click) has commits,
+    each with an author and parents; a comment (view, signup) has its user; a purchase
+    has labels and numbers of both kinds; an error is text that is no JSON."""
+    ev = read(spark, sf_dir, "events").select("event_id", "event_type", "ts", "user_id")
+    number, user = F.col("event_id"), F.concat(F.lit("user"), "user_id")
+    author = F.struct(user.alias("name"), F.struct((number % 2 == 0).alias("signed")).alias("check"))
+    commits = F.transform(
+        F.sequence(F.lit(1), (number % 4 + 1).cast("int")),
+        lambda i: F.struct(
+            F.concat_ws("-", number, i).alias("sha"),
+            (i % 2 == 0).alias("distinct"),
+            author.alias("author"),
+            F.array_repeat(number, (i - 1).cast("int")).alias("parents"),
+        ),
+    )
+    push = F.struct(number.alias("pushId"), F.lit("refs/heads/main").alias("ref"), F.when(number % 5 != 0, commits).alias("commits"))
+    commenter = F.struct(user.alias("login"), (F.col("user_id") % 2 == 0).alias("siteAdmin"))
+    comment = F.struct(
+        F.lit("created").alias("action"),
+        F.struct(number.alias("id"), F.concat(F.lit("it\"s "), "event_type").alias("body"), commenter.alias("user")).alias("comment"),
+    )
+    amount = F.when(number % 2 == 0, (number / 4).cast("string")).otherwise((number % 1000).cast("string"))
+    labels = F.when(number % 3 == 0, F.array(F.lit("new"), F.col("event_type"))).otherwise(F.array().cast("array<string>"))
+    bought = F.concat(F.lit('{"amount":'), amount, F.lit(',"labels":'), F.to_json(labels), F.lit(',"note":null}'))
+    payload = (
+        F.when(F.col("event_type") == "click", F.to_json(push))
+        .when(F.col("event_type").isin("view", "signup"), F.to_json(comment))
+        .when(F.col("event_type") == "purchase", bought)
+        .otherwise(F.concat(F.lit("error "), number))
+    )
+    return ev.select(
+        F.col("event_id").cast("string").alias("id"), F.col("event_type").alias("type"),
+        iso_text(F.col("ts")).alias("created_at"), payload.alias("payload"),
+    )
