@@ -193,6 +193,26 @@ def attach_reactions(comment_rows: DataFrame, nodes: DataFrame, only_reacted: bo
     )
 
 
+def reconciled(comment_rows: DataFrame, bundles: DataFrame) -> DataFrame:
+    """JN-4's check: one row per comment id that was asked for or answered, with ``status``
+    ``answered``, ``unanswered`` or ``unasked``, and ``n_answers`` (nodes of that id).
+
+    A comment is asked for if it has any reaction (FLT-1). Nodes without an id are no
+    answers. A full outer join of two aggregates; a null id meets nothing.
+    """
+    asked = comment_rows.where(has_any_reaction(F.col("reaction_groups"))).groupBy("id").agg(F.count(F.lit(1)).alias("n_asked"))
+    nodes = bundles.select(F.explode("data").alias("alias", "node")).where(
+        (F.col("alias") != "rateLimit") & F.col("node.id").isNotNull()
+    )
+    answers = nodes.groupBy(F.col("node.id").alias("id")).agg(F.count(F.lit(1)).alias("n_answers"))
+    status = (
+        F.when(F.col("n_answers").isNull(), "unanswered").when(F.col("n_asked").isNull(), "unasked").otherwise("answered")
+    )
+    return asked.join(answers, "id", "full").select(
+        "id", status.alias("status"), F.coalesce("n_answers", F.lit(0)).cast("long").alias("n_answers")
+    )
+
+
 def commented(attached: DataFrame) -> DataFrame:
     """The comment table of attached rows: one row per comment, without the lists."""
     return attached.where(F.col("reactions_offset") == 0).drop("reactions", "reactions_offset")

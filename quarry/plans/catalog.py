@@ -125,6 +125,14 @@ def q_attach_comment_reactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.select("number", "id", "reactions_total_count", "n_reactions")
 
 
+def q_comment_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN-4: comments asked for and answered, matched: requests 3, 13, 23, ... were lost,
+    and so were the pages of every seventh item."""
+    comments = nz.comments(fx.event_comment_pages(spark, sf_dir), "issues").where("number % 7 != 3")
+    bundles = fx.comment_bundles(spark, sf_dir).where("request_no % 10 != 3")
+    return nz.reconciled(comments, bundles)
+
+
 def q_item_and_comment_reactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = ["number", "list_idx", "user__login", "content", "created_at"]
     pages = stage_parquet(fx.event_comment_pages(spark, sf_dir), "event_comment_pages")
@@ -375,6 +383,24 @@ def q_replicate_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replicate(spec, lambda stream, _opts: REPLICATED_STREAMS[stream](spark, sf_dir), wh)
 
 
+def q_contract_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-8: three loads of a table whose columns grow and widen; all versions, each
+    under its own contract."""
+    ev = s.read(spark, sf_dir, "events")
+    loads_ = [
+        ev.select((F.col("event_id") % 1000).cast("int").alias("id"), F.col("event_type").alias("name")),
+        ev.select(F.col("event_id").alias("id"), F.col("event_type").alias("name"), F.col("user_id").cast("int").alias("user_id")),
+        ev.select(F.col("event_id").alias("id"), F.col("user_id").alias("user_id"), F.col("ts")),
+    ]
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"), keep_versions=3)
+    for df in loads_:
+        wh.replace_table(df, "main", "events", evolve=True)
+    versions = [
+        wh.snapshot("main", k).table("events").select(F.lit(k).alias("version"), "*") for k in range(len(loads_))
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), versions)
+
+
 def q_table_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh = Warehouse(spark, scratch_path(spark, "warehouse"))
     summary = marts.team_performance_summary(s.tickets(spark, sf_dir))
@@ -435,6 +461,7 @@ QUERIES: dict[str, Query] = {
     "normalize_item_totals_capped": q_normalize_item_totals_capped,
     "reacted_comments": q_reacted_comments,
     "attach_comment_reactions": q_attach_comment_reactions,
+    "comment_reconciliation": q_comment_reconciliation,
     "item_and_comment_reactions": q_item_and_comment_reactions,
     "stargazers": q_stargazers,
     "page_cap": q_page_cap,
@@ -457,6 +484,7 @@ QUERIES: dict[str, Query] = {
     "event_late_rows": q_event_late_rows,
     "event_type_tables": q_event_type_tables,
     "replicate_tables": q_replicate_tables,
+    "contract_versions": q_contract_versions,
     "table_statistics": q_table_statistics,
     "pipeline_comment_authors": q_pipeline_comment_authors,
     "pipeline_avg_comment_length": q_pipeline_avg_comment_length,

@@ -95,12 +95,13 @@ def load_reactions(
     written (FLT-6, FLT-7). A page that landed twice loads once.
     """
     pages = landed_once(pages, bundles, resources, check)
-    written = []
-    for resource in resources:
-        for table, df in normalised_tables(pages, bundles, resource, max_items).items():
-            warehouse.replace_table(df, dataset, table)
-            written.append(f"{dataset}.{table}")
-    return written
+    # All tables of the dataset are swapped by one commit.
+    with warehouse.commit(dataset) as writing:
+        return [
+            writing.replace_table(df, table)
+            for resource in resources
+            for table, df in normalised_tables(pages, bundles, resource, max_items).items()
+        ]
 
 
 def load_stargazers(
@@ -133,12 +134,12 @@ def load_event_payloads(
     """
     staged = stage_parquet(events, "events")
     written = []
-    for kind, types in nested.found_types(staged, "payload", "type").items():
-        rows = staged.where(F.col("type").eqNullSafe(F.lit(kind)))
-        name = type_tables.table_name(kind, "events")
-        for table, df in nested.unpacked(rows, ["id"], name, max_level=max_level, types=types).items():
-            warehouse.replace_table(df, dataset, table)
-            written.append(f"{dataset}.{table}")
+    with warehouse.commit(dataset) as writing:
+        for kind, types in nested.found_types(staged, "payload", "type").items():
+            rows = staged.where(F.col("type").eqNullSafe(F.lit(kind)))
+            name = type_tables.table_name(kind, "events")
+            for table, df in nested.unpacked(rows, ["id"], name, max_level=max_level, types=types).items():
+                written.append(writing.replace_table(df, table))
     return written
 
 
@@ -168,6 +169,9 @@ def derive_analytics(
             t(product_dataset, "public_events"),
         ),
     }
-    for (db, name), df in derived.items():
-        warehouse.replace_table(df, db, name, contract=schemas.CONTRACTS[name])
+    for dataset in dict.fromkeys(db for db, _ in derived):
+        with warehouse.commit(dataset) as writing:
+            for (db, name), df in derived.items():
+                if db == dataset:
+                    writing.replace_table(df, name, contract=schemas.CONTRACTS[name], order_by=marts.STORED_ORDER.get(name))
     return reduce(DataFrame.unionByName, [warehouse.statistics(db, name) for db, name in derived])

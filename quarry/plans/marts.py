@@ -19,6 +19,16 @@ ISSUE = "issue"
 PULL_REQUEST = "pull_request"
 
 
+# SRT-1..3: how the stored tables are ordered (nulls last); a reader asks for it by
+# ``Warehouse.ordered_table``.
+STORED_ORDER = {
+    "top_comment_authors": ["total_comments desc", "username", "type"],
+    "comment_volume_by_day": ["day", "type"],
+    "team_performance_summary": ["avg_csat desc", "team_name"],
+    "nps_by_subscription_month": ["months_subscribed"],
+}
+
+
 def _tagged(issue_df: DataFrame, pr_df: DataFrame, *cols) -> DataFrame:
     """Both comment tables in one relation with a ``type`` tag.
 

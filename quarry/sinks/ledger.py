@@ -34,6 +34,10 @@ class Folder:
             return []
         return sorted(s.getPath().getName() for s in self._fs.listStatus(self._root))
 
+    def size(self) -> int:
+        """Bytes of all files below the folder."""
+        return self._fs.getContentSummary(self._root).getLength() if self.exists() else 0
+
     def delete(self, name: str = "") -> None:
         self._fs.delete(self._at(name), True)
 
