@@ -30,8 +30,9 @@ from __future__ import annotations
 import datetime as dt
 import json
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructType
 
@@ -221,7 +222,7 @@ class IncrementalTable:
         index = id_index.on_days(index, "day", days)
         perhaps = stage_parquet(id_index.perhaps_stored(late, self.key, self.day_col, index), "perhaps_stored")
         days = id_index.days_of(perhaps, self.day_col)
-        if days == []:
+        if not days and days is not None:
             return None
         found = None
         schema = f"{self.key} string, {self.day_col} date"
@@ -260,26 +261,21 @@ class IncrementalTable:
         if "pull" in batch.columns:
             self._write(pull_summary(batch, [], "pull", self.cursor_col), self.pulls_path, number)
         rows = stage_parquet(self._earliest(batch), "batch_rows")
-        n_late_rows = rows.where(is_late).count()
         # rebalance: rows of one (type, day) go to few tasks -> few files, and
         # AQE splits an oversized partition instead of one task writing it all
         new = self._unstored(rows, floor).hint("rebalance", *self.partition_by)
-        self._write(new, self.path, number, self.partition_by)
-        n_late = 0
-        if n_late_rows:
-            late = rows.where(is_late)
+        n_loaded = self._write(new, self.path, number, self.partition_by)
+        late, n_late = rows.where(is_late), 0
+        if not late.isEmpty():
             stored = self._stored_late(late)
             late = late if stored is None else late.join(stored, self.key, "left_anti")
-            late = stage_parquet(late.withColumn("missed_cursor", _ts(before)), "late_rows")
-            n_late = late.count()
+            days = (self.day_col,) if self.day_col in late.columns else ()
+            n_late = self._write(late.withColumn("missed_cursor", _ts(before)), self.late_path, number, days)
+        if self.day_col in rows.columns and n_loaded + n_late:
+            kept = [self.spark.read.schema(rows.schema).parquet(f"{self.path}/run={number}")]
             if n_late:
-                self._write(late, self.late_path, number, (self.day_col,) if self.day_col in late.columns else ())
-        loaded = self.spark.read.schema(rows.schema).parquet(f"{self.path}/run={number}")
-        n_loaded = loaded.count()
-        if self.day_col in rows.columns:
-            ids = loaded.select(self.key, self.day_col)
-            if n_late:
-                ids = ids.unionByName(late.select(self.key, self.day_col))
+                kept.append(self.spark.read.schema(rows.schema).parquet(f"{self.late_path}/run={number}"))
+            ids = reduce(DataFrame.unionByName, [k.select(self.key, self.day_col) for k in kept])
             self._write(id_index.filters_of(ids, self.key, self.day_col), self.ids_path, number, ("day",))
         # What is loaded already is not newer than the cursor, so the batch alone tells.
         after = max(before, newest) if newest is not None else before
@@ -306,10 +302,13 @@ class IncrementalTable:
             **{c: entry[c] for c in COUNTS},
         }
 
-    def _write(self, rows: DataFrame, path: str, number: int, partition_by: tuple[str, ...] = ()) -> None:
-        """Into the run's own folder."""
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    def _write(self, rows: DataFrame, path: str, number: int, partition_by: tuple[str, ...] = ()) -> int:
+        """Into the run's own folder; the number of rows, counted while they are written."""
+        written = Observation()
+        counted = rows.observe(written, F.count(F.lit(1)).alias("n"))
+        writer = counted.write.mode("overwrite").option("partitionOverwriteMode", "static")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{path}/run={number}")
+        return written.get["n"]
 
 
 def pull_summary(events: DataFrame, repo_cols: list[str], pull_col: str, time_col: str = "created_at") -> DataFrame:
