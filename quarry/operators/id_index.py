@@ -60,7 +60,7 @@ def perhaps_stored(asked: DataFrame, key: str, day: str, index: DataFrame) -> Da
     )
     inside = F.col("_bit") % BUCKET_BITS
     byte = F.conv(F.hex(F.substring("bits", (F.floor(inside / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    is_set = F.shiftright(byte, 0).bitwiseAND(F.expr("shiftleft(1, cast(_bit % 8 as int))")) > 0
+    is_set = byte.bitwiseAND(F.expr("shiftleft(1, cast(_bit % 8 as int))")) > 0
     met = wanted.join(index.select("day", "run", "bucket", "bits"), ["day", "run", "bucket"], "left")
     held = met.groupBy("_key", "day", "run").agg(F.min(F.coalesce(is_set, F.lit(False))).alias("_all")).where("_all")
     return held.select(F.col("_key").alias(key), F.col("day").alias(day)).distinct()

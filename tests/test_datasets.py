@@ -229,7 +229,7 @@ def test_comments_are_matched_with_their_answers(spark):
 
 
 def test_a_dataset_load_that_dies_between_tables_keeps_the_old_dataset(spark, tmp_dir, monkeypatch):
-    from quarry.sources import fixture_pages as fx
+    from tools import fixture_pages as fx
     from quarry.sources import landing
 
     landing.land_json(fx.conversation_pages(spark, SF), f"{tmp_dir}/pages")

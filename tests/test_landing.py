@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from quarry.functions.naming import snake, utc_timestamp
 from quarry.operators import normalize as nz
 from quarry.operators import pages as pg
-from quarry.sources import fixture_pages as fx
+from tools import fixture_pages as fx
 from quarry.plans import loads
 from quarry.sinks.warehouse import Warehouse
 from quarry.sources import landing

@@ -158,8 +158,8 @@ def test_outer_product_matches_brute_force(spark, parent, a, b, cell):
 
 
 def test_user_activity_row_count_on_driver_tables(spark):
-    from quarry.plans.catalog import q_user_core_activity_summary
-    from quarry.sources import standins as s
+    from tools.catalog import q_user_core_activity_summary
+    from tools import standins as s
 
     sf = "/root/testdata/sf0.001"
     df = q_user_core_activity_summary(spark, sf)

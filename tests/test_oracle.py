@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from quarry.plans.catalog import ORACLE_SQL, QUERIES
+from tools.catalog import ORACLE_SQL, QUERIES
 from tools.oracle_check import TABLES, _digest, type_mismatches
 
 SF = "/root/testdata/sf0.001"

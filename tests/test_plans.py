@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from quarry.plans.catalog import QUERIES
+from tools.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -44,7 +44,7 @@ def test_aggregates_are_partial_before_the_shuffle(spark):
 
 def test_no_list_is_gathered_from_a_whole_parent(spark):
     """Nesting groups by list part, and no window orders all rows of a parent."""
-    from quarry.sources import fixture_pages as fx
+    from tools import fixture_pages as fx
 
     plan = _plan(fx.conversation_pages(spark, SF))
     assert "keys=[conv_id" in plan and "list_offset" in plan
@@ -93,7 +93,7 @@ def test_exploded_children_do_not_carry_their_parent_list(spark):
     """Each comment row must not keep the whole item (and its list): that
     makes exploding k comments cost O(k^2) bytes."""
     from quarry.operators import normalize as nz
-    from quarry.sources import fixture_pages as fx
+    from tools import fixture_pages as fx
 
     plan = _plan(nz.comments(fx.conversation_pages(spark, SF), "issues"))
     generates = [line for line in plan.splitlines() if "Generate posexplode(_list" in line]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quarry import schemas
 from quarry.sinks.warehouse import ContractError, Warehouse, enforce_contract
-from quarry.sources import standins as s
+from tools import standins as s
 from quarry.sources.replicate import ReplicationSpec, jdbc_reader, replicate
 
 SF = "/root/testdata/sf0.001"
@@ -116,8 +116,8 @@ def test_replicate_target_template():
 def test_end_to_end_load_and_derive(spark, tmp_dir):
     """Land pages, load both resources, replicate product tables, derive all six."""
     from quarry.plans import loads
-    from quarry.plans.catalog import REPLICATED_STREAMS
-    from quarry.sources import fixture_pages as fx
+    from tools.catalog import REPLICATED_STREAMS
+    from tools import fixture_pages as fx
     from quarry.sources import landing
 
     landing.land_json(

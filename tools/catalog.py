@@ -17,15 +17,16 @@ from quarry import schemas
 from quarry.operators import incremental as inc
 from quarry.operators import normalize as nz
 from quarry.operators import pages as pg
-from quarry.plans import loads, marts, oracle
+from quarry.plans import loads, marts
 from quarry.session import scratch_path
 from quarry.sinks.staging import stage_parquet
 from quarry.sinks.warehouse import Warehouse
-from quarry.sources import fixture_pages as fx
 from quarry.sources import landing
-from quarry.sources import standins as s
 from quarry.sources.replicate import ReplicationSpec, replicate
 from quarry.streaming import events as stream_events
+from tools import fixture_pages as fx
+from tools import oracle
+from tools import standins as s
 
 Query = Callable[[SparkSession, str], DataFrame]
 

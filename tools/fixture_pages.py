@@ -41,7 +41,7 @@ from pyspark.sql.types import ArrayType, DataType
 
 from quarry import schemas
 from quarry.functions.naming import iso_text
-from quarry.sources.standins import read
+from tools.standins import read
 
 OWNER = "driver"
 ITEMS_PER_PAGE = 100

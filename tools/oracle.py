@@ -1,7 +1,7 @@
 """What every registered query must return, as DuckDB SQL on the driver tables.
 
 Each statement works from the raw columns of the driver tables and the rules in
-FIXTURES.md (part B) and ``quarry.sources.fixture_pages``; there is no layer of
+FIXTURES.md (part B) and ``tools.fixture_pages``; there is no layer of
 stand-in tables in between. Where a result can be reached another way than the
 Spark plan reaches it, it is: counts side by side and unpivoted instead of a
 tagged union, integer rounding instead of casts, lists unnested instead of joins.
@@ -82,7 +82,7 @@ FROM pairs"""
 
 
 # ---------------------------------------------------------------------------
-# Landed pages (the fixture rules are listed in quarry.sources.fixture_pages)
+# Landed pages (the fixture rules are listed in tools.fixture_pages)
 
 NORMALIZE_COMMENTS = """
 SELECT 'driver' AS owner, 'conversations' AS name, conv_id AS number,

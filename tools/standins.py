@@ -4,7 +4,7 @@ The reference reads a product database (users, tickets, teams, events, NPS
 responses) and normalised comment tables. The driver ships TPC-H-like tables
 instead; each function below maps them, column for column, to the
 reference's shape. The mapping is part of the test fixture, and the same
-mapping is written in SQL in ``quarry.plans.oracle`` so both engines read
+mapping is written in SQL in ``tools.oracle`` so both engines read
 identical inputs.
 
 Every function selects only the columns it maps, so the Parquet scan prunes
