@@ -10,9 +10,13 @@ from quarry.llm.common import stage
 
 
 def _min_of_neighbours(pairs: DataFrame) -> DataFrame:
-    """(u, v) with m, the least of u and all its v."""
+    """(u, v) with m, the least of u and all its v.
+
+    The least are written first, so that the join stands alone in its stage and the
+    edges of a star's centre can be split.
+    """
     least = pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return pairs.join(least, "u")
+    return pairs.join(stage(least, "components-least"), "u")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

@@ -8,15 +8,18 @@
    member, not all pairs. The similarity of a pair is estimated from the equal
    signature fields, corrected for chance agreement; pairs clearly below the
    threshold go, the others are confirmed on the full shingle sets.
-3. Links give components. Buckets that still hold several components are
-   finished exactly: their members are laid on a grid of cells of about ``CELL``
-   members a side, and cells compare longer b-bit signatures of members of
-   different components. Members with a pair that comes near the threshold get
-   their full sets, and the cell confirms such pairs until its components are
-   joined or all are refused. So a cell sends members and links, never its
-   pairs, and no bucket is capped.
-
-At similarity s >= 0.85 a pair shares no band with probability
+3. Links give components. Buckets that still hold several components get ``ROUNDS`` more
+   leaders, which joins what is a group of copies.
+4. Members of buckets that stay open are dealt anew, once each, by ``FINE_BANDS`` keys of
+   ``FINE_ROWS`` fresh minima: few but close texts share one. Members that share one with
+   another component compare longer b-bit signatures inside the task; those that come
+   near the threshold get their full sets, and the task confirms such pairs until its
+   components are joined or all are refused. So members and links are sent, never
+   pairs, and a member has one row for each of its keys, whatever the size of its group.
+   Only a key that over ``CELL`` members share is laid on a grid of such cells, so no
+   bucket is capped.
+
+At similarity s >= 0.85 a pair shares no band, coarse or fine, with probability
 (1 - s^ROWS)^BANDS < 3e-7, and an estimate errs by more than ``SIGMAS`` standard
 deviations with about the same; nothing else can lose a link, and no link is
 made without full sets.
@@ -45,7 +48,10 @@ BANDS, ROWS = 26, 5
 BITS = 2
 SHORT, LONG = 128, 1024
 SIGMAS = 5.0
-CELL = 512
+ROUNDS = 2
+FINE_BANDS, FINE_ROWS = 69, 10
+CELL = 4_096
+PAIRS = 1 << 20
 CHUNK_BYTES = 1 << 20
 SEED = 7
 
@@ -164,17 +170,23 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return pairs.select("u", "v").join(first, "u").join(second, "v").mapInArrow(run, "u long, v long")
 
 
-def _open_cells(members: DataFrame, cell: int) -> DataFrame:
-    """Members of buckets of several components, copied to the cells of the
-    bucket's grid: chunk i meets chunk j in cell (min, max)."""
-    sizes = members.groupBy("band", "key").agg(
-        F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")
-    )
-    mixed_buckets = sizes.where("low != high").select(
-        "band", "key", F.ceil(F.col("n") / cell).cast("int").alias("chunks")
+def _open_buckets(members: DataFrame) -> DataFrame:
+    """(band, key) of buckets of several components, with their size."""
+    return (
+        members.groupBy("band", "key")
+        .agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
+        .where("low != high")
+        .select("band", "key", "n")
     )
+
+
+def _open_cells(members: DataFrame, cell: int) -> DataFrame:
+    """Members of buckets of several components, in the cells of the bucket: one, or a
+    grid if it has over ``cell`` members, in which chunk i meets chunk j in cell
+    (min, max)."""
+    sized = _open_buckets(members).select("band", "key", F.ceil(F.col("n") / cell).cast("int").alias("chunks"))
     mine = F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")
-    placed = members.join(mixed_buckets, ["band", "key"]).withColumn("mine", mine)
+    placed = members.join(sized, ["band", "key"]).withColumn("mine", mine)
     meets = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
     return placed.select("band", "key", "rep", "component", "mine", meets).select(
         F.xxhash64("band", "key", F.least("mine", "other"), F.greatest("mine", "other")).alias("cell"),
@@ -184,17 +196,28 @@ def _open_cells(members: DataFrame, cell: int) -> DataFrame:
 
 
 def long_signatures(texts: DataFrame) -> DataFrame:
-    """Signatures of ``LONG`` minima as bytes, for documents that need a closer look."""
+    """For documents that need a closer look: signatures of ``LONG`` minima as bytes, and
+    ``FINE_BANDS`` keys of those minima that the first bands did not use."""
+    first = BANDS * ROWS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in row_chunks(batches, "text", CHUNK_BYTES):
             values, bounds = shingle_sets(*utf8_column(chunk.column("text")), SHINGLE)
-            words = packed(minima(values, bounds, LONG))
+            lows = minima(values, bounds, LONG)
+            fresh = lows[:, first : first + FINE_BANDS * FINE_ROWS]
+            keys = np.zeros((len(lows), FINE_BANDS), np.uint64)
+            for k in range(FINE_ROWS):
+                keys = mixed(keys * np.uint64(31) + fresh[:, k::FINE_ROWS])
             yield pa.RecordBatch.from_arrays(
-                [chunk.column("doc_id"), pa.array([w.tobytes() for w in words], pa.binary())], ["rep", "fields"]
+                [
+                    chunk.column("doc_id"),
+                    pa.array([w.tobytes() for w in packed(lows)], pa.binary()),
+                    pa.array(list(keys.view(np.int64)), pa.list_(pa.int64())),
+                ],
+                ["rep", "fields", "fine"],
             )
 
-    return texts.select("doc_id", "text").mapInArrow(run, "rep long, fields binary")
+    return texts.select("doc_id", "text").mapInArrow(run, "rep long, fields binary, fine array<long>")
 
 
 _CELL = "cell long, band int, key long, i int, j int"
@@ -229,15 +252,21 @@ def _near_pairs(members: list[tuple], least: int) -> tuple[np.ndarray, np.ndarra
     words = np.frombuffer(b"".join(m[3] for m in members), np.uint64).reshape(len(members), -1)
     left = np.flatnonzero(sides == sides.min())
     right = left if (sides == sides[0]).all() else np.flatnonzero(sides != sides.min())
-    equal = np.full((len(left), len(right)), LONG, np.int32)
-    for k in range(words.shape[1]):
-        x = words[left, k][:, None] ^ words[right, k][None, :]
-        y = x.copy()
-        for step in range(1, BITS):
-            y |= x >> np.uint64(step)
-        equal -= np.bitwise_count(y & ones)
-    a, b = np.nonzero((equal >= least) & (comps[left][:, None] != comps[right][None, :]))
-    return left[a], right[b]
+    found_a, found_b = [], []
+    step = max(1, PAIRS // max(1, len(right)))
+    for at in range(0, len(left), step):
+        some = left[at : at + step]
+        equal = np.full((len(some), len(right)), LONG, np.int32)
+        for k in range(words.shape[1]):
+            x = words[some, k][:, None] ^ words[right, k][None, :]
+            y = x.copy()
+            for shift in range(1, BITS):
+                y |= x >> np.uint64(shift)
+            equal -= np.bitwise_count(y & ones)
+        a, b = np.nonzero((equal >= least) & (comps[some][:, None] != comps[right][None, :]))
+        found_a.append(some[a])
+        found_b.append(right[b])
+    return np.concatenate(found_a), np.concatenate(found_b)
 
 
 def _near_members(cells: DataFrame, percent: int) -> DataFrame:
@@ -330,15 +359,6 @@ def near_duplicates(
         "minhash-buckets",
     )
     sigs = classes.select("rep", "sig")
-    stars = (
-        members.where("rep != leader")
-        .select(F.least("rep", "leader").alias("u"), F.greatest("rep", "leader").alias("v"))
-        .distinct()
-        .join(sigs.select(F.col("rep").alias("u"), F.col("sig").alias("sig_u")), "u")
-        .join(sigs.select(F.col("rep").alias("v"), F.col("sig").alias("sig_v")), "v")
-        .where(_equal_fields("sig_u", "sig_v", SHORT * BITS // 64) >= least_fields(percent, SHORT))
-        .select("u", "v")
-    )
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     texts = stage(
@@ -348,16 +368,53 @@ def near_duplicates(
         .where("text IS NOT NULL"),
         "minhash-texts",
     )
-    # Rows of one doc_id are one document, whatever their texts.
-    links = stage(confirm(stars, texts, percent), "minhash-links")
-    found = components(links)
 
-    labelled = members.join(found, members.rep == found.node, "left").select(
-        "band", "key", "rep", F.coalesce("component", "rep").alias("component")
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Of pairs (rep, leader) those that are linked, as (u, v)."""
+        likely = (
+            pairs.select(F.least("rep", "leader").alias("u"), F.greatest("rep", "leader").alias("v"))
+            .distinct()
+            .join(sigs.select(F.col("rep").alias("u"), F.col("sig").alias("sig_u")), "u")
+            .join(sigs.select(F.col("rep").alias("v"), F.col("sig").alias("sig_v")), "v")
+            .where(_equal_fields("sig_u", "sig_v", SHORT * BITS // 64) >= least_fields(percent, SHORT))
+        )
+        # Rows of one doc_id are one document, whatever their texts.
+        return stage(confirm(likely, texts, percent), "minhash-links")
+
+    def labelled(found: DataFrame) -> DataFrame:
+        return stage(
+            members.join(found, members.rep == found.node, "left").select(
+                "band", "key", "rep", F.coalesce("component", "rep").alias("component")
+            ),
+            "minhash-labelled",
+        )
+
+    links = linked(members.where("rep != leader"))
+    found = components(links)
+    in_bands = labelled(found)
+    for k in range(1, ROUNDS + 1):
+        leaders = (
+            in_bands.join(_open_buckets(in_bands).drop("n"), ["band", "key"])
+            .groupBy("band", "key")
+            .agg(F.min_by(F.struct("rep", "component"), F.xxhash64(F.lit(k), "rep", "band")).alias("top"))
+            .select("band", "key", F.col("top.rep").alias("leader"), F.col("top.component").alias("of"))
+        )
+        more = linked(in_bands.join(stage(leaders, "minhash-leaders"), ["band", "key"]).where("component != of"))
+        if more.isEmpty():
+            break
+        links = stage(links.unionByName(more), "minhash-links")
+        found = components(links)
+        in_bands = labelled(found)
+
+    still_open = in_bands.join(_open_buckets(in_bands).drop("n"), ["band", "key"])
+    still_open = stage(still_open.select("rep", "component").distinct(), "minhash-open")
+    open_texts = texts.join(still_open.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    long = stage(long_signatures(open_texts), "minhash-long")
+    fine = still_open.join(long.select("rep", "fine"), "rep").select(
+        "rep", "component", F.posexplode("fine").alias("band", "key")
     )
-    cells = stage(_open_cells(stage(labelled, "minhash-labelled"), cell), "minhash-cells")
-    open_texts = texts.join(cells.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    near = stage(_near_members(cells.join(long_signatures(open_texts), "rep"), percent), "minhash-near")
+    cells = stage(_open_cells(fine, cell), "minhash-cells")
+    near = stage(_near_members(cells.join(long.select("rep", "fields"), "rep"), percent), "minhash-near")
     near_texts = texts.join(near.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
     more = stage(_cell_links(near.join(full_sets(near_texts), "rep"), percent), "minhash-links")
     found = components(links.unionByName(more))
@@ -366,9 +423,10 @@ def near_duplicates(
     final = class_of.join(found, class_of.rep == found.node, "left").select(
         "d1", "d2", F.coalesce("component", "rep").alias("component")
     )
-    return (
+    # Written here: a class of many equal texts is split by the join, before any grouping.
+    return stage(
         rows.select("doc_id", "text_md5", "n_shingles", "d1", "d2")
-        .join(final, ["d1", "d2"], "left")
+        .join(stage(final, "minhash-final"), ["d1", "d2"], "left")
         .select(
             "doc_id",
             "n_shingles",
@@ -377,7 +435,8 @@ def near_duplicates(
         )
         .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
-        .select("doc_id", "n_shingles", "component_id", "kept", "text_md5", "d1", "d2")
+        .select("doc_id", "n_shingles", "component_id", "kept", "text_md5", "d1", "d2"),
+        "minhash-judged",
     )
 
 
@@ -391,8 +450,11 @@ def keep_one(docs: DataFrame, judged: DataFrame, id_col: str = "doc_id", text_co
         .select(F.col("doc_id").alias("_id"), "_md5")
         .distinct()
     )
+    # Rows of one text differ in their other columns, which may not be comparable (maps).
+    others = F.to_json(F.struct(F.lit(0).alias("_"), *(c for c in docs.columns if c != text_col)))
     rows = docs.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("_id"), _text_md5(text_col).alias("_md5"), F.struct(*docs.columns).alias("row")
+        F.col(id_col).cast("long").alias("_id"), _text_md5(text_col).alias("_md5"), F.struct(*docs.columns).alias("row"),
+        others.alias("_order"),
     )
-    kept = rows.join(chosen, ["_id", "_md5"], "left_semi").groupBy("_id", "_md5").agg(F.min("row").alias("row"))
+    kept = rows.join(chosen, ["_id", "_md5"], "left_semi").groupBy("_id", "_md5").agg(F.min_by("row", "_order").alias("row"))
     return kept.select("row.*").unionByName(docs.where(F.col(id_col).isNull()))
