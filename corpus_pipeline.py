@@ -12,12 +12,20 @@ from quarry.llm.catalog import BYTE_VOCABULARY
 from quarry.llm.common import read_table, scratch, stage
 
 
+def _set_aside(docs: DataFrame) -> tuple[DataFrame, list]:
+    """``docs`` with all columns but the id under names that no operator uses, and the
+    columns that bring the old names back."""
+    others = {c: f"_kept_{k}" for k, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    back = [F.col(others.get(c, c)).alias(c) for c in docs.columns]
+    return docs.withColumnsRenamed(others), back
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is found without doubt stay."""
     model = langid_zstd.train(docs.where(~langid_zstd.held_out()))
-    others = tuple(c for c in docs.columns if c != "doc_id")
-    judged = langid_zstd.identify(docs, model, keep=others)
-    return judged.where(~F.col("rejected")).select(*docs.columns)
+    given, back = _set_aside(docs)
+    judged = langid_zstd.identify(given, model, keep=tuple(c for c in given.columns if c != "doc_id"))
+    return judged.where(~F.col("rejected")).select(*back)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,9 +35,10 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage stay."""
-    others = tuple(c for c in docs.columns if c != "doc_id")
-    found = decontam_fm.decontaminate(docs, read_table(spark, sf_dir, "benchmark"), keep=others)
-    return found.where(F.size("spans") == 0).select(*docs.columns)
+    given, back = _set_aside(docs)
+    others = tuple(c for c in given.columns if c != "doc_id")
+    found = decontam_fm.decontaminate(given, read_table(spark, sf_dir, "benchmark"), keep=others)
+    return found.where(F.size("spans") == 0).select(*back)
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
