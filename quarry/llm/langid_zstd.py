@@ -1,23 +1,19 @@
 """Language identification by compression.
 
-For every language a few zstandard raw-content dictionaries are made from a
-bounded sample of its labelled texts. All of a text is compressed with the
-dictionaries of each language; the language with the smallest total wins, and a
-text whose margin over the second language is narrow is rejected.
+Every language has one zstandard raw-content dictionary, made from a bounded sample of
+its labelled texts. All of a text, in lower case, is compressed with the dictionary of
+each language; the language with the smallest total wins, and a text whose margin over
+the second language is narrow is rejected. Texts of all lengths are judged alike.
 
 A text is compressed in pieces of at most ``PIECE_BYTES``, each a frame of its own
 and so beside the whole dictionary. In one frame a long text would serve as its own
 dictionary: its start would decide, and the margin would fall as one over its length.
 
 The sample: about ``docs_per_lang`` documents of each language, picked by a
-seeded hash of their id at a rate set from the language's count, at most
-``excerpt_chars`` characters of each. So the driver holds languages x
-docs_per_lang x excerpt_chars at most, and the dictionaries (languages x blocks x
-``block_bytes``) go to every worker. Prediction reads nothing but the text.
-
-A text of ``SHORT_BYTES`` or more is compressed greedily with one dictionary of
-each language; a shorter one, where single bytes decide, with a deeper search and
-all dictionaries of each. Both compress all of the text, in lower case.
+seeded hash of their id at a rate set from the language's count, and of each at most
+``excerpt_chars`` characters at a place that the hash sets too. So the driver holds
+languages x docs_per_lang x excerpt_chars at most, and the dictionaries (languages x
+``dict_bytes``) go to every worker. Prediction reads nothing but the text.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0; with
 one learned language all other texts get it with score 1; with none all are ``und``;
@@ -36,22 +32,21 @@ from pyspark.sql import functions as F
 
 UNKNOWN = "und"
 DOCS_PER_LANG = 300
-EXCERPT_CHARS = 2_000
-BLOCKS = 4
-BLOCK_BYTES = 32 << 10
+EXCERPT_CHARS = 1_000
+DICT_BYTES = 256 << 10
 PIECE_BYTES = 32 << 10
-SHORT_BYTES = 2_048
 MIN_MARGIN = 0.004
 SEED = 11
 
+# Tables and window that fit the dictionary beside a piece; frames with the least header.
+_SEARCH = {
+    "window_log": 19, "chain_log": 18, "hash_log": 18, "min_match": 4,
+    "strategy": zstandard.STRATEGY_BTLAZY2, "search_log": 4, "target_length": 32,
+}
 _FRAME = {"write_content_size": False, "write_checksum": False, "write_dict_id": False}
-# Tables that fit one dictionary block; quick and thorough search.
-_TABLES = {"window_log": 18, "chain_log": 17, "hash_log": 17, "min_match": 4}
-_QUICK = {"strategy": zstandard.STRATEGY_GREEDY, "search_log": 3, "target_length": 8}
-_THOROUGH = {"strategy": zstandard.STRATEGY_BTLAZY2, "search_log": 6, "target_length": 64}
 _FRAME_BYTES = 6
 
-Model = dict[str, list[bytes]]
+Model = dict[str, bytes]
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -62,9 +57,9 @@ def held_out(id_col: str = "doc_id") -> Column:
 def train(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
     docs_per_lang: int = DOCS_PER_LANG, excerpt_chars: int = EXCERPT_CHARS,
-    blocks: int = BLOCKS, block_bytes: int = BLOCK_BYTES, seed: int = SEED,
+    dict_bytes: int = DICT_BYTES, seed: int = SEED,
 ) -> Model:
-    """Raw-content dictionaries of each language of the labelled rows of ``docs``."""
+    """The raw-content dictionary of each language of the labelled rows of ``docs``."""
     labelled = docs.select(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
         F.xxhash64(F.lit(seed), F.col(id_col)).alias("h"),
@@ -77,18 +72,14 @@ def train(
     rate = F.create_map(*(F.lit(x) for lang, n in counts for x in (lang, docs_per_lang / n)))
     share = F.shiftrightunsigned("h", 11) / F.lit(float(1 << 53))
     picked = labelled.where(share < rate[F.col("lang")])
-    rows = picked.select("lang", "h", F.substring("text", 1, excerpt_chars).alias("text")).collect()
+    places = F.greatest(F.length("text") - excerpt_chars, F.lit(0)) + 1
+    excerpt = F.substring(F.col("text"), (F.pmod("h", places) + 1).cast("int"), F.lit(excerpt_chars))
+    rows = picked.select("lang", "h", excerpt.alias("text")).collect()
     texts: dict[str, list[str]] = {}
     for r in sorted(rows, key=lambda r: (r.lang, r.h, r.text)):
         texts.setdefault(r.lang, []).append(r.text.lower())
-    model = {}
-    for lang, own in texts.items():
-        data = "\n".join(dict.fromkeys(own)).encode("utf-8", "surrogatepass")
-        # Blocks lie evenly over the sample; a small sample is one block.
-        stride = max(0, len(data) - block_bytes) / max(1, blocks - 1)
-        starts = sorted({int(k * stride) for k in range(blocks)})
-        model[lang] = [data[at : at + block_bytes] for at in starts]
-    return model
+    whole = {lang: "\n".join(dict.fromkeys(own)) for lang, own in texts.items()}
+    return {lang: t.encode("utf-8", "surrogatepass")[:dict_bytes] for lang, t in whole.items()}
 
 
 def pieces(data: bytes) -> list[bytes]:
@@ -105,28 +96,25 @@ def pieces(data: bytes) -> list[bytes]:
 
 class Classifier:
     def __init__(self, model: Model):
-        usable = {lang: [b for b in blocks if len(b) >= 8] for lang, blocks in sorted(model.items())}
-        usable = {lang: blocks for lang, blocks in usable.items() if blocks}
-        self.long = {lang: [self._coder(blocks[0], _QUICK)] for lang, blocks in usable.items()}
-        self.short = {lang: [self._coder(b, _THOROUGH) for b in blocks] for lang, blocks in usable.items()}
+        # zstandard takes content of eight bytes or more.
+        self.coders = {lang: self._coder(data) for lang, data in sorted(model.items()) if len(data) >= 8}
 
     @staticmethod
-    def _coder(content: bytes, search: dict) -> zstandard.ZstdCompressor:
-        params = zstandard.ZstdCompressionParameters(**_TABLES, **search, **_FRAME)
+    def _coder(content: bytes) -> zstandard.ZstdCompressor:
+        params = zstandard.ZstdCompressionParameters(**_SEARCH, **_FRAME)
         data = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         data.precompute_compress(compression_params=params)
         return zstandard.ZstdCompressor(compression_params=params, dict_data=data)
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and margin: how much smaller the best size is than the second."""
-        if not text or not self.long or not any(map(str.isalpha, text)):
+        if not text or not self.coders or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
         data = f" {text.lower()} ".encode("utf-8", "surrogatepass")
-        coders = self.short if len(data) < SHORT_BYTES else self.long
         parts = pieces(data)
         sizes = sorted(
-            (sum(len(c.compress(part)) - _FRAME_BYTES for c in own for part in parts) / len(own), lang)
-            for lang, own in coders.items()
+            (sum(len(coder.compress(part)) - _FRAME_BYTES for part in parts), lang)
+            for lang, coder in self.coders.items()
         )
         if len(sizes) == 1:
             return sizes[0][1], 1.0

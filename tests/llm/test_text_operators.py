@@ -177,6 +177,49 @@ def test_language_edges(spark):
     assert langid_zstd.identify(docs.limit(0), model).count() == 0
 
 
+def test_language_equals_plain_compression(spark):
+    """Every text of the table, compressed whole with each dictionary in plain Python."""
+    import zstandard
+
+    rows = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    model = langid_zstd.train(spark.read.parquet(f"{SF}/documents.parquet").where(~langid_zstd.held_out()))
+    params = zstandard.ZstdCompressionParameters(**langid_zstd._SEARCH, **langid_zstd._FRAME)
+    want = set()
+    for r in rows:
+        if not any(c.isalpha() for c in r.text or ""):
+            want.add((r.doc_id, "und", 0.0))
+            continue
+        rest, size = f" {r.text.lower()} ".encode(), dict.fromkeys(sorted(model), 0)
+        while rest:
+            cut = len(rest)
+            if cut > 32_768:
+                cut = max((k + 1 for k in range(16_384, 32_768) if rest[k] == 32), default=32_768)
+            for lang in size:
+                known = zstandard.ZstdCompressionDict(model[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                known.precompute_compress(compression_params=params)
+                coder = zstandard.ZstdCompressor(compression_params=params, dict_data=known)
+                size[lang] += len(coder.compress(rest[:cut])) - 6
+            rest = rest[cut:]
+        best = min(size, key=size.get)
+        second = min(n for lang, n in size.items() if lang != best)
+        want.add((r.doc_id, best, (second - size[best]) / second))
+    got = QUERIES["op2_langid_zstd"](spark, SF).collect()
+    assert {(r.doc_id, r.lang_pred, r.score) for r in got} == want and len(got) == len(rows)
+    assert all(r.rejected == (r.lang_pred == "und" or r.score < langid_zstd.MIN_MARGIN) for r in got)
+
+
+def test_language_learns_within_its_bounds(spark):
+    docs = spark.createDataFrame(
+        [(k, f"prefix{k} " + f"{w} " * 5_000, lang) for k in range(400) for w, lang in ((f"wort{k}", "de"), (f"word{k}", "en"))],
+        "doc_id long, text string, lang string",
+    )
+    model = langid_zstd.train(docs, docs_per_lang=100, excerpt_chars=200, dict_bytes=10_000)
+    assert {lang: len(d) for lang, d in model.items()} == {"de": 10_000, "en": 10_000}
+    # Excerpts start anywhere in a text, not at its beginning.
+    assert all(d.count(b"prefix") < 25 for d in model.values())
+    assert langid_zstd.train(docs, docs_per_lang=100, excerpt_chars=200, dict_bytes=10_000) == model
+
+
 def long_texts():
     """All texts of each language one after the other."""
     import pyarrow.parquet as pq
