@@ -41,7 +41,7 @@ SEED = 11
 # Tables and window that fit the dictionary beside a piece; frames with the least header.
 _SEARCH = {
     "window_log": 19, "chain_log": 18, "hash_log": 18, "min_match": 4,
-    "strategy": zstandard.STRATEGY_BTLAZY2, "search_log": 4, "target_length": 32,
+    "strategy": zstandard.STRATEGY_BTLAZY2, "search_log": 2, "target_length": 32,
 }
 _FRAME = {"write_content_size": False, "write_checksum": False, "write_dict_id": False}
 _FRAME_BYTES = 6
