@@ -3,9 +3,11 @@ numpy views of Arrow text columns inside tasks."""
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +19,7 @@ from quarry.session import scratch_path
 from quarry.sinks.staging import stage_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
+Task = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 CHUNK_BYTES = 2 << 20
 ROWS_PER_BATCH = 2_000
@@ -39,6 +42,26 @@ def small_batches(spark: SparkSession, rows: int = ROWS_PER_BATCH) -> Iterator[N
         spark.conf.set(key, before)
 
 
+def give_back() -> None:
+    """Return freed memory to the system (where the C library can do so)."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Task) -> Task:
+    """``run`` as an Arrow task whose Python worker gives back at the end what it no
+    longer needs: Spark keeps workers for later tasks, beside others and a JVM."""
+
+    @wraps(run)
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return task
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage: one written copy in the shared checkpoint folder."""
     with small_batches(df.sparkSession):

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import row_chunks, utf8_column
+from quarry.llm.common import row_chunks, tidy, utf8_column
 from quarry.llm.pretokens import span_hashes
 
 WINDOW = 10
@@ -307,6 +307,7 @@ def _merge_spans(spans):
 def _search_block(rows: DataFrame, items: list[tuple[str, str | None]], window: int, digest: bool) -> DataFrame:
     phrases = rows.sparkSession.sparkContext.broadcast(Phrases(items, window))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in row_chunks(batches, "text", SHARD_BYTES):
             data, offsets = utf8_column(shard.column("text"))

@@ -30,6 +30,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.common import tidy
+
 UNKNOWN = "und"
 DOCS_PER_LANG = 300
 EXCERPT_CHARS = 1_000
@@ -130,6 +132,7 @@ def identify(
     ``rejected`` (no language, or a margin under ``min_margin``)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predict = Classifier(shared.value).predict
         for batch in batches:

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import row_chunks, stage, utf8_column
+from quarry.llm.common import row_chunks, stage, tidy, utf8_column
 from quarry.llm.components import components
 from quarry.llm.shingles import mixed, shingle_sets
 
@@ -96,6 +96,7 @@ def _text_md5(text: str) -> Column:
 def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Per row: doc_id, ``text_md5``, ``n_shingles``, set digest (``d1``, ``d2``), ``bands``, ``sig``."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in row_chunks(batches, "text", CHUNK_BYTES):
             values, bounds = shingle_sets(*utf8_column(chunk.column("text")), SHINGLE)
@@ -151,6 +152,7 @@ def _equal_fields(a: str, b: str, words: int) -> Column:
 def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Pairs (u, v) whose full shingle sets reach the threshold."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in row_chunks(iter([batch]), "text_u", CHUNK_BYTES):
@@ -200,6 +202,7 @@ def long_signatures(texts: DataFrame) -> DataFrame:
     ``FINE_BANDS`` keys of those minima that the first bands did not use."""
     first = BANDS * ROWS
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in row_chunks(batches, "text", CHUNK_BYTES):
             values, bounds = shingle_sets(*utf8_column(chunk.column("text")), SHINGLE)
@@ -273,6 +276,7 @@ def _near_members(cells: DataFrame, percent: int) -> DataFrame:
     """Members that have a near pair in their cell."""
     least = least_fields(percent, LONG)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, members in _by_cell(batches, _MEMBER_NAMES):
             a, b = _near_pairs(members, least)
@@ -291,6 +295,7 @@ def _near_members(cells: DataFrame, percent: int) -> DataFrame:
 def full_sets(texts: DataFrame) -> DataFrame:
     """Sorted shingle hashes of each document, as bytes."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in row_chunks(batches, "text", CHUNK_BYTES):
             values, bounds = shingle_sets(*utf8_column(chunk.column("text")), SHINGLE)
@@ -328,6 +333,7 @@ def _cell_links(cells: DataFrame, percent: int) -> DataFrame:
                 found.append((members[a][0], members[b][0]))
         return found
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, members in _by_cell(batches, (*_MEMBER_NAMES, "shingles")):
             found = links(members)

@@ -26,14 +26,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import pretokens as pt
-from quarry.llm.common import row_chunks, small_batches, with_offsets
+from quarry.llm.common import row_chunks, small_batches, tidy, with_offsets
 from quarry.llm.token_count import load
 
 END_ID = 0
 STRIPE_BYTES = 64 << 20
 ROW_GROUP = 10_000
 BLOOM_FPP = 0.01
-WINDOW_BYTES = 4 << 20
+WINDOW_BYTES = 2 << 20
 
 FILE_SCHEMA = "part int, doc_id long, local_start long, ids array<int>"
 
@@ -90,6 +90,7 @@ def write_token_orc(
 ) -> None:
     """Encode every whole text and write the ids below ``path`` in ``doc_id`` order."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state, part, start = encoder(vocabulary), TaskContext.get().partitionId(), 0
         for chunk in row_chunks(batches, "text", WINDOW_BYTES):
@@ -138,6 +139,7 @@ def token_digest(spark: SparkSession, path: str) -> DataFrame:
     document's place in its own file.
     """
 
+    @tidy
     def crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column("ids")

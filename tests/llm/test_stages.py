@@ -62,3 +62,18 @@ def test_members_are_not_copied_by_the_size_of_their_group(spark, monkeypatch):
         found[n] = seen["per_member"]
     assert all(v <= minhash_bbit.FINE_BANDS for v in found.values()), found
     assert found[4_000] <= 2.5 * max(1.0, found[1_000]), found
+
+
+def test_tidy_tasks_keep_their_rows(spark):
+    import pyarrow as pa
+
+    from quarry.llm.common import tidy
+
+    @tidy
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("id")], ["id"])
+
+    assert spark.range(10_000).mapInArrow(run, "id long").distinct().count() == 10_000
+    assert spark.range(0).mapInArrow(run, "id long").count() == 0
+    assert list(run(iter([]))) == []
