@@ -40,24 +40,11 @@ def items(pages: DataFrame, resource: str, list_cap: int | None = None) -> DataF
     when there are no such lines).
     """
     sized = page_items(pages, resource).select(
-        "*",
-        F.col("item.number").alias("_number"),
-        list_size(F.col("item.comments.nodes")).alias("_comments"),
-        list_size(F.col("item.reactions.nodes")).alias("_reactions"),
-    )
-    more = (
-        sized.where(F.col("list_offset") > 0)
-        .groupBy("owner", "name", "_number")
-        .agg(F.sum("_comments").alias("_more_comments"), F.sum("_reactions").alias("_more_reactions"))
-    )
-    it = sized.where(F.col("list_offset") == 0).join(more, ["owner", "name", "_number"], "left")
-    n_comments = listed(F.col("_comments") + F.coalesce("_more_comments", F.lit(0)), list_cap).cast("int")
-    n_reactions = listed(F.col("_reactions") + F.coalesce("_more_reactions", F.lit(0)), list_cap).cast("int")
-    return it.select(
         "owner",
         "name",
         "page_no",
         "item_idx",
+        "list_offset",
         F.col("item.number").alias("number"),
         F.col("item.url").alias("url"),
         F.col("item.title").alias("title"),
@@ -71,9 +58,23 @@ def items(pages: DataFrame, resource: str, list_cap: int | None = None) -> DataF
         utc_timestamp(F.col("item.updatedAt")).alias("updated_at"),
         F.coalesce(F.col("item.reactions.totalCount"), F.lit(0)).alias("reactions_total_count"),
         F.coalesce(F.col("item.comments.totalCount"), F.lit(0)).alias("comments_total_count"),
+        list_size(F.col("item.comments.nodes")).alias("_comments"),
+        list_size(F.col("item.reactions.nodes")).alias("_reactions"),
+    )
+    more = (
+        sized.where(F.col("list_offset") > 0)
+        .groupBy("owner", "name", "number")
+        .agg(F.sum("_comments").alias("_more_comments"), F.sum("_reactions").alias("_more_reactions"))
+    )
+    it = sized.where(F.col("list_offset") == 0).join(more, ["owner", "name", "number"], "left")
+    n_comments = listed(F.col("_comments") + F.coalesce("_more_comments", F.lit(0)), list_cap).cast("int")
+    n_reactions = listed(F.col("_reactions") + F.coalesce("_more_reactions", F.lit(0)), list_cap).cast("int")
+    kept = [c for c in sized.columns if c not in ("list_offset", "_comments", "_reactions")]
+    return it.select(
+        *kept,
         n_comments.alias("comments_listed"),
         n_reactions.alias("reactions_listed"),
-        (F.coalesce(F.col("item.comments.totalCount"), F.lit(0)) > n_comments).alias("comments_truncated"),
+        (F.col("comments_total_count") > n_comments).alias("comments_truncated"),
     )
 
 
@@ -159,10 +160,13 @@ def bundle_nodes(bundles: DataFrame) -> DataFrame:
         request.alias("_request"), list_offset(bundles).alias("reactions_offset"), F.explode("data").alias("alias", "node")
     ).where((F.col("alias") != "rateLimit") & F.col("node.id").isNotNull())
     latest = Window.partitionBy("id", "reactions_offset").orderBy(F.desc("_request"), F.desc("alias"))
+    # Dealt by the id alone, which serves the join of ``attach_reactions`` as well: the
+    # lists are shuffled once.
     return (
         nodes.select(
             "_request", "alias", "reactions_offset", F.col("node.id").alias("id"), F.col("node.reactions").alias("reactions")
         )
+        .repartition("id")
         .withColumn("_rn", F.row_number().over(latest))
         .where(F.col("_rn") == 1)
         .select("id", "reactions_offset", "reactions")

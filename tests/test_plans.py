@@ -98,3 +98,31 @@ def test_exploded_children_do_not_carry_their_parent_list(spark):
     plan = _plan(nz.comments(fx.conversation_pages(spark, SF), "issues"))
     generates = [line for line in plan.splitlines() if "Generate posexplode(_list" in line]
     assert generates and all("item#" not in line for line in generates)
+
+
+def test_lists_are_built_behind_the_last_shuffle(spark):
+    """Landed pages and bundles: rows are shuffled flat, no gathered list is."""
+    from tools import fixture_pages as fx
+
+    for build in (fx.conversation_pages, fx.event_comment_pages, fx.comment_bundles):
+        lines = _plan(build(spark, SF)).splitlines()
+        first_shuffle = next(k for k, line in enumerate(lines) if "Exchange " in line)
+        gathered = [k for k, line in enumerate(lines) if "collect_list(" in line]
+        assert gathered and max(gathered) < first_shuffle
+
+
+def test_reactions_are_shuffled_once_to_their_comments(spark):
+    from quarry.operators import normalize as nz
+
+    groups = "reaction_groups array<struct<content:string,createdAt:string>>"
+    comments = spark.createDataFrame([("c1", None)], f"id string, {groups}")
+    node = "struct<id:string,reactions:struct<totalCount:bigint,nodes:array<string>>>"
+    bundles = spark.createDataFrame([(1, {"n": ("c1", (1, ["x"]))})], f"request_no int, data map<string,{node}>")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        attached = nz.attach_reactions(comments, nz.bundle_nodes(bundles))
+        assert _plan(attached).count("Exchange ") == 2
+        assert [(r.id, r.reactions_total_count) for r in attached.collect()] == [("c1", 1)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

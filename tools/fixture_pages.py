@@ -9,7 +9,8 @@ count; a longer list goes on in further lines of its page (``list_offset`` 100,
 ...), so no row is left out. Those bounds also keep every ``collect_list``
 group small: a child's position in its list is a window over a block of its
 parent's children plus a running sum over the blocks' counts, so a hot parent
-is never gathered anywhere.
+is never gathered anywhere. Rows are shuffled flat, to be numbered and then to their
+page; the nested responses are built behind the last shuffle.
 
 Pages group items by ``id div 100`` (ids are unique), so no global numbering
 window is needed.
@@ -46,7 +47,7 @@ from tools.standins import read
 OWNER = "driver"
 ITEMS_PER_PAGE = 100
 LIST_PART = 100
-BLOCK_KEYS = 1024
+BLOCK_KEYS = 65_536
 BUNDLE_REQUEST_SIZE = 50
 REACTION_FLAGS = ("A", "N", "R")
 
@@ -55,31 +56,44 @@ def _null(t: DataType) -> Column:
     return F.lit(None).cast(t)
 
 
-def _in_parts(df: DataFrame, key: str, block: Column, order: list[str]) -> DataFrame:
+def _in_parts(df: DataFrame, key: str, block: Column, order: list[str], counted: DataFrame | None = None) -> DataFrame:
     """Number each key's rows by (``block``, ``order``) and cut them into list parts.
 
-    Adds ``idx`` (position in the whole list) and ``list_offset`` (of its part). Rows
-    are numbered inside a block; a block starts after the counts of the key's
-    earlier blocks, so no window holds all rows of a key.
+    Adds ``idx`` (position in the whole list), ``list_offset`` (of its part) and ``total``
+    (rows of the key; null if they are one list part of one block). Rows are numbered
+    inside a block; a block starts after the counts of the key's earlier blocks, so no
+    window holds all rows of a key. Only keys of several blocks or parts meet their
+    counts. ``counted``: rows with the same keys and blocks that are cheaper to count
+    (other keys in it do no harm).
     """
     blocked = df.withColumn("_block", block)
     inside = F.row_number().over(Window.partitionBy(key, "_block").orderBy(*order)) - 1
-    earlier = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(key)
+    earlier = whole.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        blocked.groupBy(key, "_block")
+        (df if counted is None else counted)
+        .groupBy(key, block.alias("_block"))
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select(key, "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+        .select(key, "_block", "_n", F.sum("_n").over(earlier).alias("_start"), F.sum("_n").over(whole).alias("total"))
+        .where((F.col("total") > F.col("_n")) | (F.col("_n") > LIST_PART))
+        .drop("_n")
     )
-    idx = F.col("_start") + F.col("_inside")
+    idx = F.coalesce("_start", F.lit(0)) + F.col("_inside")
     return (
-        blocked.withColumn("_inside", inside)
-        .join(starts, [key, "_block"])
+        blocked.where(F.col(key).isNotNull() & F.col("_block").isNotNull())
+        .withColumn("_inside", inside)
+        .join(starts, [key, "_block"], "left")
         .withColumn("idx", idx)
         .withColumn("list_offset", idx - idx % LIST_PART)
         .drop("_block", "_inside", "_start")
     )
 
 
+def _listed_rows(*cols: Column | str) -> Column:
+    """Flat rows of a list part, in its order."""
+    return F.sort_array(F.collect_list(F.struct("idx", *cols)))
+
+
 def _sorted_list(sort_key: Column, value: Column) -> Column:
     """``value``s of a group as a list ordered by ``sort_key``.
 
@@ -195,33 +209,35 @@ def _minutes_after(base: str, minutes: Column) -> Column:
 
 def conversation_pages(spark: SparkSession, sf_dir: str, resource: str = "issues") -> DataFrame:
     conv = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    comment = _comment(
-        F.concat(F.lit("c"), F.col("conv_id"), F.lit("_"), F.col("turn")),
-        F.col("text"),
-        F.col("role"),
-        iso_text(_minutes_after("2024-01-01 00:00:00", F.col("conv_id") * 60 + F.col("turn"))),
-        _no_groups(),
-    )
-    totals = conv.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_comments"))
     listed = (
-        _in_parts(conv, "conv_id", F.floor(F.col("turn") / BLOCK_KEYS), ["turn"])
-        .groupBy("conv_id", "list_offset")
-        .agg(_sorted_list(F.col("idx"), comment).alias("nodes"))
-        .join(totals, "conv_id")
+        _in_parts(conv, "conv_id", F.floor(F.col("turn") / BLOCK_KEYS), ["turn"], conv.select("conv_id", "turn"))
+        .withColumn("page_no", F.floor(F.col("conv_id") / ITEMS_PER_PAGE))
+        .repartition("page_no", "list_offset")
+        .groupBy("page_no", "list_offset", "conv_id")
+        .agg(
+            _listed_rows("turn", "role", "text").alias("rows"),
+            F.coalesce(F.max("total"), F.count(F.lit(1))).alias("n_comments"),
+        )
     )
+
+    def comment(row: Column) -> Column:
+        return _comment(
+            F.concat(F.lit("c"), F.col("conv_id"), F.lit("_"), row["turn"]),
+            row["text"],
+            row["role"],
+            iso_text(_minutes_after("2024-01-01 00:00:00", F.col("conv_id") * 60 + row["turn"])),
+            _no_groups(),
+        )
+
     item = _item(
         F.col("conv_id"),
         _null("string"),
         _null("string"),
         iso_text(_minutes_after("2024-01-01 00:00:00", F.col("conv_id") * 60)),
         _no_reactions(),
-        F.struct(F.col("n_comments").alias("totalCount"), F.col("nodes").alias("nodes")),
-    )
-    paged = (
-        listed.withColumn("page_no", F.floor(F.col("conv_id") / ITEMS_PER_PAGE))
-        .groupBy("page_no", "list_offset")
-        .agg(_sorted_list(F.col("conv_id"), item).alias("items"))
+        F.struct(F.col("n_comments").alias("totalCount"), F.transform("rows", comment).alias("nodes")),
     )
+    paged = listed.groupBy("page_no", "list_offset").agg(_sorted_list(F.col("conv_id"), item).alias("items"))
     return _page(paged, F.lit("conversations"), resource, "items")
 
 
@@ -240,84 +256,102 @@ def _lineitem_reactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _reaction_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per event id, one group per flag with the first reaction time (NULL if none)."""
+def _first_reactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per event id, the time of the first reaction of each flag (NULL if none)."""
     li = _lineitem_reactions(spark, sf_dir)
     firsts = [
         F.min(F.when(F.col("l_returnflag") == flag, F.col("l_shipdate"))).alias(f"first_{flag}")
         for flag in REACTION_FLAGS
     ]
-    g = li.groupBy("event_id").agg(*firsts)
-    groups = F.array(
+    return li.groupBy("event_id").agg(*firsts)
+
+
+def _groups(row: Column) -> Column:
+    """One group per flag with the first reaction time."""
+    return F.array(
         *[
-            F.struct(F.lit(flag).alias("content"), iso_text(F.col(f"first_{flag}")).alias("createdAt"))
+            F.struct(F.lit(flag).alias("content"), iso_text(row[f"first_{flag}"]).alias("createdAt"))
             for flag in REACTION_FLAGS
         ]
     )
-    return g.select("event_id", groups.alias("groups"))
-
-
-def _empty_groups() -> Column:
-    return F.array(
-        *[F.struct(F.lit(flag).alias("content"), _null("string").alias("createdAt")) for flag in REACTION_FLAGS]
-    ).cast(ArrayType(schemas.REACTION_GROUP))
 
 
 def event_comment_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items are users; their events are the comments; orders react to items."""
-    ev = read(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type", "props")
-    groups = _reaction_groups(spark, sf_dir)
-    ev_g = ev.join(groups, "event_id", "left")
-    comment = _comment(
-        F.concat(F.lit("e"), F.col("event_id")),
-        F.col("props"),
-        _comment_login(F.col("user_id")),
-        iso_text(F.col("ts")),
-        F.coalesce(F.col("groups"), _empty_groups()),
-    )
-    c_totals = ev.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_comments"))
-    c_lists = (
-        _in_parts(ev_g, "user_id", F.floor(F.col("event_id") / BLOCK_KEYS), ["event_id"])
-        .groupBy("user_id", "list_offset")
-        .agg(_sorted_list(F.col("idx"), comment).alias("comment_nodes"))
-    )
+    """Items are users; their events are the comments; orders react to items.
+
+    Comments, reactions and each user's totals (a row per list part) go to their page in
+    one shuffle; orders of customers who are no users end there.
+    """
+    ev = read(spark, sf_dir, "events").select("event_id", "user_id", "ts", "props")
+    ev_id = ev.select("event_id", "user_id")
     orders = read(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("user_id"), "o_orderkey", "o_orderdate", "o_orderpriority"
     )
-    reaction = _reaction(
-        F.concat(F.lit("cust"), F.col("user_id")), F.col("o_orderpriority"), iso_text(F.col("o_orderdate"))
-    )
-    r_totals = orders.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_reactions"))
-    r_lists = (
-        _in_parts(orders, "user_id", F.floor(F.col("o_orderkey") / BLOCK_KEYS), ["o_orderkey"])
-        .groupBy("user_id", "list_offset")
-        .agg(_sorted_list(F.col("idx"), reaction).alias("reaction_nodes"))
-        .join(c_totals.select("user_id"), "user_id", "left_semi")
+    comments = _in_parts(
+        ev.join(_first_reactions(spark, sf_dir), "event_id", "left"),
+        "user_id", F.floor(F.col("event_id") / BLOCK_KEYS), ["event_id"], ev_id,
+    )
+    reactions = _in_parts(
+        orders, "user_id", F.floor(F.col("o_orderkey") / BLOCK_KEYS), ["o_orderkey"], orders.select("user_id", "o_orderkey")
+    )
+    totals = (
+        ev_id.select("user_id", F.lit(1).alias("c"), F.lit(0).alias("r"))
+        .unionByName(orders.select("user_id", F.lit(0).alias("c"), F.lit(1).alias("r")))
+        .where(F.col("user_id").isNotNull())
+        .groupBy("user_id")
+        .agg(F.sum("c").alias("n_comments"), F.sum("r").alias("n_reactions"))
+        .where("n_comments > 0")
+    )
+    last = F.greatest("n_comments", "n_reactions") - 1
+    flat = (
+        comments.select(
+            "user_id", "list_offset", F.struct("idx", "event_id", "ts", "props", *(f"first_{f}" for f in REACTION_FLAGS)).alias("c")
+        )
+        .unionByName(
+            reactions.select("user_id", "list_offset", F.struct("idx", "o_orderdate", "o_orderpriority").alias("r")),
+            allowMissingColumns=True,
+        )
+        .unionByName(
+            totals.select("*", F.explode(F.sequence(F.lit(0).cast("long"), last, F.lit(LIST_PART).cast("long"))).alias("list_offset")),
+            allowMissingColumns=True,
+        )
     )
     per_user = (
-        c_lists.join(r_lists, ["user_id", "list_offset"], "full")
-        .join(c_totals, "user_id")
-        .join(r_totals, "user_id", "left")
+        flat.withColumn("page_no", F.floor(F.col("user_id") / ITEMS_PER_PAGE))
+        .repartition("page_no", "list_offset")
+        .groupBy("page_no", "list_offset", "user_id")
+        .agg(
+            F.sort_array(F.collect_list("c")).alias("comment_rows"),
+            F.sort_array(F.collect_list("r")).alias("reaction_rows"),
+            F.max("n_comments").alias("n_comments"),
+            F.max("n_reactions").alias("n_reactions"),
+        )
+        .where(F.col("n_comments").isNotNull() & ((F.size("comment_rows") > 0) | (F.size("reaction_rows") > 0)))
     )
+
+    def comment(row: Column) -> Column:
+        return _comment(
+            F.concat(F.lit("e"), row["event_id"]),
+            row["props"],
+            _comment_login(F.col("user_id")),
+            iso_text(row["ts"]),
+            _groups(row),
+        )
+
+    def reaction(row: Column) -> Column:
+        return _reaction(
+            F.concat(F.lit("cust"), F.col("user_id")), row["o_orderpriority"], iso_text(row["o_orderdate"])
+        )
+
     item = _item(
         F.col("user_id"),
         F.concat(F.lit("user "), F.col("user_id")),
         _null("string"),
         _null("string"),
-        F.struct(
-            F.coalesce(F.col("n_reactions"), F.lit(0)).cast("long").alias("totalCount"),
-            F.coalesce(F.col("reaction_nodes"), F.array().cast(ArrayType(schemas.REACTION))).alias("nodes"),
-        ),
-        F.struct(
-            F.col("n_comments").alias("totalCount"),
-            F.coalesce(F.col("comment_nodes"), F.array().cast(ArrayType(schemas.COMMENT))).alias("nodes"),
-        ),
-    )
-    paged = (
-        per_user.withColumn("page_no", F.floor(F.col("user_id") / ITEMS_PER_PAGE))
-        .groupBy("page_no", "list_offset")
-        .agg(_sorted_list(F.col("user_id"), item).alias("items"))
+        F.struct(F.col("n_reactions").alias("totalCount"), F.transform("reaction_rows", reaction).alias("nodes")),
+        F.struct(F.col("n_comments").alias("totalCount"), F.transform("comment_rows", comment).alias("nodes")),
     )
+    paged = per_user.groupBy("page_no", "list_offset").agg(_sorted_list(F.col("user_id"), item).alias("items"))
     return _page(paged, F.lit("events"), "issues", "items")
 
 
@@ -340,26 +374,33 @@ def comment_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     li = _lineitem_reactions(spark, sf_dir)
     ev = read(spark, sf_dir, "events").select("event_id")
-    li = li.join(ev, "event_id", "left_semi")
-    reaction = _reaction(
-        F.concat(F.lit("supp"), F.col("l_suppkey")), F.col("l_returnflag"), iso_text(F.col("l_shipdate"))
-    )
-    totals = li.groupBy("event_id").agg(F.count(F.lit(1)).alias("n"))
+    block = F.floor(F.col("l_linenumber") / BLOCK_KEYS)
     lists = (
-        _in_parts(li, "event_id", F.col("l_linenumber"), ["l_shipdate", "l_suppkey", "l_returnflag"])
-        .groupBy("event_id", "list_offset")
-        .agg(_sorted_list(F.col("idx"), reaction).alias("nodes"))
-        .join(totals, "event_id")
+        _in_parts(
+            li.join(ev, "event_id", "left_semi"),
+            "event_id", block, ["l_linenumber", "l_shipdate", "l_suppkey", "l_returnflag"], li.select("event_id", "l_linenumber"),
+        )
+        .withColumn("request_no", F.floor(F.col("event_id") / BUNDLE_REQUEST_SIZE))
+        .repartition("request_no", "list_offset")
+        .groupBy("request_no", "list_offset", "event_id")
+        .agg(
+            _listed_rows("l_suppkey", "l_returnflag", "l_shipdate").alias("rows"),
+            F.coalesce(F.max("total"), F.count(F.lit(1))).alias("n"),
+        )
     )
+
+    def reaction(row: Column) -> Column:
+        return _reaction(F.concat(F.lit("supp"), row["l_suppkey"]), row["l_returnflag"], iso_text(row["l_shipdate"]))
+
     node = F.struct(
         F.concat(F.lit("e"), F.col("event_id")).alias("id"),
-        F.struct(F.col("n").alias("totalCount"), F.col("nodes").alias("nodes")).alias("reactions"),
+        F.struct(F.col("n").alias("totalCount"), F.transform("rows", reaction).alias("nodes")).alias("reactions"),
         _null("long").alias("cost"),
         _null("long").alias("remaining"),
     )
-    requests = lists.withColumn("request_no", F.floor(F.col("event_id") / BUNDLE_REQUEST_SIZE)).groupBy(
-        "request_no", "list_offset"
-    ).agg(F.map_from_entries(F.collect_list(F.struct(F.concat(F.lit("node_"), F.col("event_id")), node))).alias("m"))
+    requests = lists.groupBy("request_no", "list_offset").agg(
+        F.map_from_entries(F.collect_list(F.struct(F.concat(F.lit("node_"), F.col("event_id")), node))).alias("m")
+    )
     rate_entry = F.create_map(F.lit("rateLimit"), _rate_limit(F.size("m")))
     return requests.select(
         F.lit(OWNER).alias("owner"),
