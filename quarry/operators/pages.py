@@ -175,12 +175,19 @@ def page_problems(pages: DataFrame, resource: str) -> DataFrame:
     )
 
 
+def shaped(bundles: DataFrame) -> DataFrame:
+    """Bundles with the mark of a missing ``data``: a check of a staged copy then leaves
+    the lists unread."""
+    return bundles.withColumn("no_data", F.col("data").isNull())
+
+
 def bundle_problems(bundles: DataFrame) -> DataFrame:
     """FLT-6 for the comment-reaction responses: one row of counts."""
     corrupt = F.coalesce(F.col("corrupt"), F.lit(False)) if "corrupt" in bundles.columns else F.lit(False)
+    no_data = F.col("no_data") if "no_data" in bundles.columns else F.col("data").isNull()
     return bundles.agg(
         F.count_if(list_size(F.col("errors")) > 0).alias("error_pages"),
-        F.count_if(F.col("data").isNull() & ~corrupt).alias("bad_shape_pages"),
+        F.count_if(no_data & ~corrupt).alias("bad_shape_pages"),
         F.count_if(corrupt).alias("corrupt_pages"),
     )
 

@@ -30,37 +30,46 @@ from quarry.sinks.warehouse import Warehouse
 
 REACTION_RESOURCES = ("issues", "pull_requests")
 LINE_ID = "_line"
+RESOURCE = "_resource"
 
 
 def normalised_tables(
     pages: DataFrame,
     bundles: DataFrame | None,
-    resource: str,
+    resources: tuple[str, ...],
     max_items: int | None = None,
 ) -> dict[str, DataFrame]:
-    """The tables one resource loads into, keyed by table name.
+    """The tables the resources load into, keyed by table name.
 
     ``pages`` should be a staged (Parquet) copy: it is read by the cap and by
-    every table. The comments with their reactions feed two tables, so they
+    every table. The comments with their reactions feed two tables a resource, so they
     are staged once as well instead of being re-joined per table; later reads
-    prune to the nested columns each table needs. Only comments with any
+    prune to the nested columns each table needs. The comments of all resources meet the
+    reactions in one join: those are read and shuffled once. Only comments with any
     reaction are looked up (FLT-1); the rest keep NULL.
     """
-    kept = pg.capped_pages(pages, resource, max_items)
-    comments = nz.comments(kept, resource)
+    kept = {resource: pg.capped_pages(pages, resource, max_items) for resource in resources}
+    comments = reduce(
+        DataFrame.unionByName,
+        [nz.comments(kept[r], r).withColumn(RESOURCE, F.lit(r)) for r in resources],
+    )
     if bundles is not None:
         nodes = nz.bundle_nodes(bundles)
     else:
         nodes = comments.sparkSession.createDataFrame(
             [], "id string, reactions_offset long, reactions " + schemas.REACTION_CONNECTION.simpleString()
         )
-    attached = stage_parquet(nz.attach_reactions(comments, nodes, only_reacted=True), f"comments_{resource}")
-    return {
-        resource: nz.items(kept, resource),
-        f"{resource}__comments": nz.commented(attached),
-        f"{resource}__reactions": nz.item_reactions(kept, resource),
-        f"{resource}__comments__reactions": nz.comment_reactions(attached),
-    }
+    attached = stage_parquet(nz.attach_reactions(comments, nodes, only_reacted=True), "comments")
+    tables = {}
+    for resource in resources:
+        own = attached.where(F.col(RESOURCE) == resource).drop(RESOURCE)
+        tables |= {
+            resource: nz.items(kept[resource], resource),
+            f"{resource}__comments": nz.commented(own),
+            f"{resource}__reactions": nz.item_reactions(kept[resource], resource),
+            f"{resource}__comments__reactions": nz.comment_reactions(own),
+        }
+    return tables
 
 
 def landed_once(pages: DataFrame, bundles: DataFrame | None, resources: tuple[str, ...], check: bool) -> DataFrame:
@@ -94,13 +103,15 @@ def load_reactions(
     shape or missing page, of the pages or the bundles, before anything is
     written (FLT-6, FLT-7). A page that landed twice loads once.
     """
+    if bundles is not None:
+        # Parsed once, for the check and the join.
+        bundles = stage_parquet(pg.shaped(bundles), "bundles")
     pages = landed_once(pages, bundles, resources, check)
     # All tables of the dataset are swapped by one commit.
     with warehouse.commit(dataset) as writing:
         return [
             writing.replace_table(df, table)
-            for resource in resources
-            for table, df in normalised_tables(pages, bundles, resource, max_items).items()
+            for table, df in normalised_tables(pages, bundles, resources, max_items).items()
         ]
 
 

@@ -25,6 +25,7 @@ from quarry import schemas
 
 
 CORRUPT = "_corrupt"
+DATA_KEYS = "data map<string, struct<nothing: boolean>>"
 
 
 def with_corrupt(schema: StructType) -> StructType:
@@ -46,7 +47,10 @@ def read_pages(spark: SparkSession, path: str, with_keys: bool = True) -> DataFr
     ).alias("p")
     cols = [parsed, *folders]
     if with_keys:
-        cols.append(F.json_object_keys(F.get_json_object("value", "$.data")).alias("data_keys"))
+        # The shallow parse skips what the keys hold; only where a key holds no object
+        # (or there is no ``data``) is it copied out and parsed again.
+        shallow = F.map_keys(F.from_json("value", DATA_KEYS)["data"])
+        cols.append(F.coalesce(shallow, F.json_object_keys(F.get_json_object("value", "$.data"))).alias("data_keys"))
     fields = [F.col(c) if c in folders else F.col(f"p.{c}") for c in schemas.PAGE.names]
     more = [c for c in folders if c not in schemas.PAGE.names]
     return raw.select(*cols).select(
@@ -115,8 +119,8 @@ def page_list(pages: DataFrame, resource: str) -> str:
 
 
 def land_json(pages: DataFrame, path: str, folders: tuple[str, ...] = ()) -> str:
-    """Write page rows as landed JSON lines (what a fetcher leaves behind)."""
-    writer = pages.drop("data_keys").write.mode("errorifexists")
+    """Write page rows as landed JSON lines (what a fetcher leaves behind), gzipped."""
+    writer = pages.drop("data_keys").write.mode("errorifexists").option("compression", "gzip")
     if folders:
         writer = writer.partitionBy(*folders)
     writer.json(path)

@@ -348,3 +348,64 @@ def test_blocked_running_max_matches_plain_window(spark):
     w = Window.partitionBy("g").orderBy("o").rowsBetween(Window.unboundedPreceding, -1)
     exp = df.withColumn("prev", F.max("v").over(w))
     assert got.exceptAll(exp).count() == 0 and got.count() == 3000
+
+
+def test_long_lists_of_pages_keep_order_and_totals(spark, tmp_dir, monkeypatch):
+    """Lists over several blocks and parts, users without an order or an event, null keys."""
+    from tools import fixture_pages as fx
+
+    monkeypatch.setattr(fx, "BLOCK_KEYS", 4)
+    monkeypatch.setattr(fx, "LIST_PART", 3)
+    day = dt.datetime(2024, 1, 1)
+    events = [(k, day, 1 if k < 11 else 2, "p") for k in range(13)] + [(None, day, 3, "p"), (20, day, None, "p")]
+    orders = [(k, 2, day, "HIGH") for k in range(7)] + [(8, 3, day, "LOW"), (None, 2, day, "LOW")]
+    tables = {
+        "events": (events, "event_id long, ts timestamp_ntz, user_id long, props string"),
+        "orders": (orders, "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz, o_orderpriority string"),
+        "lineitem": (
+            [(0, n, 5 * n, day, "AR"[n % 2]) for n in range(10, 0, -1)] + [(99, 1, 1, day, "A")],
+            "l_orderkey long, l_linenumber int, l_suppkey long, l_shipdate timestamp_ntz, l_returnflag string",
+        ),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_dir}/{name}.parquet")
+    pages = fx.event_comment_pages(spark, tmp_dir)
+    found = {r.number: r for r in nz.items(pages, "issues").collect()}
+    assert {n: (r.comments_total_count, r.comments_listed, r.reactions_total_count, r.reactions_listed) for n, r in found.items()} == {
+        1: (11, 11, 0, 0), 2: (2, 2, 8, 7), 3: (1, 0, 1, 1)
+    }
+    comments = nz.comments(pages, "issues").where("number = 1").orderBy("list_idx").collect()
+    assert [(r.list_idx, r.id) for r in comments] == [(k, f"e{k}") for k in range(11)]
+    nodes = nz.bundle_nodes(fx.comment_bundles(spark, tmp_dir)).orderBy("reactions_offset").collect()
+    assert [(r.id, r.reactions_offset, r.reactions.totalCount) for r in nodes] == [("e0", k, 10) for k in (0, 3, 6, 9)]
+    assert [x.user.login for r in nodes for x in r.reactions.nodes] == [f"supp{5 * n}" for n in range(1, 11)]
+
+
+def test_keys_of_data_are_those_of_the_text(spark, tmp_dir):
+    lines = ['{"data": {"a": 1, "b": {"c": [1]}}}', '{"data": null}', '{"owner": "o"}', '{"data": [1]}', "broken",
+             '{"data": {"repository": {"issues": null}, "rateLimit": null}}', '{"data": {}}']
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{tmp_dir}/l")
+    keys = [r.data_keys for r in landing.read_pages(spark, f"{tmp_dir}/l").collect()]
+    assert keys == [["a", "b"], None, None, None, None, ["repository", "rateLimit"], []]
+
+
+def test_bundles_are_read_once_for_all_resources(spark, tmp_dir):
+    from quarry.plans import loads
+    from quarry.sinks.warehouse import Warehouse
+    from tools import fixture_pages as fx
+
+    landing.land_json(fx.conversation_pages(spark, "/root/testdata/sf0.001"), f"{tmp_dir}/pages")
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    bundles = fx.comment_bundles(spark, "/root/testdata/sf0.001")
+    n = bundles.count()
+    loads.load_reactions(
+        Warehouse(spark, f"{tmp_dir}/wh"), landing.read_pages(spark, f"{tmp_dir}/pages"),
+        bundles.mapInArrow(counted, bundles.schema),
+    )
+    assert read.value == n > 0
