@@ -274,3 +274,14 @@ def test_an_empty_batch_and_a_first_run_of_late_rows_only(spark, tmp_dir):
     assert _adds_up(t.load(_feed(spark, [_ev(1, 5)]))) == (1, 1, 0, 0, 0)
     assert _adds_up(t.load(_feed(spark, [_ev(2, 4)]))) == (1, 0, 1, 0, 0)
     assert t.cursor() == dt.datetime(2024, 1, 5)
+
+
+def test_an_id_asks_one_bucket_and_other_layouts_tell_nothing(spark, tmp_dir):
+    ids = spark.range(5_000).select(F.col("id").cast("string").alias("id"), F.lit(dt.date(2024, 1, 1)).alias("day"))
+    index = id_index.filters_of(ids, "id", "day").withColumn("run", F.lit(0))
+    asked = spark.createDataFrame([("x", dt.date(2024, 1, 1)), ("y", dt.date(2024, 1, 2))], "id string, day date")
+    index.write.parquet(f"{tmp_dir}/ids")
+    index = spark.read.parquet(f"{tmp_dir}/ids")
+    assert "Generate" not in id_index.perhaps_stored(asked, "id", "day", index)._jdf.queryExecution().optimizedPlan().toString()
+    old = index.withColumn("layout", F.lit(None).cast("int"))
+    assert [r.id for r in id_index.perhaps_stored(asked, "id", "day", old).collect()] == ["x"]
