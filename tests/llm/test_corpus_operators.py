@@ -3,6 +3,8 @@ pipeline: edges and brute-force versions."""
 
 from __future__ import annotations
 
+import time
+
 import duckdb
 import numpy as np
 import pyarrow.parquet as pq
@@ -336,6 +338,105 @@ def test_op1_recall(spark):
     assert hits > 0.9 * 20 * len(found) and len(got) == 20 * len(found)
 
 
+def fitted(x, lists, seed=1):
+    """An index of all rows ``x`` (ids by place) and each row's list."""
+    rng = np.random.default_rng(seed)
+    rotation, _ = np.linalg.qr(rng.standard_normal((x.shape[1] + 1,) * 2))
+    sample = rng.choice(len(x), min(len(x), 200), replace=False)
+    index = ann_ads.Index((x**2).sum(1).max(), rotation, np.empty((0, 0)), sample, x[sample])
+    points = index.rotated(x, False)
+    index.centres = ann_ads.list_centres(points, lists, rng)
+    return index, ann_ads.nearest(points, index.centres)
+
+
+@pytest.mark.parametrize("dim,noise", [(3, 1.0), (24, 0.02), (64, 1.0)])
+def test_scan_of_a_block_against_brute_force(monkeypatch, dim, noise):
+    """With room for every candidate, a tile's tests lose none: sparse and dense, over several tiles, with ties."""
+    monkeypatch.setattr(ann_ads, "EPSILON", 50.0)
+    monkeypatch.setattr(ann_ads, "TILE", (64, 100))
+    rng = np.random.default_rng(dim)
+    x = rng.standard_normal((12, dim))[rng.integers(0, 12, 1500)] + noise * rng.standard_normal((1500, dim))
+    x *= rng.uniform(0.5, 90, (1500, 1))
+    x[300:420] = x[7]
+    index, lists = fitted(x, 30)
+    places = np.arange(0, 1500, 7)
+    asked = rng.random((len(places), len(index.centres))) < 0.7
+    asked[0] = True
+    for bounds in (np.full(len(places), -np.inf), ann_ads.first_hits(index, places, x[places], 20)[1]):
+        i, j, scores = ann_ads.scan_block(
+            index, np.arange(1500), x, lists, places, x[places], bounds, np.nonzero(asked), 20
+        )
+        for q, p in enumerate(places):
+            s = ann_ads.inner(x, x[p])
+            s[(np.arange(1500) == p) | ~asked[q, lists] | (s < bounds[q])] = -np.inf
+            best = np.lexsort((np.arange(1500), -s))[:20]
+            best = best[s[best] > -np.inf]
+            assert j[i == q].tolist() == best.tolist() and scores[i == q].tolist() == s[best].tolist()
+
+
+def test_scan_is_not_one_query_at_a_time():
+    """A block for many queries takes a fraction of the time of testing each query alone."""
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((2_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    index, lists = fitted(x, 16)
+    places = np.arange(0, 2_000, 4)
+    bounds = ann_ads.first_hits(index, places, x[places], 20)[1]
+    every = np.nonzero(np.ones((len(places), len(index.centres)), bool))
+    turned, width = index.rotated(x, False), x.shape[1] + 1
+
+    def alone():
+        for one in range(len(index.centres)):
+            held = turned[lists == one]
+            for q, p in zip(index.rotated(x[places], True), range(len(places))):
+                limit, alive, sofar = 1 + index.top - 2 * bounds[p], np.arange(len(held)), np.zeros(len(held))
+                for c in range(0, width, 16):
+                    sofar += ((held[alive, c : c + 16] - q[c : c + 16]) ** 2).sum(1)
+                    seen = min(c + 16, width)
+                    fine = sofar * (width / seen) <= limit * (1 + ann_ads.EPSILON / np.sqrt(seen)) ** 2
+                    alive, sofar = alive[fine], sofar[fine]
+
+    def seconds(run):
+        start = time.perf_counter()
+        run()
+        return time.perf_counter() - start
+
+    def together():
+        ann_ads.scan_block(index, np.arange(2_000), x, lists, places, x[places], bounds, every, 20)
+
+    assert 2 * min(seconds(together) for _ in range(3)) < min(seconds(alone) for _ in range(3))
+
+
+def test_queries_go_once_to_a_region():
+    sizes = np.array([3, 5, 0, 2, 40, 1, 1, 9])
+    region = ann_ads.regions(sizes, 10)
+    assert region.tolist() == [0, 0, 0, 0, 1, 5, 5, 5]
+    asked = np.array([[1] * 8, [0] * 8, [0, 1, 0, 0, 0, 1, 0, 1]], bool)
+    assert ann_ads.visited_regions(asked, region).to_pylist() == [
+        [{"region": 0, "lists": [0, 1, 2, 3]}, {"region": 1, "lists": [4]}, {"region": 5, "lists": [5, 6, 7]}],
+        [],
+        [{"region": 0, "lists": [1]}, {"region": 5, "lists": [5, 7]}],
+    ]
+
+
+@pytest.mark.parametrize("n", [1_000, 4_000])
+def test_neighbours_over_many_cells(spark, monkeypatch, n):
+    """Regions, blocks and chunks of a few rows: recall on vectors without clusters, one common vector."""
+    monkeypatch.setattr(ann_ads, "BLOCK", 64)
+    monkeypatch.setattr(ann_ads, "CHUNK", 16)
+    monkeypatch.setattr(ann_ads, "BOUND_SAMPLE", 100)
+    monkeypatch.setattr(ann_ads, "LEAST_BLOCK", 64)
+    x = np.random.default_rng(n).standard_normal((n, 16)).astype(np.float32)
+    x[n // 2 : n // 2 + 200] = x[0]
+    got, y, hits = neighbours(spark, [(k, v.tolist(), 0) for k, v in enumerate(x)]), x.astype(float), 0
+    assert len(got) == n // 20 and all(len(found) == 20 for found in got.values())
+    for q, found in got.items():
+        s = y @ y[q]
+        s[q] = -np.inf
+        hits += len({v for v, _ in found} & set(np.lexsort((np.arange(n), -s))[:20].tolist()))
+    assert hits >= 0.95 * n
+
+
 # ---------------------------------------------------------------------------
 # Quality
 
