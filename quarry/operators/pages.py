@@ -30,9 +30,10 @@ CHECKS = ("corrupt_pages", "error_pages", "bad_shape_pages")
 def latest_pages(pages: DataFrame, row_id: str) -> DataFrame:
     """One row per page and list offset: the copy landed last.
 
-    ``row_id`` is a stored unique column. The winners are found on narrow rows;
-    the page rows only meet the ids of the losing copies, which are few, so
-    Catalyst can broadcast them (or drop the join when there are none).
+    ``row_id`` is a stored unique column. The winners are found on narrow rows, once;
+    the page rows only meet the ids of the losing copies. Those are staged, so that
+    Catalyst knows their bytes before it plans the join: they are few, and sent to the
+    page rows, which are not shuffled.
     """
     keys = [*PAGE_KEY, "page_no", "_offset"]
     copies = pages.select(
@@ -46,7 +47,7 @@ def latest_pages(pages: DataFrame, row_id: str) -> DataFrame:
         .where(F.col(f"copy.{row_id}") != F.col(f"winner.{row_id}"))
         .select(F.col(f"copy.{row_id}").alias(row_id))
     )
-    return pages.join(losers, row_id, "left_anti")
+    return pages.join(stage_parquet(losers, "stale_pages"), row_id, "left_anti")
 
 
 def page_sizes(pages: DataFrame, resource: str) -> DataFrame:

@@ -409,3 +409,77 @@ def test_bundles_are_read_once_for_all_resources(spark, tmp_dir):
         bundles.mapInArrow(counted, bundles.schema),
     )
     assert read.value == n > 0
+
+
+def test_staged_pages_are_cut_into_small_row_groups(spark):
+    """A reader holds the rows of a row group: pages of thousands of comments are staged a
+    few to a group, however many a file has; flat rows keep the writer's groups."""
+    import pyarrow.parquet as pq
+
+    from quarry.sinks import staging
+
+    body = F.concat_ws("-", F.col("id"), F.col("x"), F.md5(F.concat_ws("-", "id", F.col("x"))))
+    lists = spark.range(0, 60, 1, 1).select(
+        "id", F.explode(F.sequence(F.lit(1), F.lit(2000))).alias("x")
+    ).groupBy("id").agg(F.collect_list(F.struct("x", body.alias("body"))).alias("nodes")).coalesce(1)
+
+    def groups(df):
+        staged = staging.stage_parquet(df, "row_groups")
+        files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in staged.inputFiles()]
+        return staged, [m.row_group(k) for m in files for k in range(m.num_row_groups)]
+
+    staged, nested = groups(lists.select(F.struct("nodes").alias("data")))
+    assert staged.select(F.explode("data.nodes")).count() == 120_000
+    assert len(nested) > 1 and max(g.num_rows for g in nested) < 60
+    assert max(g.total_byte_size for g in nested) < 4 * 1024 * 1024
+    _, flat = groups(lists.select(F.explode("nodes").alias("node")).select("node.*").coalesce(1))
+    assert len(flat) == 1
+
+
+def test_pages_are_not_shuffled_to_drop_stale_copies(spark, tmp_dir):
+    from quarry.sinks.staging import stage_parquet
+
+    docs = [_page(k, [_item(k, [])]) for k in range(5)]
+    again = dict(_page(3, [_item(3, []), _item(9, [])]), landed_at="2024-03-01T00:00:00Z")
+    landed = landing.read_pages(spark, _land(tmp_dir, [*docs, again]))
+    staged = stage_parquet(landed.withColumn("line", F.monotonically_increasing_id()), "pages")
+    latest = pg.latest_pages(staged, "line")
+    assert sorted(r.page_no for r in latest.collect()) == [0, 1, 2, 3, 4]
+    assert nz.items(latest, "issues").where("number = 9").count() == 1
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+def test_a_task_builds_a_bounded_number_of_responses(spark, tmp_dir, monkeypatch):
+    """Responses are dealt by the number of rows, not by the session's partitions, and are
+    the same however they are dealt."""
+    ids = spark.range(4000)
+    tables = {
+        "events": ids.select(
+            F.col("id").alias("event_id"), (F.col("id") % 2500).alias("user_id"),
+            F.timestamp_seconds("id").alias("ts"), F.lit("{}").alias("props"),
+        ),
+        "orders": ids.select(
+            F.col("id").alias("o_orderkey"), (F.col("id") % 3000).alias("o_custkey"),
+            F.timestamp_seconds("id").alias("o_orderdate"), F.lit("1-URGENT").alias("o_orderpriority"),
+        ),
+        "lineitem": ids.select(
+            F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"), F.timestamp_seconds("id").alias("l_shipdate"),
+            F.lit(7).cast("long").alias("l_suppkey"), F.lit("A").alias("l_returnflag"),
+        ),
+        "conversations": ids.select(
+            (F.col("id") / 2).cast("long").alias("conv_id"), (F.col("id") % 2).alias("turn"),
+            F.lit("user").alias("role"), F.md5(F.col("id").cast("string")).alias("text"),
+        ),
+    }
+    for name, df in tables.items():
+        df.write.parquet(f"{tmp_dir}/{name}.parquet")
+    for build in (fx.event_comment_pages, fx.conversation_pages):
+        found = []
+        for rows in (100_000, 400):
+            monkeypatch.setattr(fx, "ROWS_PER_TASK", rows, raising=False)
+            built = build(spark, tmp_dir).select(F.spark_partition_id().alias("task"), F.to_json("data").alias("line")).collect()
+            found.append(({r.task for r in built}, sorted(r.line for r in built)))
+        (few, lines), (many, same) = found
+        assert len(few) == 1 and len(many) > 4
+        assert lines == same and len(lines) >= 20

@@ -10,7 +10,9 @@ count; a longer list goes on in further lines of its page (``list_offset`` 100,
 group small: a child's position in its list is a window over a block of its
 parent's children plus a running sum over the blocks' counts, so a hot parent
 is never gathered anywhere. Rows are shuffled flat, to be numbered and then to their
-page; the nested responses are built behind the last shuffle.
+page; the nested responses are built behind the last shuffle. A task holds the lists of all
+its responses (up to 128 of them) while it builds them, so that shuffle deals
+``ROWS_PER_TASK`` rows to a task on average, whatever the session's partitions.
 
 Pages group items by ``id div 100`` (ids are unique), so no global numbering
 window is needed.
@@ -49,6 +51,7 @@ ITEMS_PER_PAGE = 100
 LIST_PART = 100
 BLOCK_KEYS = 65_536
 BUNDLE_REQUEST_SIZE = 50
+ROWS_PER_TASK = 25_000
 REACTION_FLAGS = ("A", "N", "R")
 
 
@@ -89,6 +92,15 @@ def _in_parts(df: DataFrame, key: str, block: Column, order: list[str], counted:
     )
 
 
+def _dealt(flat: DataFrame, keys: list[str], *rows: DataFrame) -> DataFrame:
+    """``flat`` shuffled by ``keys`` to a task for every ``ROWS_PER_TASK`` of ``rows``.
+
+    A number of partitions that is named is not coalesced by adaptive execution.
+    """
+    n = sum(df.count() for df in rows)
+    return flat.repartition(max(1, -(-n // ROWS_PER_TASK)), *keys)
+
+
 def _listed_rows(*cols: Column | str) -> Column:
     """Flat rows of a list part, in its order."""
     return F.sort_array(F.collect_list(F.struct("idx", *cols)))
@@ -209,10 +221,11 @@ def _minutes_after(base: str, minutes: Column) -> Column:
 
 def conversation_pages(spark: SparkSession, sf_dir: str, resource: str = "issues") -> DataFrame:
     conv = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    flat = _in_parts(conv, "conv_id", F.floor(F.col("turn") / BLOCK_KEYS), ["turn"], conv.select("conv_id", "turn")).withColumn(
+        "page_no", F.floor(F.col("conv_id") / ITEMS_PER_PAGE)
+    )
     listed = (
-        _in_parts(conv, "conv_id", F.floor(F.col("turn") / BLOCK_KEYS), ["turn"], conv.select("conv_id", "turn"))
-        .withColumn("page_no", F.floor(F.col("conv_id") / ITEMS_PER_PAGE))
-        .repartition("page_no", "list_offset")
+        _dealt(flat, ["page_no", "list_offset"], conv)
         .groupBy("page_no", "list_offset", "conv_id")
         .agg(
             _listed_rows("turn", "role", "text").alias("rows"),
@@ -317,8 +330,7 @@ def event_comment_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     per_user = (
-        flat.withColumn("page_no", F.floor(F.col("user_id") / ITEMS_PER_PAGE))
-        .repartition("page_no", "list_offset")
+        _dealt(flat.withColumn("page_no", F.floor(F.col("user_id") / ITEMS_PER_PAGE)), ["page_no", "list_offset"], ev, orders)
         .groupBy("page_no", "list_offset", "user_id")
         .agg(
             F.sort_array(F.collect_list("c")).alias("comment_rows"),
