@@ -59,7 +59,7 @@ def normalised_tables(
         nodes = comments.sparkSession.createDataFrame(
             [], "id string, reactions_offset long, reactions " + schemas.REACTION_CONNECTION.simpleString()
         )
-    attached = stage_parquet(nz.attach_reactions(comments, nodes, only_reacted=True), "comments")
+    attached = stage_parquet(nz.attach_reactions(comments, nodes, only_reacted=True), "comments", wide_rows=True)
     tables = {}
     for resource in resources:
         own = attached.where(F.col(RESOURCE) == resource).drop(RESOURCE)
@@ -81,7 +81,7 @@ def landed_once(pages: DataFrame, bundles: DataFrame | None, resources: tuple[st
     mine = F.col("resource").isin(*resources)
     if "corrupt" in pages.columns:
         mine = mine | F.col("corrupt")
-    staged = stage_parquet(pages.where(mine).withColumn(LINE_ID, F.monotonically_increasing_id()), "pages")
+    staged = stage_parquet(pages.where(mine).withColumn(LINE_ID, F.monotonically_increasing_id()), "pages", wide_rows=True)
     if check:
         pg.assert_landed_ok(staged, resources, bundles)
     return pg.latest_pages(staged.where(F.col("resource").isin(*resources)), LINE_ID).drop(LINE_ID)
@@ -105,7 +105,7 @@ def load_reactions(
     """
     if bundles is not None:
         # Parsed once, for the check and the join.
-        bundles = stage_parquet(pg.shaped(bundles), "bundles")
+        bundles = stage_parquet(pg.shaped(bundles), "bundles", wide_rows=True)
     pages = landed_once(pages, bundles, resources, check)
     # All tables of the dataset are swapped by one commit.
     with warehouse.commit(dataset) as writing:

@@ -7,30 +7,20 @@ scan. Use it where several outputs read the same expensive input, such as
 parsed landed pages.
 
 A row of nested data may hold thousands of elements, and a reader holds up to 4,096 rows
-of a row group at a time. So the row groups of nested data are small, and their size is
+of a row group at a time. So with ``wide_rows`` the row groups are small, and their size is
 looked at from the first row on: a task then holds a few pages, however many a file has.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, MapType, StructType
 
 from quarry.session import scratch_path
 
-NESTED_ROW_GROUPS = {"parquet.block.size": str(2 * 1024 * 1024), "parquet.page.size.row.check.min": "1"}
+SMALL_ROW_GROUPS = {"parquet.block.size": str(2 * 1024 * 1024), "parquet.page.size.row.check.min": "1"}
 
 
-def has_lists(schema: StructType) -> bool:
-    """Whether a row may hold any number of elements."""
-    return any(
-        isinstance(f.dataType, (ArrayType, MapType)) or (isinstance(f.dataType, StructType) and has_lists(f.dataType))
-        for f in schema.fields
-    )
-
-
-def stage_parquet(df: DataFrame, label: str) -> DataFrame:
+def stage_parquet(df: DataFrame, label: str, wide_rows: bool = False) -> DataFrame:
     path = scratch_path(df.sparkSession, "stage", label)
-    options = NESTED_ROW_GROUPS if has_lists(df.schema) else {}
-    df.write.mode("errorifexists").options(**options).parquet(path)
+    df.write.mode("errorifexists").options(**(SMALL_ROW_GROUPS if wide_rows else {})).parquet(path)
     return df.sparkSession.read.parquet(path)

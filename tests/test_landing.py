@@ -413,7 +413,7 @@ def test_bundles_are_read_once_for_all_resources(spark, tmp_dir):
 
 def test_staged_pages_are_cut_into_small_row_groups(spark):
     """A reader holds the rows of a row group: pages of thousands of comments are staged a
-    few to a group, however many a file has; flat rows keep the writer's groups."""
+    few to a group, however many a file has; other copies keep the writer's groups."""
     import pyarrow.parquet as pq
 
     from quarry.sinks import staging
@@ -423,12 +423,12 @@ def test_staged_pages_are_cut_into_small_row_groups(spark):
         "id", F.explode(F.sequence(F.lit(1), F.lit(2000))).alias("x")
     ).groupBy("id").agg(F.collect_list(F.struct("x", body.alias("body"))).alias("nodes")).coalesce(1)
 
-    def groups(df):
-        staged = staging.stage_parquet(df, "row_groups")
+    def groups(df, **options):
+        staged = staging.stage_parquet(df, "row_groups", **options)
         files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in staged.inputFiles()]
         return staged, [m.row_group(k) for m in files for k in range(m.num_row_groups)]
 
-    staged, nested = groups(lists.select(F.struct("nodes").alias("data")))
+    staged, nested = groups(lists.select(F.struct("nodes").alias("data")), wide_rows=True)
     assert staged.select(F.explode("data.nodes")).count() == 120_000
     assert len(nested) > 1 and max(g.num_rows for g in nested) < 60
     assert max(g.total_byte_size for g in nested) < 4 * 1024 * 1024

@@ -136,7 +136,7 @@ def q_comment_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_item_and_comment_reactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = ["number", "list_idx", "user__login", "content", "created_at"]
-    pages = stage_parquet(fx.event_comment_pages(spark, sf_dir), "event_comment_pages")
+    pages = stage_parquet(fx.event_comment_pages(spark, sf_dir), "event_comment_pages", wide_rows=True)
     on_comments = nz.comment_reactions(_attached(spark, sf_dir, pages)).select(
         F.lit("comment").alias("level"), "comment_id", *cols
     )
